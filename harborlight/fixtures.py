@@ -156,7 +156,7 @@ CREATED = "2024-02-01T00:00:00Z"
 
 def resource_pods(spark: SparkSession, sf_dir: str) -> DataFrame:
     pod = f"""struct('Pod' AS kind,
-        struct(concat('pod-', c_custkey) AS name, lower(n_name) AS namespace,
+        struct(concat('pod-', c_custkey) AS name, replace(lower(n_name), '_', '-') AS namespace,
             concat('u-', c_custkey) AS uid, cast(c_custkey AS string) AS resourceVersion,
             date_format(timestamp'2024-01-01' + make_interval(0, 0, 0, 0, cast(c_custkey AS int)),
                 "yyyy-MM-dd'T'HH:mm:ss'Z'") AS creationTimestamp,
@@ -180,7 +180,7 @@ def resource_pods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resource_services(spark: SparkSession, sf_dir: str) -> DataFrame:
     service = f"""concat('{{"kind":"Service","metadata":{{"name":"svc-', s_suppkey, '","namespace":"',
-        lower(n_name), '"}},"spec":{{"type":"', {choose('s_suppkey % 3', SERVICE_TYPES)},
+        replace(lower(n_name), '_', '-'), '"}},"spec":{{"type":"', {choose('s_suppkey % 3', SERVICE_TYPES)},
         '","clusterIP":"10.2.0.', s_suppkey % 250, '","externalIPs":["1.1.1.', s_suppkey % 250,
         '",7]}}}}')"""
     suppliers = table(spark, sf_dir, "supplier")
@@ -235,7 +235,7 @@ def resource_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resource_network_and_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four objects per nation and one of an unknown kind per region."""
-    meta = "struct(concat('{p}-', n_nationkey) AS name, lower(n_name) AS namespace) AS metadata"
+    meta = "struct(concat('{p}-', n_nationkey) AS name, replace(lower(n_name), '_', '-') AS namespace) AS metadata"
     data = """map_from_entries(transform(slice(array('a', 'b', 'c'), 1, n_nationkey % 4),
         k -> struct(k, concat('secret-value-', k))))"""
     ingress = f"""struct('Ingress' AS kind, {meta.format(p='ing')},

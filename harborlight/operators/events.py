@@ -182,8 +182,13 @@ def merge_events(rows: DataFrame, seq: Column) -> DataFrame:
 
 
 def arrival_order() -> Column:
-    """Order by the object's own version, for inputs without a line position."""
-    return F.col("resource_version").try_cast("long")
+    """Order by the object's own version, then by event time.
+
+    For inputs without a line position, such as streams, whose files may be read
+    in any order.
+    """
+    version = F.col("resource_version").try_cast("long")
+    return F.struct(version, F.coalesce("last_timestamp", "first_timestamp"))
 
 
 def cluster_events(

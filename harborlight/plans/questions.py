@@ -9,7 +9,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from harborlight.functions.times import instant
+from harborlight.functions.times import utc
 
 QUESTIONS = {
     "recent_errors": """
@@ -61,5 +61,5 @@ def ask(spark: SparkSession, question: str, as_of: dt.datetime | None = None) ->
     sql = QUESTIONS[question]
     if ":as_of" not in sql:
         return spark.sql(sql)
-    moment = as_of if as_of is not None else dt.datetime.now(dt.timezone.utc)
-    return spark.sql(sql, args={"as_of": instant(moment)})
+    moment = utc(as_of) if as_of is not None else dt.datetime.now(dt.timezone.utc)
+    return spark.sql(sql, args={"as_of": moment})
