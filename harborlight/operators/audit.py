@@ -15,7 +15,12 @@ from harborlight.functions.text import empty_to_null, is_blank, or_empty
 from harborlight.functions.times import instant, parse_rfc3339, resolve_since, within
 from harborlight.operators import filters, options
 from harborlight.operators.enrich import with_source
-from harborlight.operators.positional import head_per_group, tail_per_group
+from harborlight.operators.positional import (
+    head_per_group,
+    number_lines,
+    place_of,
+    tail_per_group,
+)
 
 SOURCE_TYPE = "kubernetes_audit_logs"
 
@@ -156,7 +161,7 @@ def audit_logs(
     partition: str = "default",
     cluster_name: str = "",
     stream_keys: Sequence[str] = ("file_path",),
-    order: Sequence[str] = ("block_start", "line_no"),
+    order: Sequence[str] | None = None,
     since: dt.datetime | None = None,
     lookback: str | None = None,
     default_lookback: str | None = None,
@@ -169,7 +174,8 @@ def audit_logs(
     """``audit_logs`` rows of landed lines.
 
     ``stream_keys`` identify one input file or stream, ``order`` the position of
-    a line in it; both are only read when a positional limit is set.
+    a line in it (by default its place in the file); both are only read when a
+    positional limit is set.
     """
     for name, value in (
         ("limit_per_stream", limit_per_stream),
@@ -179,12 +185,16 @@ def audit_logs(
         options.non_negative(name, value)
     start = resolve_since(since, lookback, as_of, default_lookback)
     positional = any(v is not None for v in (limit_per_stream, tail_lines, limit))
-    keep = [*stream_keys, *order] if positional else []
+    keep: list[str] = []
+    if positional:
+        lines = number_lines(lines)
+        order = list(order or [c for c in place_of(lines) if c not in stream_keys])
+        keep = [*stream_keys, *order]
     if tail_lines is not None:
-        lines = tail_per_group(lines, list(stream_keys), list(order), tail_lines)
+        lines = tail_per_group(lines, list(stream_keys), order, tail_lines)
     rows = filter_audit(parse_audit(lines, cluster_name, keep=keep), since=start, **audit_filters)
     if limit_per_stream is not None:
-        rows = head_per_group(rows, list(stream_keys), list(order), limit_per_stream)
+        rows = head_per_group(rows, list(stream_keys), order, limit_per_stream)
     rows = filters.first_rows(rows, keep, limit)
     return schemas.conform(
         enrich_audit(rows, partition, cluster_name=cluster_name, range_start=start),

@@ -15,6 +15,7 @@ from harborlight.functions.text import empty_to_null, is_blank, or_empty
 from harborlight.functions.times import instant, parse_object_time, resolve_since, within
 from harborlight.operators import filters, options
 from harborlight.operators.enrich import with_source
+from harborlight.operators.positional import number_lines, place_of
 
 SOURCE_TYPE = "kubernetes_events"
 
@@ -194,8 +195,7 @@ def arrival_order() -> Column:
 def cluster_events(
     lines: DataFrame,
     *,
-    seq: Column | None = None,
-    keep: Sequence[str] = (),
+    order: Sequence[str] | None = None,
     as_of: dt.datetime | None = None,
     since: dt.datetime | None = None,
     lookback: str | None = None,
@@ -206,16 +206,20 @@ def cluster_events(
 ) -> DataFrame:
     """``cluster_events`` rows: parsed, filtered, merged, cut to ``limit``.
 
-    ``seq`` may use the columns named in ``keep``; the default is the objects'
-    resource version.
+    ``order`` names the line columns that give the arrival order: by default the
+    place in the files or ``line_no``, else the objects' own order.
     """
     options.non_negative("limit", limit)
     start = resolve_since(since, lookback, as_of)
+    if order is None:
+        if "file_path" in lines.columns:
+            lines = number_lines(lines)
+        order = place_of(lines) if "line_no" in lines.columns else []
     parsed = parse_events(
-        lines, as_of=as_of, cluster_name=cluster_name, keep=keep, watch=watch
+        lines, as_of=as_of, cluster_name=cluster_name, keep=order, watch=watch
     )
     rows = filter_events(parsed, since=start, **event_filters)
-    merged = merge_events(rows, seq if seq is not None else arrival_order())
+    merged = merge_events(rows, F.struct(*order) if order else arrival_order())
     merged = filters.first_rows(merged, ["deduplication_key"], limit)
     return schemas.conform(
         with_source(merged, SOURCE_TYPE, cluster_name), schemas.CLUSTER_EVENTS

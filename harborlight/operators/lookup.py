@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
+_SALT = "_salt"
+
 
 def fits_broadcast(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
@@ -24,11 +26,25 @@ def fits_broadcast(
 
 
 def lookup_join(
-    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], broadcast: bool
+    facts: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    broadcast: bool,
+    salts: int = 1,
 ) -> DataFrame:
     """Inner join on unique lookup keys.
 
-    Without the broadcast both sides are shuffled on the keys, and AQE splits
-    the partitions of a hot key on the fact side.
+    Without the broadcast both sides are shuffled on the keys.  In batch jobs AQE
+    then splits the partitions of a hot key on the fact side; streams run
+    without AQE and spread every key over ``salts`` tasks instead, each with its
+    own copy of the lookup row.
     """
-    return facts.join(F.broadcast(lookup) if broadcast else lookup, list(keys))
+    if broadcast:
+        return facts.join(F.broadcast(lookup), list(keys))
+    if salts <= 1:
+        return facts.join(lookup, list(keys))
+    copies = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = facts.withColumn(
+        _SALT, F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
+    )
+    return spread.join(copies, [*keys, _SALT]).drop(_SALT)

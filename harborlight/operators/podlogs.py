@@ -1,7 +1,7 @@
 """Container log lines → ``pod_logs`` rows.
 
-Input lines carry ``namespace``, ``pod_name``, ``container_name``, the text
-``value`` and a position within the container (``order``).
+Input lines carry ``namespace``, ``pod_name``, ``container_name`` and the text
+``value``, with a ``line_no`` or the file and split they were read from.
 """
 
 from __future__ import annotations
@@ -20,7 +20,13 @@ from harborlight.functions.times import parse_rfc3339, resolve_since, within
 from harborlight.operators import filters, options
 from harborlight.operators.enrich import with_source
 from harborlight.operators.lookup import fits_broadcast, lookup_join
-from harborlight.operators.positional import bytes_per_group, head_per_group, tail_per_group
+from harborlight.operators.positional import (
+    bytes_per_group,
+    head_per_group,
+    number_lines,
+    place_of,
+    tail_per_group,
+)
 
 SOURCE_TYPE = "kubernetes_pod_logs"
 CONTAINER = ["namespace", "pod_name", "container_name"]
@@ -145,7 +151,7 @@ def pod_logs(
     lines: DataFrame,
     containers: DataFrame,
     *,
-    order: Sequence[str] = ("line_no",),
+    order: Sequence[str] | None = None,
     since: dt.datetime | None = None,
     until: dt.datetime | None = None,
     lookback: str | None = None,
@@ -166,7 +172,9 @@ def pod_logs(
 
     Tail, then byte budget, then parsing, level and time filters, then the
     per-container row limit, as the log endpoint and the reader apply them.
-    ``broadcast=None`` measures the container side first.
+    ``order`` are the columns that order a container's lines, by default their
+    place in the files or ``line_no``.  ``broadcast=None`` measures the container
+    side first.
     """
     for name, value in (
         ("tail_lines", tail_lines),
@@ -183,6 +191,8 @@ def pod_logs(
 
     # namespace and pod name are path keys: these prune files before any read
     rows = filters.search(filters.in_namespaces(lines, namespaces), "pod_name", pod_name_pattern)
+    rows = number_lines(rows)
+    order = list(order or place_of(rows))
     if small:
         # free of a shuffle, so unwanted containers leave before the windows
         rows = lookup_join(rows, chosen, CONTAINER, broadcast=True)
@@ -202,8 +212,6 @@ def pod_logs(
     rows = with_source(
         rows.withColumn("cluster_name", F.lit(cluster_name)), SOURCE_TYPE, cluster_name
     )
-    if "line_no" not in rows.columns:
-        rows = rows.withColumn("line_no", F.col(order[-1]).cast("long"))
     return schemas.conform(rows, schemas.POD_LOGS)
 
 

@@ -12,6 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Order of lines read from files.
+PLACE = ["file_path", "block_start", "line_no"]
+
 # Up to this many rows per group a row_number filter is planned as a partial and
 # final group limit (spark.sql.optimizer.windowGroupLimitThreshold default).
 SMALL_LIMIT = 1000
@@ -28,6 +31,22 @@ _BEFORE = "_before"
 _RUNNING = "_running"
 
 
+def number_lines(df: DataFrame) -> DataFrame:
+    """Complete the place of lines read from files; numbered lines stay as they are.
+
+    One task reads a whole split in order, so the number within the task orders
+    the lines of a split.  Apply filters on path keys first.
+    """
+    if "line_no" in df.columns:
+        return df
+    return df.withColumn("line_no", F.monotonically_increasing_id())
+
+
+def place_of(df: DataFrame) -> list[str]:
+    """The columns that order the lines of a frame."""
+    return PLACE if "file_path" in df.columns else ["line_no"]
+
+
 def head_per_group(
     df: DataFrame,
     keys: Sequence[str],

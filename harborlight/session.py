@@ -14,6 +14,8 @@ REQUIRED_SQL_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # also split a hot key when a later grouping would reuse the join's partitioning
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # a LIMIT larger than this becomes a spillable range sort instead of an

@@ -31,28 +31,29 @@ _CONTAINER_LINE = T.StructType(
 
 
 def _placed(df: DataFrame) -> DataFrame:
-    """Lines with their place: file, split start, number within the scan task.
+    """Lines with the file and the split start they come from.
 
-    Only a line feed ends a line; a carriage return before it is dropped.
-    (block_start, line_no) orders the lines of one file, because one task reads
-    a whole split.
+    Only a line feed ends a line; a carriage return before it is dropped.  Lines
+    are numbered later (``operators.positional.number_lines``), because a filter
+    on path keys above a numbering would no longer prune files.
     """
+    line = F.col("value")
+    shorter = F.substr(line, F.lit(1), F.char_length(line) - 1)
     return df.select(
-        F.regexp_replace("value", "\r$", "").alias("value"),
+        F.when(line.endswith("\r"), shorter).otherwise(line).alias("value"),
         *[F.col(c) for c in df.columns if c != "value"],
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("line_no"),
     )
 
 
 def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines of text files with file_path, block_start, line_no."""
+    """Lines of text files with file_path and block_start."""
     return _placed(spark.read.option("lineSep", "\n").text(paths))
 
 
 def scan_container_logs(spark: SparkSession, root: str) -> DataFrame:
-    """Lines of landed container logs; order them by file_path, block_start, line_no."""
+    """Lines of landed container logs, keyed by their path."""
     return _placed(spark.read.schema(_CONTAINER_LINE).option("lineSep", "\n").text(root))
 
 

@@ -14,6 +14,9 @@ from harborlight.operators.collect_once import ROW_ID, ROW_MS
 from harborlight.operators.enrich import with_source
 from harborlight.operators.lookup import fits_broadcast, lookup_join
 
+# Tasks a hot container is spread over when its pods cannot be broadcast.
+STREAM_SALTS = 32
+
 
 def watch_events(
     lines: DataFrame,
@@ -62,7 +65,7 @@ def follow_logs(
         label_selectors,
     )
     small = fits_broadcast(chosen) if broadcast is None else broadcast
-    rows = lookup_join(lines, chosen, podlogs.CONTAINER, small)
+    rows = lookup_join(lines, chosen, podlogs.CONTAINER, small, salts=STREAM_SALTS)
     rows = podlogs.filter_lines(podlogs.parse_timestamps(rows), since, until, log_levels)
     rows = rows.withColumn("cluster_name", F.lit(cluster_name))
     return schemas.conform(

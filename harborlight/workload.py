@@ -446,7 +446,7 @@ def merged_columns(rows: DataFrame) -> DataFrame:
 @query
 def event_merge(spark, sf_dir):
     rows = events.cluster_events(
-        fx.event_objects(spark, sf_dir), seq=F.col("line_no"), keep=["line_no"], as_of=FALLBACK
+        fx.event_objects(spark, sf_dir), as_of=FALLBACK
     )
     return merged_columns(rows)
 
@@ -651,16 +651,12 @@ def container_log_files(spark: SparkSession, sf_dir: str) -> str:
     return land(spark, sf_dir, "container-logs", write)
 
 
-PLACE = ["file_path", "block_start", "line_no"]
-
-
 @query
 def scan_pod_logs(spark, sf_dir):
     lines = landed.scan_container_logs(spark, container_log_files(spark, sf_dir))
     rows = podlogs.pod_logs(
         lines,
         containers(spark, sf_dir),
-        order=PLACE,
         namespaces=["kube-system", "monitoring"],
         tail_lines=5,
     )
@@ -686,7 +682,7 @@ def event_files(spark: SparkSession, sf_dir: str) -> str:
 def scan_events(spark, sf_dir):
     """Merged by place in the files, which is the arrival order."""
     lines = landed.scan_objects(spark, event_files(spark, sf_dir))
-    rows = events.cluster_events(lines, seq=F.struct(*PLACE), keep=PLACE, as_of=FALLBACK)
+    rows = events.cluster_events(lines, as_of=FALLBACK)
     return merged_columns(rows)
 
 

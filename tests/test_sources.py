@@ -1,0 +1,205 @@
+from __future__ import annotations
+
+import datetime as dt
+import json
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from harborlight.operators import audit, podlogs
+from harborlight.operators.collect_once import with_collect_key
+from harborlight.operators.positional import number_lines
+from harborlight.session import scratch_dir
+from harborlight.sources import audit_sources, landed, sink
+from helpers import plan
+
+
+def entry(i, **changes):
+    return json.dumps(
+        {
+            "kind": "Event",
+            "auditID": f"a{i}",
+            "verb": "get",
+            "stageTimestamp": f"2024-01-0{1 + i % 3}T00:00:00Z",
+            "user": {"username": "jo"},
+            "objectRef": {"resource": "pods", "namespace": "default"},
+            **changes,
+        }
+    )
+
+
+def test_lines_keep_their_place(spark, tmp_path):
+    (tmp_path / "a.log").write_bytes(b"one\r\ntwo\rstill two\r\r\n\nlast")
+    df = number_lines(landed.scan_lines(spark, str(tmp_path)))
+    rows = df.orderBy("block_start", "line_no").collect()
+    assert [r.value for r in rows] == ["one", "two\rstill two\r", "", "last"]
+    assert all(r.file_path.endswith("a.log") for r in rows)
+
+
+def test_order_across_splits(spark, tmp_path):
+    (tmp_path / "a.log").write_text("".join(f"{i:06d}\n" for i in range(5000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        df = number_lines(landed.scan_lines(spark, str(tmp_path)))
+        assert df.rdd.getNumPartitions() > 4
+        rows = df.orderBy("block_start", "line_no").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [int(r.value) for r in rows] == list(range(5000))
+
+
+def test_container_keys_come_from_the_path(spark, tmp_path):
+    for ns, pod in (("a", "p"), ("b", "p")):
+        folder = tmp_path / f"namespace={ns}" / f"pod_name={pod}" / "container_name=app"
+        folder.mkdir(parents=True)
+        (folder / "0.log").write_text(f"hello {ns}\n")
+    df = landed.scan_container_logs(spark, str(tmp_path)).where("namespace = 'b'")
+    assert [(r.namespace, r.pod_name, r.container_name, r.value) for r in df.collect()] == [
+        ("b", "p", "app", "hello b")
+    ]
+    assert "PartitionFilters: [isnotnull(namespace" in plan(df)
+
+
+def test_namespaces_prune_files_below_the_numbering(spark, tmp_path):
+    folder = tmp_path / "namespace=b" / "pod_name=p" / "container_name=app"
+    folder.mkdir(parents=True)
+    (folder / "0.log").write_text("x\n")
+    containers = spark.createDataFrame(
+        [("b", "p", "app", 0, "n", {}, {}, 0, True)],
+        "namespace string, pod_name string, container_name string, container_index int,"
+        " node_name string, labels map<string,string>, annotations map<string,string>,"
+        " restart_count int, has_logs boolean",
+    )
+    rows = podlogs.pod_logs(
+        landed.scan_container_logs(spark, str(tmp_path)), containers, namespaces="b", tail_lines=3
+    )
+    assert [r.log_message for r in rows.collect()] == ["x"]
+    assert "namespace#" in re.search(r"PartitionFilters: \[([^\]]*)", plan(rows)).group(1)
+
+
+@pytest.fixture()
+def files(tmp_path):
+    (tmp_path / "empty.log").write_text("")
+    (tmp_path / "noise.log").write_text("not json\n" + entry(9, kind="Pod") + "\n")
+    (tmp_path / "one.log").write_text(entry(1) + "\n" + entry(2) + "\n")
+    (tmp_path / "two.log").write_text(entry(3) + "\n")
+    return tmp_path
+
+
+def ids(df):
+    return sorted(r.audit_id for r in df.collect())
+
+
+def test_first_path_with_rows_wins(spark, files):
+    paths = [f"{files}/{n}.log" for n in ("missing", "empty", "noise", "one", "two")]
+    assert ids(audit_sources.audit_from_files(spark, audit.audit_logs, paths)) == ["a1", "a2"]
+    # a path is passed over when the filters leave nothing of it
+    only3 = lambda lines: audit.audit_logs(lines).where("audit_id = 'a3'")
+    assert ids(audit_sources.audit_from_files(spark, only3, paths)) == ["a3"]
+    with pytest.raises(audit_sources.NoAuditEntries):
+        audit_sources.audit_from_files(spark, audit.audit_logs, paths[:3])
+
+
+def test_two_entries_end_to_end(spark, files):
+    window = dict(since=dt.datetime(2024, 1, 1), until=dt.datetime(2024, 1, 4))
+    rows = audit_sources.collect_audit(
+        spark,
+        lambda lines: audit.audit_logs(lines, **window),
+        method="file",
+        audit_log_paths=[f"{files}/one.log"],
+    ).collect()
+    assert len(rows) == 2
+    assert {(r.user_name, r.verb, r.resource) for r in rows} == {("jo", "get", "pods")}
+
+
+@pytest.fixture()
+def cluster(spark):
+    """An API-server pod under two selectors, a collector, and a plain pod."""
+    labels = {
+        "api": {"component": "kube-apiserver", "tier": "control-plane"},
+        "elsewhere": {"component": "kube-apiserver"},
+        "shipper": {"app.kubernetes.io/name": "audit-logs"},
+        "web": {"app": "web"},
+    }
+    spaces = {"api": "kube-system", "elsewhere": "default", "shipper": "default", "web": "default"}
+    containers = spark.createDataFrame(
+        [(spaces[p], p, "app", labels[p]) for p in labels],
+        "namespace string, pod_name string, container_name string, labels map<string,string>",
+    )
+    texts = [
+        ("api", entry(1)),
+        ("api", "plain log line"),
+        ("elsewhere", entry(2)),
+        ("shipper", entry(3)),
+        ("web", entry(4)),
+    ]
+    lines = spark.createDataFrame(
+        [(spaces[p], p, "app", t) for p, t in texts],
+        "namespace string, pod_name string, container_name string, value string",
+    )
+    return lines, containers
+
+
+def test_cascade(spark, files, cluster):
+    lines, containers = cluster
+
+    def run(**kw):
+        kw = {"container_lines": lines, "containers": containers, **kw}
+        return ids(audit_sources.collect_audit(spark, audit.audit_logs, **kw))
+
+    one = [f"{files}/one.log"]
+    assert run(audit_log_paths=one) == ["a1", "a2"]
+    assert run(audit_log_paths=[f"{files}/noise.log"]) == ["a1"]  # read once, though two labels match
+    assert run(audit_log_paths=one, api_only=True) == ["a1"]
+    assert run(method="daemonset") == ["a3"]
+    quiet = lines.where("pod_name <> 'api'")
+    assert run(audit_log_paths=[f"{files}/missing"], container_lines=quiet) == ["a3"]
+    with pytest.raises(audit_sources.NoAuditEntries):
+        run(method="file", audit_log_paths=[f"{files}/noise.log"])
+    with pytest.raises(ValueError):
+        run(method="ftp")
+
+
+def test_overlapping_runs_append_once(spark, tmp_path):
+    path = str(tmp_path / "table")
+    lines = spark.createDataFrame([(entry(i),) for i in range(9)], "value string")
+    rows = audit.enrich_audit(audit.parse_audit(lines), "p")
+    keyed = with_collect_key(rows, F.col("tp_id"), F.col("tp_timestamp")).drop("annotations")
+    sink.append_new_rows(keyed.where("audit_id < 'a5'"), path)
+    sink.append_new_rows(keyed, path, since=dt.datetime(2024, 1, 1), until=dt.datetime(2024, 1, 9))
+    sink.append_new_rows(keyed, path)
+    table = sink.read_partitioned(spark, path)
+    assert ids(table) == [f"a{i}" for i in range(9)]
+    days = sorted(p.name for p in (tmp_path / "table" / "tp_partition=p").iterdir())
+    assert days == ["tp_date=2024-01-01", "tp_date=2024-01-02", "tp_date=2024-01-03"]
+
+
+def test_scratch_folders_are_fresh(spark, tmp_path):
+    assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
+
+
+class FakeSession:
+    """A session on a cluster with the given settings."""
+
+    def __init__(self, **settings):
+        self.settings = {"spark.master": "yarn", **settings}
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.settings.get(key, default)
+
+
+def test_scratch_folder_on_a_cluster(tmp_path):
+    shared = FakeSession(**{"spark.checkpoint.dir": f"{tmp_path}/"})
+    assert scratch_dir(shared, "x").startswith(f"{tmp_path}/x-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(FakeSession(), "x")
+
+
+def test_container_selection_uses_any_selector(cluster):
+    lines, containers = cluster
+    got = audit_sources.lines_of_labelled_pods(lines, containers, ["app=web", "tier=control-plane"])
+    assert sorted(r.pod_name for r in got.collect()) == ["api", "api", "web"]
+    assert set(got.columns) >= set(podlogs.CONTAINER)
