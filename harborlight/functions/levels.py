@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from harborlight.functions.strict_json import json_docs, strict_str
+from harborlight.functions.strict_json import json_docs, reads_as_other, strict_str
 from harborlight.functions.text import empty_to_null, starts_with_brace, trim_space
 
 # The member names a JSON line may carry its level in, in order.
@@ -29,7 +31,8 @@ LEVEL_WORDS = [
 ]
 DEFAULT_LEVEL = "INFO"
 
-_LEVEL_FIELDS = ", ".join(f"{k} variant" for k in JSON_LEVEL_KEYS)
+_LEVEL_FIELDS = ", ".join(f"{k} string" for k in JSON_LEVEL_KEYS)
+_TYPED_FIELDS = ", ".join(f"{k} variant" for k in JSON_LEVEL_KEYS)
 
 
 def level_docs(message: Column) -> Column:
@@ -37,11 +40,20 @@ def level_docs(message: Column) -> Column:
     return F.when(starts_with_brace(message), json_docs(trim_space(message), _LEVEL_FIELDS))
 
 
-def level_from_json(docs: Column) -> Column:
-    """First key holding a string decides; an empty string decides "none"."""
+def level_from_json(docs: Column, message: Column) -> Column:
+    """First key holding a string decides; an empty string decides "none".
+
+    ``docs`` is :func:`level_docs` of the message.  Values that do not read as
+    plain text are looked up again with their types.
+    """
     doc = F.get(docs, F.lit(0))
-    texts = [strict_str(doc[k]) for k in JSON_LEVEL_KEYS]
-    return F.when(F.size(docs) == 1, empty_to_null(F.upper(F.coalesce(*texts))))
+    leaves = [doc[k] for k in JSON_LEVEL_KEYS]
+    typed = F.get(json_docs(trim_space(message), _TYPED_FIELDS), F.lit(0))
+    odd = reduce(lambda a, b: a | b, [F.coalesce(reads_as_other(x), F.lit(False)) for x in leaves])
+    level = F.when(odd, F.coalesce(*[strict_str(typed[k]) for k in JSON_LEVEL_KEYS])).otherwise(
+        F.coalesce(*leaves)
+    )
+    return F.when(F.size(docs) == 1, empty_to_null(F.upper(level)))
 
 
 def level_from_logfmt(message: Column) -> Column:
@@ -61,5 +73,5 @@ def level_from_words(message: Column) -> Column:
 
 def level_cascade(docs: Column, message: Column) -> Column:
     return F.coalesce(
-        level_from_json(docs), level_from_logfmt(message), level_from_words(message)
+        level_from_json(docs, message), level_from_logfmt(message), level_from_words(message)
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from harborlight import schemas
 from harborlight.functions.identity import audit_identity, identity_time
-from harborlight.functions.strict_json import parse_objects, strict_str, strict_str_array, whole
+from harborlight.functions.strict_json import parse_objects, text_at, texts_at, whole
 from harborlight.functions.text import empty_to_null, is_blank, or_empty
 from harborlight.functions.times import instant, parse_rfc3339, resolve_since, within
 from harborlight.operators import filters, options
@@ -25,19 +25,18 @@ from harborlight.operators.positional import (
 SOURCE_TYPE = "kubernetes_audit_logs"
 
 _LINE_FIELDS = (
-    "kind variant, apiVersion variant, level variant, auditID variant, stage variant,"
-    " requestURI variant, verb variant, userAgent variant,"
-    " user struct<username variant, uid variant, groups array<variant>>,"
-    " objectRef struct<namespace variant, resource variant, subresource variant,"
-    " name variant, apiGroup variant, apiVersion variant>,"
-    " requestReceivedTimestamp variant, stageTimestamp variant, sourceIPs array<variant>,"
-    " responseStatus struct<code double, status variant, reason variant>,"
+    "kind string, apiVersion string, level string, auditID string, stage string,"
+    " requestURI string, verb string, userAgent string,"
+    " user struct<username string, uid string, groups array<string>>,"
+    " objectRef struct<namespace string, resource string, subresource string,"
+    " name string, apiGroup string, apiVersion string>,"
+    " requestReceivedTimestamp string, stageTimestamp string, sourceIPs array<string>,"
+    " responseStatus struct<code double, status string, reason string>,"
     " annotations map<string,variant>"
 )
 
 # Columns that are empty text when missing; the other texts are NULL then.
 _PLAIN_TEXT = {
-    "kind": "kind",
     "api_version": "apiVersion",
     "level": "level",
     "audit_id": "auditID",
@@ -68,20 +67,22 @@ def parse_audit(
     ``keep`` names input columns (a file path, a line position) to carry along.
     """
     doc = parse_objects(lines.where(~is_blank(F.col(text))), F.col(text), _LINE_FIELDS)
-    entries = doc.where(strict_str(F.col("doc.kind")) == "Event")
+    # "Event" and a time cannot be the text of anything but a string
+    entries = doc.where(F.col("doc.kind") == "Event")
 
     def leaf(path: str) -> Column:
-        return strict_str(F.col(f"doc.{path}"))
+        return text_at("doc", path, text)
 
     return entries.select(
         *keep,
+        F.col("doc.kind").alias("kind"),
         *[or_empty(leaf(p)).alias(c) for c, p in _PLAIN_TEXT.items()],
         *[empty_to_null(leaf(p)).alias(c) for c, p in _OPTIONAL_TEXT.items()],
-        strict_str_array(F.col("doc.user.groups")).alias("user_groups"),
+        texts_at("doc", "user.groups", text).alias("user_groups"),
         F.lit(False).alias("impersonated"),
-        parse_rfc3339(leaf("requestReceivedTimestamp")).alias("request_received_time"),
-        parse_rfc3339(leaf("stageTimestamp")).alias("stage_timestamp"),
-        strict_str_array(F.col("doc.sourceIPs")).alias("source_ips"),
+        parse_rfc3339(F.col("doc.requestReceivedTimestamp")).alias("request_received_time"),
+        parse_rfc3339(F.col("doc.stageTimestamp")).alias("stage_timestamp"),
+        texts_at("doc", "sourceIPs", text).alias("source_ips"),
         whole(F.col("doc.responseStatus.code")).alias("response_code"),
         F.lit(cluster_name).alias("cluster_name"),
         F.col("doc.annotations").alias("annotations"),

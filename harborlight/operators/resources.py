@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import warnings
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +16,12 @@ from harborlight.functions.strict_json import (
     parse_objects,
     pick,
     pick_bool,
+    pick_number,
+    reads_as_other,
     strict_str,
-    strict_str_array,
+    text_at,
+    texts_at,
+    variants_at,
     whole,
 )
 from harborlight.functions.text import empty_to_null, is_blank, or_empty
@@ -49,16 +53,20 @@ SHORT_NAMES = {
 }
 _LISTABLE = [*KINDS, "ReplicaSet"]
 
+_CONDITION_FIELDS = "type string, status string, reason string, message string"
+# Resource versions are strings of digits, which only a VARIANT leaf keeps apart
+# from numbers at no extra parse.
 _OBJECT_FIELDS = (
-    "kind variant, type variant, data map<string,variant>,"
-    " metadata struct<name variant, namespace variant, uid variant, resourceVersion variant,"
-    " creationTimestamp variant, labels map<string,string>, annotations map<string,string>,"
+    "kind string, type string, data map<string,string>,"
+    " metadata struct<name string, namespace string, uid string, resourceVersion variant,"
+    " creationTimestamp string, labels map<string,string>, annotations map<string,string>,"
     " ownerReferences array<variant>>,"
-    " spec struct<nodeName variant, type variant, clusterIP variant, externalIPs array<variant>,"
-    " replicas double, storageClassName variant, volumeMode variant,"
-    " accessModes array<variant>, ingressClassName variant>,"
-    " status struct<phase variant, state variant, podIP variant, qosClass variant,"
-    " containerStatuses array<variant>, conditions array<variant>,"
+    " spec struct<nodeName string, type string, clusterIP string, externalIPs array<string>,"
+    " replicas double, storageClassName string, volumeMode string,"
+    " accessModes array<string>, ingressClassName string>,"
+    " status struct<phase string, state string, podIP string, qosClass string,"
+    " containerStatuses array<struct<restartCount double>>,"
+    f" conditions array<struct<{_CONDITION_FIELDS}, lastTransitionTime string>>,"
     " replicas double, readyReplicas double, updatedReplicas double,"
     " availableReplicas double, unavailableReplicas double,"
     " desiredNumberScheduled double, currentNumberScheduled double, numberReady double,"
@@ -86,10 +94,6 @@ def resource_kinds(names: Iterable[str]) -> list[str]:
     return kinds
 
 
-def _leaf(path: str) -> Column:
-    return strict_str(F.col(f"doc.{path}"))
-
-
 def _count(path: str) -> Column:
     return whole(F.col(f"doc.{path}"))
 
@@ -108,38 +112,59 @@ def owner_references(items: Column) -> Column:
     )
 
 
-def conditions(items: Column) -> Column:
-    """Object elements as structs, in list order."""
-    return F.transform(
-        F.filter(items, is_object),
-        lambda c: F.struct(
-            or_empty(pick(c, "type")).alias("type"),
-            or_empty(pick(c, "status")).alias("status"),
-            empty_to_null(pick(c, "reason")).alias("reason"),
-            empty_to_null(pick(c, "message")).alias("message"),
-            parse_rfc3339(pick(c, "lastTransitionTime")).alias("last_transition_time"),
-        ),
-    )
+def _of_variants(items: Column, member: Callable[[Column, str], Column]) -> Column:
+    return F.transform(F.filter(items, is_object), lambda c: _condition(c, member))
 
 
-def _condition_flags(items: Column) -> Column:
-    """What the status rule needs of the conditions."""
-    return F.transform(
-        items, lambda c: F.struct(pick(c, "type").alias("type"), pick(c, "status").alias("status"))
+def _condition(c: Column, member: Callable[[Column, str], Column]) -> Column:
+    return F.named_struct(
+        F.lit("type"),
+        or_empty(member(c, "type")),
+        F.lit("status"),
+        or_empty(member(c, "status")),
+        F.lit("reason"),
+        empty_to_null(member(c, "reason")),
+        F.lit("message"),
+        empty_to_null(member(c, "message")),
+        F.lit("last_transition_time"),
+        parse_rfc3339(member(c, "lastTransitionTime")),
     )
 
 
-def _restarts(statuses: Column) -> Column:
+def conditions(source: str) -> Column:
+    """Object elements of the status conditions as structs, in list order.
+
+    Lists of plain text are used as parsed; anything else is read again with
+    its types.
+    """
+    items = F.col("doc.status.conditions")
+
+    def odd(c: Column) -> Column:
+        leaves = [c[f.split()[0]] for f in _CONDITION_FIELDS.split(", ")]
+        found = [F.coalesce(reads_as_other(x), F.lit(False)) for x in leaves]
+        return c.isNull() | found[0] | found[1] | found[2] | found[3]
+
+    plain = F.transform(items, lambda c: _condition(c, lambda x, name: x[name]))
+    typed = _of_variants(variants_at("status.conditions", source), pick)
+    return F.when(~F.exists(items, odd), plain).otherwise(typed)
+
+
+def _restarts(source: str) -> Column:
     """Sum over container statuses; missing or non-numeric counts add nothing."""
 
-    def add(total: Column, status: Column) -> Column:
-        member = F.try_variant_get(status, "$.restartCount", "variant")
-        kind = F.schema_of_variant(member)
-        numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
-        count = F.when(numeric, whole(F.try_variant_get(status, "$.restartCount", "double")))
-        return total + F.coalesce(count, F.lit(0))
+    def add(count: Callable[[Column], Column]):
+        return lambda total, status: total + F.coalesce(whole(count(status)), F.lit(0))
 
-    return F.coalesce(F.aggregate(statuses, F.lit(0), add), F.lit(0))
+    plain = F.aggregate(
+        F.col("doc.status.containerStatuses"), F.lit(0), add(lambda s: s["restartCount"])
+    )
+    # a list with elements that are no objects does not fit the declared type
+    typed = F.aggregate(
+        variants_at("status.containerStatuses", source),
+        F.lit(0),
+        add(lambda s: pick_number(s, "restartCount")),
+    )
+    return F.coalesce(plain, typed, F.lit(0))
 
 
 def _replicas(desired: Column, *rest: str | None) -> Column:
@@ -185,9 +210,9 @@ def _replicas_by_kind(kind: Column) -> Column:
     )
 
 
-def _status_by_kind(kind: Column) -> Column:
+def _status_by_kind(kind: Column, leaf: Callable[[str], Column], source: str) -> Column:
     """Kinds whose status comes from ``status`` report empty text without one."""
-    phase = or_empty(_leaf("status.phase"))
+    phase = or_empty(leaf("status.phase"))
     has_status = F.col("doc.status").isNotNull()
     balanced = F.size("doc.status.loadBalancer.ingress") > 0
     scaled = scaled_status(_count("status.replicas"), _count("status.readyReplicas"))
@@ -195,7 +220,7 @@ def _status_by_kind(kind: Column) -> Column:
         _count("status.desiredNumberScheduled"), _count("status.numberReady")
     )
     rolled_out = deployment_status(
-        _condition_flags(F.col("doc.status.conditions")),
+        conditions(source),
         _count("status.replicas"),
         _count("status.readyReplicas"),
     )
@@ -210,15 +235,15 @@ def _status_by_kind(kind: Column) -> Column:
         .when(kind == "StatefulSet", given(scaled))
         .when(kind == "DaemonSet", given(daemon))
         .when(kind == "Ingress", F.when(balanced, "Ready").otherwise("Active"))
-        .otherwise(generic_status(_leaf("status.phase"), _leaf("status.state")))
+        .otherwise(generic_status(leaf("status.phase"), leaf("status.state")))
     )
 
 
-def _status_details(kind: Column) -> Column:
+def _status_details(kind: Column, leaf: Callable[[str], Column]) -> Column:
     """The status object; for key-value kinds only the number of keys (and secret type)."""
     summary = F.struct(
         F.array_size(F.map_keys("doc.data")).alias("data_keys_count"),
-        F.when(kind == "Secret", _leaf("type")).alias("type"),
+        F.when(kind == "Secret", leaf("type")).alias("type"),
     )
     # the map size of a missing "data" is NULL, and to_json leaves NULLs out
     counted = F.parse_json(F.to_json(summary))
@@ -243,43 +268,45 @@ def parse_resources(
     request; otherwise those columns are NULL and their JSON is not built.
     Values of key-value objects are never projected.
     """
+
+    def leaf(path: str) -> Column:
+        return text_at("doc", path, text)
+
     parsed = parse_objects(objects.where(~is_blank(F.col(text))), F.col(text), _OBJECT_FIELDS)
     parsed = parsed.where(F.col("doc.metadata").isNotNull())
     if include_spec or include_status:
         parsed = parse_objects(parsed, F.col(text), _OPEN_FIELDS, "open")
     kind = F.col("resource_type")
-    parsed = parsed.withColumn("resource_type", or_empty(_leaf("kind")))
+    parsed = parsed.withColumn("resource_type", or_empty(leaf("kind")))
 
     def only(kinds: Sequence[str], value: Column) -> Column:
         return F.when(kind.isin(list(kinds)), value)
 
     volumes = ["PersistentVolume", "PersistentVolumeClaim"]
     columns = {
-        "namespace": or_empty(_leaf("metadata.namespace")),
+        "namespace": or_empty(leaf("metadata.namespace")),
         "resource_type": kind,
-        "resource_name": or_empty(_leaf("metadata.name")),
-        "status": _status_by_kind(kind),
-        "created_at": parse_rfc3339(_leaf("metadata.creationTimestamp")),
+        "resource_name": or_empty(leaf("metadata.name")),
+        "status": _status_by_kind(kind, leaf, text),
+        "created_at": parse_rfc3339(F.col("doc.metadata.creationTimestamp")),
         "labels": _map_or_empty("doc.metadata.labels"),
         "annotations": _map_or_empty("doc.metadata.annotations"),
-        "node_name": or_empty(only(["Pod"], _leaf("spec.nodeName"))),
+        "node_name": or_empty(only(["Pod"], leaf("spec.nodeName"))),
         "cluster_name": F.lit(cluster_name),
-        "uid": empty_to_null(_leaf("metadata.uid")),
-        "resource_version": empty_to_null(_leaf("metadata.resourceVersion")),
+        "uid": empty_to_null(leaf("metadata.uid")),
+        "resource_version": empty_to_null(strict_str(F.col("doc.metadata.resourceVersion"))),
         "replicas": _replicas_by_kind(kind),
-        "service_type": only(["Service"], empty_to_null(_leaf("spec.type"))),
-        "cluster_ip": only(["Service"], empty_to_null(_leaf("spec.clusterIP"))),
-        "external_ips": only(["Service"], strict_str_array(F.col("doc.spec.externalIPs"))),
-        "ingress_class": only(["Ingress"], empty_to_null(_leaf("spec.ingressClassName"))),
-        "storage_class": only(volumes, empty_to_null(_leaf("spec.storageClassName"))),
-        "volume_mode": only(volumes, empty_to_null(_leaf("spec.volumeMode"))),
-        "access_modes": only(volumes, strict_str_array(F.col("doc.spec.accessModes"))),
-        "pod_ip": only(["Pod"], empty_to_null(_leaf("status.podIP"))),
-        "phase": only(["Pod"], empty_to_null(_leaf("status.phase"))),
-        "restart_count": F.when(
-            kind == "Pod", _restarts(F.col("doc.status.containerStatuses"))
-        ).otherwise(0),
-        "qos_class": only(["Pod"], empty_to_null(_leaf("status.qosClass"))),
+        "service_type": only(["Service"], empty_to_null(leaf("spec.type"))),
+        "cluster_ip": only(["Service"], empty_to_null(leaf("spec.clusterIP"))),
+        "external_ips": only(["Service"], texts_at("doc", "spec.externalIPs", text)),
+        "ingress_class": only(["Ingress"], empty_to_null(leaf("spec.ingressClassName"))),
+        "storage_class": only(volumes, empty_to_null(leaf("spec.storageClassName"))),
+        "volume_mode": only(volumes, empty_to_null(leaf("spec.volumeMode"))),
+        "access_modes": only(volumes, texts_at("doc", "spec.accessModes", text)),
+        "pod_ip": only(["Pod"], empty_to_null(leaf("status.podIP"))),
+        "phase": only(["Pod"], empty_to_null(leaf("status.phase"))),
+        "restart_count": F.when(kind == "Pod", _restarts(text)).otherwise(0),
+        "qos_class": only(["Pod"], empty_to_null(leaf("status.qosClass"))),
     }
     if include_spec:
         open_spec = F.col("open.spec")
@@ -287,10 +314,10 @@ def parse_resources(
             F.parse_json(F.lit(_NOTHING_OPEN))
         )
     if include_status:
-        columns["status_details"] = _status_details(kind)
+        columns["status_details"] = _status_details(kind, leaf)
         columns["conditions"] = only(
             ["Pod", "Deployment", "StatefulSet", "DaemonSet"],
-            conditions(F.col("doc.status.conditions")),
+            conditions(text),
         )
     if include_owner_refs:
         columns["owner_references"] = owner_references(F.col("doc.metadata.ownerReferences"))

@@ -22,6 +22,9 @@ REQUIRED_SQL_CONF = {
     # in-memory heap per task
     "spark.sql.execution.topKSortFallbackThreshold": "100000",
     "spark.sql.files.ignoreMissingFiles": "true",
+    # the JVM does not compile methods beyond 8000 bytecodes: a fused stage larger
+    # than that would be interpreted, so such stages run operator by operator
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),

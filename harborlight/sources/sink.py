@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,14 +14,25 @@ from harborlight.operators.collect_once import ROW_ID, ROW_MS, not_yet_collected
 
 PARTITIONS = ["tp_partition", "tp_date"]
 
+# What each table is usually restricted to, for tables written whole.
+TABLE_PARTITIONS = {
+    "pod_logs": ["namespace"],
+    "cluster_events": ["event_type"],
+    "cluster_resources": ["resource_type"],
+    "audit_logs": PARTITIONS,
+}
 
-def write_partitioned(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Parquet by partition and day.
 
-    Rows are rebalanced on the partition columns first: small days share a
-    task, a huge day is split over many, and no task writes to every folder.
+def write_partitioned(
+    df: DataFrame, path: str, mode: str = "append", partitions: Sequence[str] = PARTITIONS
+) -> None:
+    """Parquet by partition columns, for audit entries partition name and day.
+
+    Rows are rebalanced on the partition columns first: small partitions share
+    a task, a huge one is split over many, and no task writes to every folder.
     """
-    df.hint("rebalance", *PARTITIONS).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+    rebalanced = df.hint("rebalance", *partitions)
+    rebalanced.write.mode(mode).partitionBy(*partitions).parquet(path)
 
 
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:

@@ -579,29 +579,56 @@ def resource_secret_redaction(spark, sf_dir):
 # --- questions ------------------------------------------------------------
 
 
+def collected(
+    spark: SparkSession, sf_dir: str, table: str, rows: Callable[[], DataFrame]
+) -> None:
+    """Register a table that was collected into Parquet before questions are asked."""
+
+    def write(path: str) -> None:
+        sink.write_partitioned(rows(), path, partitions=sink.TABLE_PARTITIONS[table])
+
+    path = land(spark, sf_dir, f"table-{table}", write)
+    register_views(**{table: sink.read_partitioned(spark, path)})
+
+
 @query
 def q1_recent_errors(spark, sf_dir):
-    register_views(pod_logs=podlogs.pod_logs(fx.log_lines(spark, sf_dir), containers(spark, sf_dir)))
+    collected(
+        spark,
+        sf_dir,
+        "pod_logs",
+        lambda: podlogs.pod_logs(fx.log_lines(spark, sf_dir), containers(spark, sf_dir)),
+    )
     answer = ask(spark, "recent_errors", AS_OF)
     return answer.select(ntz("timestamp"), "namespace", "pod_name", "log_message")
 
 
 @query
 def q2_backoff_warnings(spark, sf_dir):
-    merged = events.cluster_events(fx.event_objects(spark, sf_dir), as_of=FALLBACK)
-    register_views(cluster_events=merged)
+    collected(
+        spark,
+        sf_dir,
+        "cluster_events",
+        lambda: events.cluster_events(fx.event_objects(spark, sf_dir), as_of=FALLBACK),
+    )
     return ask(spark, "backoff_warnings")
 
 
 @query
 def q3_pods_per_namespace(spark, sf_dir):
-    rows = resources.cluster_resources(fx.resource_objects(spark, sf_dir), ordered=False)
-    register_views(cluster_resources=rows)
+    collected(
+        spark,
+        sf_dir,
+        "cluster_resources",
+        lambda: resources.cluster_resources(fx.resource_objects(spark, sf_dir), ordered=False),
+    )
     return ask(spark, "pods_per_namespace")
 
 
 def audit_answer(spark: SparkSession, sf_dir: str, question: str) -> DataFrame:
-    register_views(audit_logs=audit.audit_logs(fx.audit_lines(spark, sf_dir)))
+    collected(
+        spark, sf_dir, "audit_logs", lambda: audit.audit_logs(fx.audit_lines(spark, sf_dir))
+    )
     answer = ask(spark, question, AS_OF)
     shown = {"stage_timestamp": ntz, "source_ips": csv}
     return answer.select(*[shown.get(c, F.col)(c) for c in answer.columns])

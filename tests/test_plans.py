@@ -24,32 +24,42 @@ def test_a_line_is_parsed_once_however_many_filters(spark):
         response_codes=[200],
         uri_pattern="x",
     )
-    assert optimized(rows).count("from_json") == 1
+    assert optimized(rows).count("Generate inline") == 1
     objects = resources.cluster_resources(
         fx.resource_pods(spark, SF_DIR), statuses=["Running"], name_pattern="p", ordered=False
     )
-    assert optimized(objects).count("from_json") == 1
+    assert optimized(objects).count("Generate inline") == 1
     seen = events.filter_events(
         events.parse_events(fx.event_objects(spark, SF_DIR)), event_types=["Warning"], message_pattern="e"
     )
-    assert optimized(seen).count("from_json") == 1
+    assert optimized(seen).count("Generate inline") == 1
 
 
 def test_time_is_tested_before_levels_are_extracted(spark):
     parsed = podlogs.parse_timestamps(fx.log_lines(spark, SF_DIR))
     text = optimized(podlogs.filter_lines(parsed, workload.SINCE, None, ["ERROR"]))
-    level = text.index("from_json")
+    level = text.index("Generate inline")
     time_filter = next(m.start() for m in re.finditer(r"Filter .*timestamp", text) if m.start() > level)
     assert time_filter > level  # deeper in the tree: runs earlier
 
 
 def test_scans_read_only_what_is_used(spark):
-    rows = workload.all_queries()["q3_pods_per_namespace"](spark, SF_DIR)
-    text = plan(rows)
+    rows = resources.cluster_resources(fx.resource_pods(spark, SF_DIR), ordered=False)
+    text = plan(rows.groupBy("namespace").count())
     scan = next(line for line in text.splitlines() if "customer.parquet" in line)
     assert "c_acctbal" not in scan and "c_name" not in scan
 
 
+def test_questions_reach_the_collected_files(spark):
+    text = plan(workload.all_queries()["q4_failed_authentication"](spark, SF_DIR))
+    pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema: (.*)", text)
+    assert "In(response_code, [401,403])" in pushed.group(1)
+    assert "GreaterThan(stage_timestamp" in pushed.group(1)
+    assert "user_agent" not in pushed.group(2)
+    text = plan(workload.all_queries()["q3_pods_per_namespace"](spark, SF_DIR))
+    assert re.search(r"PartitionFilters: \[[^\]]*resource_type#\d+ = Pod", text)
+
+
 @pytest.mark.parametrize("name", sorted(workload.all_queries()))
 def test_no_cross_joins_and_no_python(spark, name):
     if name.startswith(("stream_", "sink_", "scan_", "audit_file", "audit_tail", "audit_source")):

@@ -282,4 +282,4 @@ def test_table_is_ordered_then_cut(spark):
 def test_unrequested_parts_cost_nothing(spark):
     lean = optimized(rows(spark, obj("Pod")))
     full = optimized(rows(spark, obj("Pod"), include_spec=True))
-    assert lean.count("from_json") == 1 and full.count("from_json") == 2
+    assert lean.count("Generate inline") == 1 and full.count("Generate inline") == 2
