@@ -7,8 +7,10 @@ objects and audit entries as one JSON document per line.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,14 +81,17 @@ def stream_container_logs(
     return reader.text(root)
 
 
+# Error condition of a file that exists but cannot be read.
+_UNREADABLE = "FAILED_READ_FILE"
+
 Candidate = Callable[[], DataFrame]
 
 
 def first_non_empty(candidates: Iterable[Candidate]) -> DataFrame | None:
     """The first candidate that yields a row; later ones are not even planned.
 
-    A candidate whose path does not exist counts as empty.  The probe stops at
-    the first row found.
+    A candidate whose path does not exist counts as empty, and so does one that
+    cannot be read, with a warning.  The probe stops at the first row found.
     """
     for candidate in candidates:
         try:
@@ -96,4 +101,8 @@ def first_non_empty(candidates: Iterable[Candidate]) -> DataFrame | None:
         except AnalysisException as err:
             if err.getCondition() != "PATH_NOT_FOUND":
                 raise
+        except Py4JJavaError as err:
+            if _UNREADABLE not in str(err.java_exception):
+                raise
+            warnings.warn(f"unreadable input is skipped: {err.java_exception}", stacklevel=2)
     return None

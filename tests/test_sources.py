@@ -102,6 +102,13 @@ def test_first_path_with_rows_wins(spark, files):
         audit_sources.audit_from_files(spark, audit.audit_logs, paths[:3])
 
 
+def test_unreadable_paths_are_passed_over(spark, files):
+    (files / "broken.log.gz").write_bytes(b"\x1f\x8b no gzip data")
+    paths = [f"{files}/broken.log.gz", f"{files}/two.log"]
+    with pytest.warns(UserWarning, match="unreadable"):
+        assert ids(audit_sources.audit_from_files(spark, audit.audit_logs, paths)) == ["a3"]
+
+
 def test_two_entries_end_to_end(spark, files):
     window = dict(since=dt.datetime(2024, 1, 1), until=dt.datetime(2024, 1, 4))
     rows = audit_sources.collect_audit(
