@@ -50,3 +50,12 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: a joined side is only broadcast when its stored rows were counted and are no more
+BROADCAST_ROWS = 200_000
+
+
+def checked(small: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``small``, a stored table of narrow rows, marked for broadcast if it is small indeed."""
+    return F.broadcast(small) if small.count() <= most_rows else small.hint("merge")

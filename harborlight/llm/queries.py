@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlight.llm import chat, licenses, packing, quality, urls
+from harborlight.llm import chat, decontaminate, licenses, packing, quality, urls
 from harborlight.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,12 +63,29 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_turns(turns.union(extra)))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontaminate.contamination(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return judged.select(
+        "doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated", "n_near"
+    )
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+QUERIES = (
+    op1_packing,
+    op6_quality_rules,
+    op7_license_scan,
+    op8_chat_format,
+    op9_decontamination,
+    op10_url_filter,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {
-        f.__name__: f
-        for f in (op1_packing, op6_quality_rules, op7_license_scan, op8_chat_format, op10_url_filter)
-    }
+    return {f.__name__: f for f in QUERIES}
