@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlight.llm import chat, decontaminate, licenses, packing, quality, urls
+from harborlight.llm import chat, decontaminate, jaccard, licenses, packing, quality, urls
 from harborlight.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.drop("ids"), docs.count(), WINDOW)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(read_table(spark, sf_dir, "documents"), length=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(read_table(spark, sf_dir, "documents"))
     base = F.arrays_overlap("broken", F.array(*(F.lit(r.name) for r in quality.BASE_RULES)))
@@ -79,6 +84,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (
     op1_packing,
+    op5_jaccard_join,
     op6_quality_rules,
     op7_license_scan,
     op8_chat_format,
