@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlight.llm import chat, decontaminate, jaccard, licenses, packing, quality, suffixes, urls
+from harborlight.llm import chat, decontaminate, interpolation, jaccard, licenses, packing, quality, suffixes, urls
 from harborlight.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.drop("ids"), docs.count(), WINDOW)
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.score_texts(read_table(spark, sf_dir, "documents"))[0]
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(read_table(spark, sf_dir, "documents"), 200).drop("kept")
 
@@ -88,6 +92,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (
     op1_packing,
+    op2_lm_score,
     op4_suffix_dedup,
     op5_jaccard_join,
     op6_quality_rules,
