@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlight.llm import chat, decontaminate, interpolation, jaccard, licenses, packing, quality, suffixes, urls
+from harborlight.llm import chat, decontaminate, interpolation, jaccard, licenses, packing, personal, quality, suffixes, urls
 from harborlight.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,14 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolation.score_texts(read_table(spark, sf_dir, "documents"))[0]
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.personal_data(read_table(spark, sf_dir, "documents"))
+    counts = [f"n_{kind}" for kind in personal.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans", "n_found"
+    )
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(read_table(spark, sf_dir, "documents"), 200).drop("kept")
 
@@ -93,6 +101,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = (
     op1_packing,
     op2_lm_score,
+    op3_pii,
     op4_suffix_dedup,
     op5_jaccard_join,
     op6_quality_rules,
