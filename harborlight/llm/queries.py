@@ -113,4 +113,6 @@ QUERIES = (
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in QUERIES}
+    import corpus_pipeline
+
+    return {f.__name__: f for f in QUERIES} | {"pipeline": corpus_pipeline.run}

@@ -97,16 +97,19 @@ def crc_ids(ids) -> int:
     return zlib.crc32(b"".join(int(i).to_bytes(4, "little") for i in ids))
 
 
-def shingles(text: str | None) -> frozenset:
+def shingles(text: str | None, length: int = 3) -> frozenset:
     words = BLANK_WORD.findall(lower(text or ""))
     if not words:
         return frozenset()
-    return frozenset(tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2)))
+    n = max(1, len(words) - length + 1)
+    return frozenset(tuple(words[i : i + length]) for i in range(n))
 
 
-def near_components(texts: dict[int, str | None]) -> dict[int, tuple[int, int]]:
+def near_components(
+    texts: dict[int, str | None], length: int = 3, percent: int = 90
+) -> dict[int, tuple[int, int]]:
     """doc_id → (n_shingles, component_id) with every pair compared."""
-    sets = {d: shingles(t) for d, t in texts.items()}
+    sets = {d: shingles(t, length) for d, t in texts.items()}
     parent = {d: d for d in texts}
 
     def find(x: int) -> int:
@@ -124,7 +127,7 @@ def near_components(texts: dict[int, str | None]) -> dict[int, tuple[int, int]]:
         ids = sorted(ids)
         shared.update((a, b) for i, a in enumerate(ids) for b in ids[i + 1 :])
     for (a, b), n in shared.items():
-        if 100 * n >= 90 * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
             ra, rb = find(a), find(b)
             parent[max(ra, rb)] = min(ra, rb)
     return {d: (len(sets[d]), find(d)) for d in texts}
