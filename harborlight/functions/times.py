@@ -14,7 +14,9 @@ RFC3339 = r"^\d{4}-\d{2}-\d{2}T\d{1,2}:\d{2}:\d{2}([.,]\d+)?(Z|[+-]\d{2}:\d{2})$
 # Fixed value: how the zero time prints.
 ZERO_TIME_TEXT = "0001-01-01T00:00:00Z"
 
-_DURATION_UNITS = {"h": "hours", "m": "minutes", "s": "seconds"}
+# Duration units in seconds.
+_DURATION_UNITS = {"h": 3600.0, "m": 60.0, "s": 1.0, "ms": 1e-3, "us": 1e-6, "µs": 1e-6, "ns": 1e-9}
+_DURATION_PART = re.compile(r"(\d+\.?\d*|\.\d+)(h|ms|m|s|us|µs|ns)")
 
 
 def parse_rfc3339(text: Column) -> Column:
@@ -37,14 +39,14 @@ def rfc3339_text(ts: Column) -> Column:
 
 
 def parse_duration(text: str) -> dt.timedelta:
-    """``"1h"``, ``"30m"``, ``"1h30m"``, ``"0s"``; anything else is a ValueError."""
-    parts = re.findall(r"(\d+)([hms])", text)
-    if not parts or "".join(n + u for n, u in parts) != text:
-        raise ValueError(f"invalid duration {text!r}; use sums of <int>h, <int>m, <int>s")
-    total = dt.timedelta()
-    for number, unit in parts:
-        total += dt.timedelta(**{_DURATION_UNITS[unit]: int(number)})
-    return total
+    """``"1h30m"``, ``"1.5h"``, ``"500ms"``, ``"-2s"``, ``"0"``; anything else is a ValueError."""
+    sign, body = (-1, text[1:]) if text.startswith("-") else (1, text.removeprefix("+"))
+    if body == "0":
+        return dt.timedelta()
+    parts = _DURATION_PART.findall(body)
+    if not parts or "".join(n + u for n, u in parts) != body:
+        raise ValueError(f"invalid duration {text!r}; use sums such as 1h30m, 1.5h or 500ms")
+    return dt.timedelta(seconds=sign * sum(float(n) * _DURATION_UNITS[u] for n, u in parts))
 
 
 def utc(moment: dt.datetime) -> dt.datetime:

@@ -138,7 +138,7 @@ def filter_events(
     rows = filters.member(rows, "object_kind", object_kinds)
     rows = filters.member(rows, "object_name", object_names)
     rows = filters.member(rows, "source_component", source_components)
-    rows = filters.where_if(rows, filters.has_labels(options.label_pairs(label_selectors)))
+    rows = filters.where_if(rows, filters.has_labels(options.label_terms(label_selectors)))
     rows = filters.search(rows, "message", options.pattern("message_pattern", message_pattern))
     return filters.search(rows, "reason", options.pattern("reason_pattern", reason_pattern))
 

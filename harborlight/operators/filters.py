@@ -54,11 +54,19 @@ def in_namespaces(
     return member(df, column, namespaces)
 
 
-def has_labels(pairs: Sequence[tuple[str, str]], column: str = "labels") -> Column | None:
-    """All ``key=value`` pairs hold on a map column."""
+def has_labels(
+    terms: Sequence[tuple[str, str, Sequence[str]]], column: str = "labels"
+) -> Column | None:
+    """All label terms hold on a map column; a missing label differs from every value."""
     condition: Column | None = None
-    for key, value in pairs:
-        term = F.try_element_at(F.col(column), F.lit(key)) == value
+    for key, test, values in terms:
+        value = F.try_element_at(F.col(column), F.lit(key))
+        term = {
+            "in": lambda: F.coalesce(value.isin(list(values)), F.lit(False)),
+            "notin": lambda: value.isNull() | ~value.isin(list(values)),
+            "exists": value.isNotNull,
+            "absent": value.isNull,
+        }[test]()
         condition = term if condition is None else condition & term
     return condition
 

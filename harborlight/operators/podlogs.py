@@ -138,7 +138,7 @@ def select_containers(
     """Containers of pods that have logs and pass the pod filters."""
     chosen = filters.in_namespaces(containers.where("has_logs"), namespaces)
     chosen = filters.search(chosen, "pod_name", pod_name_pattern)
-    chosen = filters.where_if(chosen, filters.has_labels(options.label_pairs(label_selectors)))
+    chosen = filters.where_if(chosen, filters.has_labels(options.label_terms(label_selectors)))
     return chosen.drop("has_logs", "container_index")
 
 

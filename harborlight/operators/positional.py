@@ -8,6 +8,8 @@ ending in an integer that is unique within the leading ones.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -149,8 +151,13 @@ def _within_budget(df, keys, order, weight, budget, last_first) -> DataFrame:
         .drop(_WEIGHT)
     )
     within = Window.partitionBy(*chunk_keys).orderBy(*_sorted([position], last_first))
+    # a missing key is a group of its own, so NULL must meet NULL
+    named = reachable.select(
+        *[F.col(k).alias(f"_reach_{i}") for i, k in enumerate(chunk_keys)], _BEFORE
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_reach_{i}")) for i, k in enumerate(chunk_keys)]
     return (
-        weighted.join(reachable, chunk_keys)
+        weighted.join(named, reduce(and_, same))
         .withColumn(
             _RUNNING,
             F.col(_BEFORE)

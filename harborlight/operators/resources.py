@@ -358,7 +358,7 @@ def filter_resources(
     rows = filters.member(rows, "status", statuses)
     if node_names:
         rows = filters.member(rows, "node_name", ["", *node_names])
-    rows = filters.where_if(rows, filters.has_labels(options.label_pairs(label_selectors)))
+    rows = filters.where_if(rows, filters.has_labels(options.label_terms(label_selectors)))
     return filters.search(rows, "resource_name", options.pattern("name_pattern", name_pattern))
 
 

@@ -42,7 +42,7 @@ def lines_of_labelled_pods(
 
     One predicate over all selectors, so a pod matching two is read once.
     """
-    matches = [filters.has_labels(options.label_pairs(s)) for s in selectors]
+    matches = [filters.has_labels(options.label_terms(s)) for s in selectors]
     pods = containers.where(reduce(lambda a, b: a | b, matches)).select(*CONTAINER)
     if namespace is not None:
         pods = pods.where(pods["namespace"] == namespace)

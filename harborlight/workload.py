@@ -585,7 +585,7 @@ def collected(
     """Register a table that was collected into Parquet before questions are asked."""
 
     def write(path: str) -> None:
-        sink.write_partitioned(rows(), path, partitions=sink.TABLE_PARTITIONS[table])
+        sink.write_table(rows(), path, table)
 
     path = land(spark, sf_dir, f"table-{table}", write)
     register_views(**{table: sink.read_partitioned(spark, path)})

@@ -57,7 +57,11 @@ def test_time_text_cuts_zeros(spark, value, expected):
 def test_durations():
     assert times.parse_duration("1h30m") == dt.timedelta(minutes=90)
     assert times.parse_duration("0s") == dt.timedelta()
-    for bad in ("", "h", "1d", "invalid-time", "1h x", "-1h"):
+    assert times.parse_duration("1.5h") == dt.timedelta(minutes=90)
+    assert times.parse_duration("500ms") == dt.timedelta(milliseconds=500)
+    assert times.parse_duration("1m.5s2us") == dt.timedelta(seconds=60.5, microseconds=2)
+    assert times.parse_duration("-1h") == -dt.timedelta(hours=1) and not times.parse_duration("0")
+    for bad in ("", "h", "1d", "invalid-time", "1h x", "1.h.", "--1h"):
         with pytest.raises(ValueError):
             times.parse_duration(bad)
 

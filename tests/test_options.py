@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from harborlight.operators import options
+from harborlight.operators import filters, options
 from harborlight.plans.views import register_views
 
 
@@ -33,18 +33,38 @@ def test_namespace_lists():
         options.namespace_list("Invalid_Namespace")
 
 
-def test_label_pairs():
-    assert options.label_pairs(["app=web", "a.b/c=1,t="]) == [("app", "web"), ("a.b/c", "1"), ("t", "")]
-    assert options.label_pairs("app==web") == [("app", "web")]
-    for bad in ("app", "a!=b", "a in (b)", "a=b,,c=d", "!a"):
+def test_label_terms():
+    terms = options.label_terms
+    assert terms(["app=web", "a.b/c=1,t="]) == [("app", "in", ["web"]), ("a.b/c", "in", ["1"]), ("t", "in", [""])]
+    assert terms("app==web, x != y,k,!n") == [
+        ("app", "in", ["web"]), ("x", "notin", ["y"]), ("k", "exists", []), ("n", "absent", [])
+    ]
+    assert terms("a in (b, c),d notin (e)") == [("a", "in", ["b", "c"]), ("d", "notin", ["e"])]
+    assert terms(None) == [] and terms("") == []
+    for bad in ("a b", "a in b", "a=b,,c=d", "!", "a in (b", "=x", "a<3"):
         with pytest.raises(ValueError):
-            options.label_pairs(bad)
+            terms(bad)
 
 
-def test_patterns():
+def test_label_terms_on_rows(spark):
+    rows = [(1, {"app": "web", "tier": "x"}), (2, {"app": "db"}), (3, {}), (4, None)]
+    df = spark.createDataFrame(rows, "id int, labels map<string,string>")
+    want = {
+        "app=web": [1], "app!=web": [2, 3, 4], "app in (web,db)": [1, 2], "app notin (db)": [1, 3, 4],
+        "app": [1, 2], "!app": [3, 4], "app,tier!=x": [2], "app=": [],
+    }
+    for selector, ids in want.items():
+        found = df.where(filters.has_labels(options.label_terms(selector))).select("id").collect()
+        assert sorted(r.id for r in found) == ids, selector
+
+
+def test_patterns(spark):
     assert options.pattern("p", "") is None and options.pattern("p", "^a") == "^a"
-    with pytest.raises(ValueError, match="invalid p"):
-        options.pattern("p", "(")
+    for known_to_the_engine in (r"\p{Lu}", r"a\z", "(?<n>x)"):
+        assert options.pattern("p", known_to_the_engine) == known_to_the_engine
+    for bad in ("(", "(?P<n>x)"):
+        with pytest.raises(ValueError, match="invalid p"):
+            options.pattern("p", bad)
 
 
 def test_views(spark):

@@ -56,6 +56,9 @@ def test_questions_reach_the_collected_files(spark):
     assert "In(response_code, [401,403])" in pushed.group(1)
     assert "GreaterThan(stage_timestamp" in pushed.group(1)
     assert "user_agent" not in pushed.group(2)
+    assert re.search(r"PartitionFilters: \[[^\]]*tp_date#\d+ >= 2024-01-15", text)
+    text = plan(workload.all_queries()["q1_recent_errors"](spark, SF_DIR))
+    assert re.search(r"PartitionFilters: \[[^\]]*tp_date#\d+ >= 2024-01-15", text)
     text = plan(workload.all_queries()["q3_pods_per_namespace"](spark, SF_DIR))
     assert re.search(r"PartitionFilters: \[[^\]]*resource_type#\d+ = Pod", text)
 

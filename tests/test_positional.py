@@ -90,3 +90,18 @@ def test_large_limits_never_rank_a_whole_group(frame):
     text = plan(head_per_group(frame, ["g"], ["f", "n"], positional.SMALL_LIMIT + 1))
     ranked = [part for part in text.split("Window [")[1:] if "_chunk" not in part.split("\n")[0]]
     assert not ranked
+
+
+def test_missing_keys_are_a_group(spark):
+    """Both ways keep rows whose key or leading order column is NULL."""
+    rows = [(None if i % 2 else "a", None if i % 3 else "f", i, 1) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, f string, n long, size int")
+    for limit in (head_per_group, tail_per_group):
+        for n in (10, 1400):
+            by_rank = limit(df, ["g"], ["f", "n"], n, small_limit=10_000).collect()
+            by_sums = limit(df, ["g"], ["f", "n"], n, small_limit=0).collect()
+            assert len(by_rank) == 2 * n and sorted(map(str, by_rank)) == sorted(map(str, by_sums))
+    budgeted = bytes_per_group(df, ["g"], ["f", "n"], F.col("size"), 700)
+    assert budgeted.count() == 1400
+    bounded = bytes_per_group(df, ["g"], ["f", "n"], F.col("size"), 700, group_rows=1000)
+    assert sorted(map(str, bounded.collect())) == sorted(map(str, budgeted.collect()))
