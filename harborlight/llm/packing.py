@@ -2,7 +2,7 @@
 
 1. Tokenize: a document becomes its token ids and one end id.  The vocabulary's
    normalizer and splitter never join characters across ASCII blanks, so ids are made
-   per blank-separated chunk, once per distinct chunk and batch.
+   once per distinct blank-separated chunk, and for plain words once per distinct word.
 2. Cut: documents longer than a window are first cut into full windows, which are
    sequences of their own; at most one shorter rest per document is left.
 3. Pack: the rests are dealt into shards by a hash of the document; inside a shard they
@@ -19,6 +19,8 @@ an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -32,31 +34,68 @@ _CACHE_CHUNKS = 400_000
 _DOCS_AT_ONCE = 200
 
 
+#: a Latin word in its composed form, and ASCII marks (no apostrophe) behind it: the
+#: splitter cuts between the two, and lower-casing and normalizing the word is plain
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, int]:
+    """Byte-level vocabularies write bytes without a printable form as letters from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
 class ChunkTokenizer:
-    """Token ids of texts through a bounded table of blank-separated chunks."""
+    """Token ids of texts through bounded tables of blank-separated chunks and their words."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.ids: dict[bytes, np.ndarray] = {}
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each text, in order."""
-        split = [t.encode().split() for t in texts]  # bytes split at ASCII blanks only
-        fresh = list({w for words in split for w in words if w not in self.ids})
-        if len(self.ids) + len(fresh) > _CACHE_CHUNKS:
-            self.ids.clear()
-            fresh = list({w for words in split for w in words})
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            coded = self.tokenizer.encode_batch(
-                [w.decode() for w in part], add_special_tokens=False
-            )
-            self.ids.update((w, np.array(c.ids, "<u4")) for w, c in zip(part, coded, strict=True))
-        table = self.ids
-        for words in split:
-            yield np.concatenate([table[w] for w in words]) if words else np.empty(0, "<u4")
+        self.letters = _byte_letters()
+        self.chunks: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _word(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            raw = word.encode().decode("latin-1").translate(self.letters)
+            found = _packed([t.id for t in self.tokenizer.model.tokenize(raw)])
+            self.words[word] = found
+        return found
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        plain = _PLAIN.fullmatch(text)
+        if not plain:
+            return self._whole(text)
+        ids = self._word(plain[1].lower())
+        if plain[2]:
+            if plain[2] not in self.words:
+                self.words[plain[2]] = self._whole(plain[2])
+            ids += self.words[plain[2]]
+        return ids
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text as packed little-endian 32-bit numbers, in order."""
+        for text in texts:
+            split = text.encode().split()  # bytes split at ASCII blanks only
+            if len(self.chunks) > _CACHE_CHUNKS:
+                self.chunks.clear()
+                self.words.clear()
+            table = self.chunks
+            for chunk in split:
+                if chunk not in table:
+                    table[chunk] = self._chunk(chunk)
+            yield b"".join([table[c] for c in split])
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def token_pieces(
@@ -73,7 +112,7 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = ChunkTokenizer(tokenizer_path)
-        end = np.array([end_id], "<u4")
+        end = _packed([end_id])
         for batch in batches:
             for at in range(0, batch.num_rows, _DOCS_AT_ONCE):
                 part = batch.slice(at, _DOCS_AT_ONCE)
@@ -82,13 +121,12 @@ def token_pieces(
                 for doc_id, body in zip(
                     part.column(0).to_pylist(), tokenizer.encode(texts), strict=True
                 ):
-                    ids = np.concatenate([body, end])
-                    for start in range(0, len(ids), window):
-                        raw = ids[start : start + window].tobytes()
+                    ids = body + end
+                    n = len(ids) // 4
+                    for start in range(0, n, window):
+                        raw = ids[4 * start : 4 * (start + window)]
                         kept = raw if with_ids else None
-                        rows.append(
-                            (doc_id, start, len(raw) // 4, zlib.crc32(raw), len(ids), kept)
-                        )
+                        rows.append((doc_id, start, len(raw) // 4, zlib.crc32(raw), n, kept))
                 yield _batch(rows, schema)
 
     return docs.select(F.col(id_column).cast("long"), F.col(text_column)).mapInArrow(cut, PIECES)
