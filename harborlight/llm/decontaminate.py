@@ -134,7 +134,7 @@ def candidates(votes: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 def near_items(votes: DataFrame, windows: DataFrame, slack: int) -> DataFrame:
-    """(key, n_near): items with a window whose seeds all stand within ``slack`` of their places.
+    """(key, n_near): items with a window whose seeds stand within ``slack`` of where its first one puts them.
 
     Two alignments that differ by at most ``slack`` share a cell of one of two grids
     whose cells are twice as wide and half a cell apart.
@@ -165,7 +165,10 @@ def near_items(votes: DataFrame, windows: DataFrame, slack: int) -> DataFrame:
             & (F.abs(v["alignment"] - around["alignment"]) <= slack),
         )
 
-    near = F.exists("votes", lambda v: F.forall("seeds", lambda s: stands(s, v)))
+    first = F.get("seeds", F.lit(0))["offset"]
+    near = F.exists(
+        "votes", lambda v: (v["offset"] == first) & F.forall("seeds", lambda s: stands(s, v))
+    )
     return (
         tried.filter(near)
         .select("key", "item_id")
