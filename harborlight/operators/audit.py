@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from harborlight import schemas
 from harborlight.functions.identity import audit_identity, identity_time
 from harborlight.functions.strict_json import parse_objects, text_at, texts_at, whole
-from harborlight.functions.text import empty_to_null, is_blank, or_empty
+from harborlight.functions.text import empty_to_null, or_empty
 from harborlight.functions.times import instant, parse_rfc3339, resolve_since, within
 from harborlight.operators import filters, options
 from harborlight.operators.enrich import with_source
@@ -66,7 +66,9 @@ def parse_audit(
 
     ``keep`` names input columns (a file path, a line position) to carry along.
     """
-    doc = parse_objects(lines.where(~is_blank(F.col(text))), F.col(text), _LINE_FIELDS)
+    # only text that begins like an object reaches the parser
+    objects = lines.where(F.col(text).rlike(r"^\s*\{"))
+    doc = parse_objects(objects, F.col(text), _LINE_FIELDS)
     # "Event" and a time cannot be the text of anything but a string
     entries = doc.where(F.col("doc.kind") == "Event")
 

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
+# When the file a landed object comes from was written.
+FILE_TIME = "file_time"
+
 _SALT = "_salt"
+_VERSION = "_version"
 
 
 def fits_broadcast(
@@ -48,3 +52,20 @@ def lookup_join(
         _SALT, F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
     )
     return spread.join(copies, [*keys, _SALT]).drop(_SALT)
+
+
+def newest(df: DataFrame, keys: Sequence[Column], order: Sequence[Column]) -> DataFrame:
+    """One row per key, the one that is last by ``order``.
+
+    The rank is limited on the map side first, so a key with very many versions sends
+    one row per task.
+    """
+    window = Window.partitionBy(*keys).orderBy(*[o.desc_nulls_last() for o in order])
+    ranked = df.withColumn(_VERSION, F.row_number().over(window))
+    return ranked.where(F.col(_VERSION) == 1).drop(_VERSION)
+
+
+def version_order(df: DataFrame, resource_version: Column, text: Column) -> list[Column]:
+    """Time of the dump where it is known, then the object's version, then its text."""
+    dumped = [F.col(FILE_TIME)] if FILE_TIME in df.columns else []
+    return [*dumped, resource_version.try_cast("decimal(38,0)"), F.xxhash64(text)]

@@ -19,7 +19,7 @@ from harborlight.functions.text import is_blank, or_empty, trim_space
 from harborlight.functions.times import parse_rfc3339, resolve_since, within
 from harborlight.operators import filters, options
 from harborlight.operators.enrich import with_source
-from harborlight.operators.lookup import fits_broadcast, lookup_join
+from harborlight.operators.lookup import fits_broadcast, lookup_join, newest, version_order
 from harborlight.operators.positional import (
     bytes_per_group,
     head_per_group,
@@ -36,7 +36,7 @@ PREFIX_BYTES = 30
 
 _POD_FIELDS = (
     "kind variant,"
-    " metadata struct<name variant, namespace variant, labels map<string,string>,"
+    " metadata struct<name variant, namespace variant, resourceVersion variant, labels map<string,string>,"
     " annotations map<string,string>>,"
     " spec struct<nodeName variant, containers array<struct<name variant>>,"
     " initContainers array<struct<name variant>>>,"
@@ -77,14 +77,21 @@ def add_levels(rows: DataFrame) -> DataFrame:
 
 
 def pod_containers(objects: DataFrame, text: str = "value") -> DataFrame:
-    """One row per container and init container of every pod in an object dump.
+    """One row per container and init container of every pod in the object dumps.
 
+    A pod that several dumps hold counts as its newest version: latest dump, then
+    highest resource version.
     ``has_logs`` is a property of the pod: some container runs or has ended.
     Init containers report no restarts.
     """
     pods = parse_objects(objects, F.col(text), _POD_FIELDS, "pod").where(
         (strict_str(F.col("pod.kind")) == "Pod") & F.col("pod.metadata").isNotNull()
     )
+    pods = newest(
+        pods,
+        [or_empty(strict_str(F.col(f"pod.metadata.{c}"))) for c in ("namespace", "name")],
+        version_order(pods, strict_str(F.col("pod.metadata.resourceVersion")), F.col(text)),
+    )
     statuses = F.col("pod.status.containerStatuses")
     no_containers = F.array().cast("array<struct<name:variant>>")
     exploded = pods.select(

@@ -28,6 +28,7 @@ from harborlight.functions.text import empty_to_null, is_blank, or_empty
 from harborlight.functions.times import parse_rfc3339, resolve_since, within
 from harborlight.operators import filters, options
 from harborlight.operators.enrich import with_source
+from harborlight.operators.lookup import newest, version_order
 
 SOURCE_TYPE = "kubernetes_resources"
 
@@ -261,9 +262,13 @@ def parse_resources(
     include_spec: bool = False,
     include_status: bool = False,
     include_owner_refs: bool = False,
+    newest_only: bool = False,
 ) -> DataFrame:
     """One row per API object that has metadata.
 
+    With ``newest_only`` an object that several dumps hold counts as its newest version:
+    latest dump, then highest resource version.
+
     Specs, status details with conditions, and owner references are read only on
     request; otherwise those columns are NULL and their JSON is not built.
     Values of key-value objects are never projected.
@@ -321,6 +326,12 @@ def parse_resources(
         )
     if include_owner_refs:
         columns["owner_references"] = owner_references(F.col("doc.metadata.ownerReferences"))
+    if newest_only:
+        parsed = newest(
+            parsed,
+            [kind, columns["namespace"], columns["resource_name"]],
+            version_order(parsed, columns["resource_version"], F.col(text)),
+        )
     rows = parsed.select(*[c.alias(n) for n, c in columns.items()])
     return schemas.conform(rows, schemas.CLUSTER_RESOURCES)
 
@@ -377,10 +388,14 @@ def cluster_resources(
     include_spec: bool = False,
     include_status: bool = False,
     include_owner_refs: bool = False,
+    newest_only: bool | None = None,
     **resource_filters,
 ) -> DataFrame:
     """``cluster_resources`` rows in namespace, type, name order, cut to ``limit``.
 
+    Landed dumps repeat objects, so of objects read from files only the newest version
+    counts unless ``newest_only`` is False.
+
     ``ordered=False`` skips the global sort for callers that aggregate anyway.
     """
     options.non_negative("limit", limit)
@@ -390,6 +405,7 @@ def cluster_resources(
         include_spec=include_spec,
         include_status=include_status,
         include_owner_refs=include_owner_refs,
+        newest_only="file_path" in objects.columns if newest_only is None else newest_only,
     )
     rows = filter_resources(rows, since=resolve_since(since, lookback, as_of), **resource_filters)
     rows = schemas.conform(

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harborlight.operators.lookup import FILE_TIME
+
 # Where API servers write their audit log by default.
 DEFAULT_AUDIT_PATHS = [
     "/var/log/audit/kube/kube-apiserver.log",
@@ -60,8 +62,12 @@ def scan_container_logs(spark: SparkSession, root: str) -> DataFrame:
 
 
 def scan_objects(spark: SparkSession, root: str) -> DataFrame:
-    """Lines of landed event or object dumps, of all namespaces and kinds at once."""
-    return scan_lines(spark, root)
+    """Lines of landed event or object dumps, of all namespaces and kinds at once.
+
+    ``file_time`` tells which of two dumps of one object is the newer one.
+    """
+    raw = spark.read.option("lineSep", "\n").text(root)
+    return _placed(raw.select("value", F.col("_metadata.file_modification_time").alias(FILE_TIME)))
 
 
 def stream_lines(spark: SparkSession, root: str, files_per_trigger: int | None = None) -> DataFrame:

@@ -191,3 +191,24 @@ def test_salted_lookup_gives_the_same_rows(logs, pods):
     plain = lookup_join(logs, chosen, podlogs.CONTAINER, True)
     salted = lookup_join(logs, chosen, podlogs.CONTAINER, False, salts=8)
     assert got(salted) == got(plain) and sorted(salted.columns) == sorted(plain.columns)
+
+
+def test_a_pod_of_two_dumps_is_its_newest_version(spark):
+    def pod(version, node, restarts):
+        state = {"running": {}}
+        return json.dumps(
+            {
+                "kind": "Pod",
+                "metadata": {"name": "p", "namespace": "n", "resourceVersion": str(version)},
+                "spec": {"nodeName": node, "containers": [{"name": "c"}]},
+                "status": {"containerStatuses": [{"name": "c", "restartCount": restarts, "state": state}]},
+            }
+        )
+
+    dumps = spark.createDataFrame([(pod(9, "old", 1),), (pod(10, "new", 2),), (pod(10, "new", 2),)], "value string")
+    found = podlogs.pod_containers(dumps).collect()
+    assert [(r.node_name, r.restart_count) for r in found] == [("new", 2)]
+    line = spark.createDataFrame([("n", "p", "c", "x", 0)], "namespace string, pod_name string, container_name string, value string, line_no long")
+    for broadcast in (True, False):
+        rows = podlogs.pod_logs(line, podlogs.pod_containers(dumps), broadcast=broadcast).collect()
+        assert [r.node_name for r in rows] == ["new"]

@@ -283,3 +283,22 @@ def test_unrequested_parts_cost_nothing(spark):
     lean = optimized(rows(spark, obj("Pod")))
     full = optimized(rows(spark, obj("Pod"), include_spec=True))
     assert lean.count("Generate inline") == 1 and full.count("Generate inline") == 2
+
+
+def test_objects_of_two_landed_dumps_count_once(spark, tmp_path):
+    import os
+
+    from harborlight.sources import landed
+
+    def write(name, version, phase, age):
+        doc = {"kind": "Pod", "metadata": {"name": "p", "namespace": "n", "resourceVersion": version}, "status": {"phase": phase}}
+        path = tmp_path / name
+        path.write_text(json.dumps(doc) + "\n")
+        os.utime(path, (1_700_000_000 - age, 1_700_000_000 - age))
+
+    write("a.json", "5", "Running", 0)
+    write("b.json", "900", "Pending", 60)  # an older dump, whatever its version says
+    objects = landed.scan_objects(spark, str(tmp_path))
+    found = resources.cluster_resources(objects, statuses=["Running", "Pending"]).collect()
+    assert [r.phase for r in found] == ["Running"]
+    assert resources.cluster_resources(objects, newest_only=False).count() == 2
