@@ -28,6 +28,7 @@ ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ from harborlight.llm.textblocks import GROUP_BYTES, bytes_of, groups, running_su
 LENGTH = 200
 GRAM = 48
 #: bytes of distinct segments that one shard is meant to hold
-SHARD_BYTES = 3_000_000
+SHARD_BYTES = 1_500_000
 #: distinct segments of one anchor beyond which it is dealt into several shards
 ANCHOR_SEGMENTS = 2_000
 _PLACE_BITS = np.uint64(24)
@@ -120,107 +121,128 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 
     Larsson-Sadakane: the rank of a suffix is the last place of its group of suffixes equal
     in h symbols; members of groups are sorted by the rank of the suffix h symbols on.
-    Suffixes equal up to the end of their segments stay together, by place.
+    Suffixes equal up to the end of their segments are ordered by place at last.
     """
-    n = len(text)
-    packed = np.zeros(n, np.uint64)
-    padded = np.concatenate([text.astype(np.uint64), np.zeros(7, np.uint64)])
-    inside = np.ones(n, bool)
-    for k in range(7):  # symbols after the end of a segment do not count
-        symbol = padded[k : k + n]
-        packed = (packed << np.uint64(9)) | np.where(inside, symbol, np.uint64(0))
-        inside &= symbol != 0
-    order = np.argsort(packed, kind="stable")
-    rank = _group_ranks(order, packed[order], n)
     to_end = _distance_to_end(text)
+    packed = _packed(text, to_end)
+    order = np.argsort(packed).astype(np.int32)
+    rank = _group_ranks(order, packed[order])
+    del packed
     h = 7
     while True:
-        ranks = rank[order]
-        grouped = np.zeros(n, bool)
-        same = ranks[1:] == ranks[:-1]
-        grouped[1:] |= same
-        grouped[:-1] |= same
-        at = np.flatnonzero(grouped)
+        at = _places_of_groups(rank[order])
         at = at[to_end[order[at]] >= h]  # others met the end: they are sorted
         if not len(at):
-            return order
-        members = order[at]
-        key = (ranks[at].astype(np.uint64) << np.uint64(32)) | rank[members + h].astype(np.uint64)
-        by = np.argsort(key, kind="stable")
-        key = key[by]
-        order[at] = members[by]
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        first = np.flatnonzero(new)
-        sizes = np.diff(np.append(first, len(key)))
-        rank[order[at]] = np.repeat(at[first + sizes - 1], sizes)
+            break
+        _refine(order, rank, at, rank[order[at] + h])
         h *= 2
+    at = _places_of_groups(rank[order])
+    if len(at):
+        _refine(order, rank, at, order[at])
+    return order
 
 
-def _group_ranks(order: np.ndarray, keys: np.ndarray, n: int) -> np.ndarray:
-    new = np.ones(n, bool)
-    new[1:] = keys[1:] != keys[:-1]
-    first = np.flatnonzero(new)
-    sizes = np.diff(np.append(first, n))
-    rank = np.empty(n, np.int64)
+def _packed(text: np.ndarray, to_end: np.ndarray) -> np.ndarray:
+    """Seven symbols from each place as one number; what follows a segment's end is zero."""
+    n = len(text)
+    packed = np.zeros(n, np.uint64)
+    symbols = np.zeros(n + 7, np.uint64)
+    symbols[:n] = text
+    for k in range(7):
+        packed <<= np.uint64(9)
+        packed |= symbols[k : k + n] * (to_end >= k)
+    return packed
+
+
+def _places_of_groups(ranks: np.ndarray) -> np.ndarray:
+    """Places in the order whose rank a neighbour shares."""
+    same = np.flatnonzero(ranks[1:] == ranks[:-1])
+    grouped = np.zeros(len(ranks), bool)
+    grouped[same] = True
+    grouped[same + 1] = True
+    return np.flatnonzero(grouped)
+
+
+def _refine(order: np.ndarray, rank: np.ndarray, at: np.ndarray, by: np.ndarray) -> None:
+    """Sort the members at these places inside their groups, and give them new ranks."""
+    members = order[at]
+    key = (rank[members].astype(np.uint64) << np.uint64(32)) | by.astype(np.uint64)
+    turn = np.argsort(key)
+    key = key[turn]
+    members = members[turn]
+    order[at] = members
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    sizes = np.diff(np.append(first, len(key)))
+    rank[members] = np.repeat(at[first + sizes - 1], sizes)
+
+
+def _group_ranks(order: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    sizes = np.diff(np.append(first, len(keys)))
+    rank = np.empty(len(keys), np.int32)
     rank[order] = np.repeat(first + sizes - 1, sizes)
     return rank
 
 
 def _distance_to_end(text: np.ndarray) -> np.ndarray:
-    n = len(text)
-    place = np.where(text == 0, np.arange(n), n)
-    return np.minimum.accumulate(place[::-1])[::-1] - np.arange(n)
+    ends = np.flatnonzero(text == 0)
+    sizes = np.diff(np.append(-1, ends))
+    return np.repeat(ends, sizes).astype(np.int32) - np.arange(len(text), dtype=np.int32)
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, starts: np.ndarray, limit: int) -> np.ndarray:
-    """Symbols that each suffix shares with its predecessor in ``order``, at most ``limit``.
+def common_prefixes(
+    text: np.ndarray, order: np.ndarray, starts: np.ndarray, counts: np.ndarray, limit: int
+) -> np.ndarray:
+    """Symbols that suffixes share with their predecessors in ``order``, at most ``limit``.
 
-    Kasai's rule, for all segments side by side: from one suffix of a segment to the next
-    the common prefix shrinks by one at most, so it only needs to be extended from there.
+    Only the first ``counts`` suffixes of each segment are looked at.  Kasai's rule, for all
+    segments side by side: from one suffix of a segment to the next the common prefix
+    shrinks by one at most, so it only needs to be extended from there: by seven symbols
+    as long as seven are equal, then by single ones.
     """
     n = len(text)
-    before = np.full(n, -1, np.int64)
+    to_end = _distance_to_end(text)
+    packed = _packed(text, to_end)
+    before = np.full(n, -1, np.int32)
     before[order[1:]] = order[:-1]
-    shared = np.zeros(n, np.int64)
-    ends = np.append(starts[1:], n)
-    current = starts.copy()
+    shared = np.zeros(n, np.int32)
+    by_count = np.argsort(-counts, kind="stable")  # segments that are done drop off the end
+    current, left = starts[by_count], -counts[by_count]
     h = np.zeros(len(starts), np.int64)
-    alive = np.arange(len(starts))
-    while len(alive):
-        at = current[alive]
-        other = before[at]
-        depth = np.where(other >= 0, np.maximum(h[alive] - 1, 0), 0)
-        growing = np.flatnonzero((other >= 0) & (depth < limit))
+    for step in range(int(counts.max(initial=0))):
+        live = int(np.searchsorted(left, -step))
+        at, other = current[:live] + step, before[current[:live] + step]
+        depth = np.where(other >= 0, np.maximum(h[:live] - 1, 0), 0)
+        growing = tried = np.flatnonzero((other >= 0) & (depth < limit))
         while len(growing):
             a, b = at[growing] + depth[growing], other[growing] + depth[growing]
-            fits = b < n
-            fits[fits] &= (text[a[fits]] == text[b[fits]]) & (text[a[fits]] != 0)
+            growing = growing[(packed[a] == packed[np.minimum(b, n - 1)]) & (to_end[a] >= 7)]
+            depth[growing] += 7
+            growing = growing[depth[growing] < limit]
+        growing = tried[depth[tried] < limit]
+        while len(growing):
+            a, b = at[growing] + depth[growing], other[growing] + depth[growing]
+            fits = (text[a] == text[np.minimum(b, n - 1)]) & (text[a] != 0)
             growing = growing[fits]
             depth[growing] += 1
             growing = growing[depth[growing] < limit]
-        shared[at] = depth
-        h[alive] = depth
-        current[alive] += 1
-        alive = alive[current[alive] < ends[alive]]
+        shared[at] = h[:live] = np.minimum(depth, limit)
     return shared
 
 
-def repeated_starts(segments: list[bytes], weights: list[int], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts (segment, place) of strings that occur more than once, from a suffix array."""
+def repeated_starts(segments: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts (segment, place) of strings that stand in several segments, from a suffix array."""
+    if not segments:
+        return _NONE, _NONE
     text, starts = _joined(segments)
     order = suffix_array(text)
-    shared = common_prefixes(text, order, starts, length)
-    full = shared >= length
+    counts = np.array([max(len(s) - length + 1, 0) for s in segments], np.int64)
+    full = common_prefixes(text, order, starts, counts, length) >= length
     repeated = full.copy()
     repeated[order[:-1]] |= full[order[1:]]
     place = np.flatnonzero(repeated)
     segment = np.searchsorted(starts, place, "right") - 1
-    twice = np.flatnonzero(np.array(weights) > 1)  # equal segments were collapsed before
-    sizes = np.array([len(segments[i]) - length + 1 for i in twice], np.int64)
-    more = np.repeat(twice, sizes)
-    offsets = np.arange(len(more)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return np.concatenate([segment, more]), np.concatenate([place - starts[segment], offsets])
+    return segment, place - starts[segment]
 
 
 def _joined(segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -272,22 +294,38 @@ def _spans(segment: np.ndarray, place: np.ndarray, n: int, length: int) -> list[
     return [pairs[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+def _within(keys, bodies, weights, places, length) -> tuple[np.ndarray, np.ndarray]:
+    """Repeated starts of one shard; a segment alone at its anchor shares nothing with others."""
+    at_anchor = Counter(anchor for anchor, _ in places.values())
+    many = [i for i, k in enumerate(keys) if at_anchor[places[k][0]] > 1]
+    segment, place = repeated_starts([bodies[keys[i]] for i in many], length)
+    again = np.array([i for i, k in enumerate(keys) if weights[k] > 1], np.int64)
+    sizes = np.array([len(bodies[keys[i]]) - length + 1 for i in again], np.int64)
+    whole = np.repeat(again, sizes)  # equal segments were collapsed before
+    offsets = np.arange(len(whole)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return (
+        np.concatenate([np.array(many, np.int64)[segment], whole]),
+        np.concatenate([place, offsets]),
+    )
+
+
 def _shard(length: int):
     def solve(table: pa.Table) -> pa.Table:
         weights: dict[tuple, int] = {}
         bodies: dict[tuple, bytes] = {}
-        sides: dict[tuple, int] = {}
-        for id1, id2, body, n, side in zip(
-            *(table.column(c).to_pylist() for c in ("id1", "id2", "body", "n", "side")), strict=True
+        places: dict[tuple, tuple] = {}
+        names = ("anchor", "id1", "id2", "body", "n", "side")
+        for anchor, id1, id2, body, n, side in zip(
+            *(table.column(c).to_pylist() for c in names), strict=True
         ):
             weights[id1, id2] = weights.get((id1, id2), 0) + n
             bodies[id1, id2] = body
-            sides[id1, id2] = side
+            places[id1, id2] = (anchor, side)
         keys = sorted(bodies)
-        if len(set(sides.values())) < 2:
-            found = repeated_starts([bodies[k] for k in keys], [weights[k] for k in keys], length)
+        if len({side for _, side in places.values()}) < 2:
+            found = _within(keys, bodies, weights, places, length)
         else:
-            halves = [[i for i, k in enumerate(keys) if sides[k] == s] for s in (0, 1)]
+            halves = [[i for i, k in enumerate(keys) if places[k][1] == s] for s in (0, 1)]
             pair = shared_starts(*([bodies[keys[i]] for i in half] for half in halves), length)
             found = (
                 np.concatenate([np.array(h, np.int64)[x[0]] for h, x in zip(halves, pair, strict=True)]),
@@ -439,7 +477,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         bodies.join(checked(crowded.select("anchor")), "anchor", "left_anti")
         .withColumn("side", F.lit(0))
         .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(n_shards)))
-        .select("shard", "id1", "id2", "n", "body", "side")
+        .select("shard", "anchor", "id1", "id2", "n", "body", "side")
         .groupBy("shard")
         .applyInArrow(_shard(length), schema)
     )

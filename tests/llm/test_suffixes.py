@@ -77,7 +77,8 @@ def test_suffix_array_and_prefixes():
     tail = lambda i: list(text[i : ends[np.searchsorted(starts, i, "right") - 1]])
     tails = [tail(i) for i in order]
     assert tails == sorted(tails)
-    shared = suffixes.common_prefixes(text, order, starts, 20)
+    counts = np.array([len(s) + 1 for s in segments])
+    shared = suffixes.common_prefixes(text, order, starts, counts, 20)
     for a, b in zip(order[:-1], order[1:], strict=True):
         x, y = tail(a)[:-1], tail(b)[:-1]
         n = next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
