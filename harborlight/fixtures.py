@@ -126,12 +126,12 @@ EVENT_COMPONENTS = ["kubelet", "scheduler", "controller"]
 
 
 def event_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fixture D: value, line_no; the resource version repeats line_no."""
+    """Fixture D: value, line_no; later arrivals have lower resource versions."""
     e = "event_id"
     first = f"""CASE {e} % 4 WHEN 0 THEN {prefix_of("ts - INTERVAL '1' HOUR")}
         WHEN 2 THEN {prefix_of('ts')} END"""
     event = f"""struct('Event' AS kind,
-        struct({namespace_of('user_id')} AS namespace, cast({e} AS string) AS resourceVersion,
+        struct({namespace_of('user_id')} AS namespace, cast(1000000000 - {e} AS string) AS resourceVersion,
             map('team', concat('t', user_id % 3)) AS labels) AS metadata,
         if(event_type = 'error', 'Warning', 'Normal') AS type,
         {EVENT_REASONS} AS reason,

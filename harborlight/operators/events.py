@@ -148,7 +148,7 @@ def events_of_namespace(rows: DataFrame, namespace: str) -> DataFrame:
     return rows.where((F.col("involved_namespace") == namespace) & (F.col("namespace") == namespace))
 
 
-_FIRST_ARRIVAL = [
+FIRST_ARRIVAL = [
     "namespace",
     "event_type",
     "reason",
@@ -173,15 +173,20 @@ def merge_events(rows: DataFrame, seq: Column) -> DataFrame:
     same result.  All aggregates combine before the shuffle, so a key holding
     most rows costs no more than any other.
     """
-    order = F.struct(seq.alias("seq"), F.xxhash64(*_FIRST_ARRIVAL).alias("tie"))
+    order = F.struct(seq.alias("seq"), F.xxhash64(*FIRST_ARRIVAL).alias("tie"))
     dated = F.when(F.col("last_timestamp").isNotNull(), order)
     merged = rows.groupBy("deduplication_key").agg(
-        F.min_by(F.struct(*_FIRST_ARRIVAL), order).alias("first"),
+        F.min_by(F.struct(*FIRST_ARRIVAL), order).alias("first"),
         F.max_by("last_timestamp", dated).alias("last_timestamp"),
         F.sum("count").alias("count"),
     )
+    return merged_rows(merged)
+
+
+def merged_rows(merged: DataFrame) -> DataFrame:
+    """Table columns of merged events: ``first`` describes, the last time is shown."""
     return merged.select(
-        *[F.col(f"first.{c}").alias(c) for c in _FIRST_ARRIVAL if c != "timestamp"],
+        *[F.col(f"first.{c}").alias(c) for c in FIRST_ARRIVAL if c != "timestamp"],
         F.coalesce("last_timestamp", "first.timestamp").alias("timestamp"),
         "last_timestamp",
         "count",

@@ -78,6 +78,13 @@ def stream_lines(spark: SparkSession, root: str, files_per_trigger: int | None =
     return reader.text(root)
 
 
+def stream_placed_lines(
+    spark: SparkSession, root: str, files_per_trigger: int | None = None
+) -> DataFrame:
+    """As :func:`stream_lines`, with the file and split each line comes from."""
+    return _placed(stream_lines(spark, root, files_per_trigger))
+
+
 def stream_container_logs(
     spark: SparkSession, root: str, files_per_trigger: int | None = None
 ) -> DataFrame:

@@ -6,6 +6,8 @@ one stopped, so there is no reconnect loop here.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -41,12 +43,28 @@ def _start(writer, until_idle: bool) -> StreamingQuery:
     return (writer.trigger(availableNow=True) if until_idle else writer).start()
 
 
-def finish(query: StreamingQuery, timeout_seconds: float | None = None) -> bool:
-    """Wait for an until-idle run, or stop any run after a time; True if it ended itself."""
-    if timeout_seconds is None:
-        query.awaitTermination()
-        return True
-    ended = query.awaitTermination(timeout_seconds)
+def finish(
+    query: StreamingQuery, timeout_seconds: float | None = None, most_rows: int | None = None
+) -> bool:
+    """Wait for an until-idle run, or stop any run after a time or a number of input rows.
+
+    True if the run ended itself.  Rows are counted per finished trigger, so the last one
+    may go beyond ``most_rows``.
+    """
+    if most_rows is None:
+        if timeout_seconds is None:
+            query.awaitTermination()
+            return True
+        ended = query.awaitTermination(timeout_seconds)
+    else:
+        deadline = None if timeout_seconds is None else time.monotonic() + timeout_seconds
+        seen: dict[int, int] = {}
+        ended = False
+        while not ended and sum(seen.values()) < most_rows:
+            if deadline is not None and time.monotonic() >= deadline:
+                break
+            ended = query.awaitTermination(0.2)
+            seen.update((p["batchId"], p["numInputRows"]) for p in query.recentProgress)
     if not ended:
         query.stop()
     return ended

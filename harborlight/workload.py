@@ -23,7 +23,7 @@ from harborlight.plans.questions import ask
 from harborlight.plans.views import register_views
 from harborlight.session import configure, scratch_dir
 from harborlight.sources import audit_sources, landed, sink
-from harborlight.streaming import runs, tables
+from harborlight.streaming import runs, tables, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -381,7 +381,9 @@ def sink_partitioned(spark, sf_dir):
         sink.append_new_rows(early, path)
         sink.append_new_rows(late, path, since=SINCE)
 
-    table = sink.read_partitioned(spark, land(spark, sf_dir, "audit-table", write))
+    path = scratch_dir(spark, "audit-table")  # the sink is what is asked for: no memo
+    write(path)
+    table = sink.read_partitioned(spark, path)
     return table.select("line_no", "verb", "resource", "tp_partition", "tp_date")
 
 
@@ -691,16 +693,15 @@ def scan_pod_logs(spark, sf_dir):
 
 
 def event_files(spark: SparkSession, sf_dir: str) -> str:
-    """Four files with consecutive events."""
+    """Four files with consecutive events, landed one after the other."""
 
     def write(path: str) -> None:
-        (
-            fx.event_objects(spark, sf_dir)
-            .repartitionByRange(4, "line_no")
-            .sortWithinPartitions("line_no")
-            .select("value")
-            .write.text(path)
-        )
+        rows = fx.event_objects(spark, sf_dir)
+        last = rows.agg(F.max("line_no")).first()[0] or 0
+        for part in range(4):
+            mine = F.floor(F.col("line_no") * 4 / (last + 1)) == part
+            ordered = rows.where(mine).coalesce(1).sortWithinPartitions("line_no")
+            ordered.select("value").write.text(f"{path}/part={part}")
 
     return land(spark, sf_dir, "event-objects", write)
 
@@ -708,7 +709,7 @@ def event_files(spark: SparkSession, sf_dir: str) -> str:
 @query
 def scan_events(spark, sf_dir):
     """Merged by place in the files, which is the arrival order."""
-    lines = landed.scan_objects(spark, event_files(spark, sf_dir))
+    lines = landed.scan_objects(spark, f"{event_files(spark, sf_dir)}/part=*")
     rows = events.cluster_events(lines, as_of=FALLBACK)
     return merged_columns(rows)
 
@@ -728,11 +729,12 @@ def scan_resources(spark, sf_dir):
 @query
 def stream_event_merge(spark, sf_dir):
     """One file per trigger; the final state equals the batch merge."""
-    source = event_files(spark, sf_dir)
+    source = f"{event_files(spark, sf_dir)}/part=*"
     out = scratch_dir(spark, "event-watch")
-    changes = tables.watch_events(landed.stream_lines(spark, source, 1), as_of=FALLBACK)
-    runs.finish(runs.update_to_table(changes, f"{out}/rows", f"{out}/checkpoint"))
-    return merged_columns(runs.latest_rows(spark, f"{out}/rows", "deduplication_key"))
+    lines = landed.stream_placed_lines(spark, source, 1)
+    query = watch.watch_to_table(lines, f"{out}/rows", f"{out}/checkpoint", as_of=FALLBACK)
+    runs.finish(query)
+    return merged_columns(watch.watched_events(spark, f"{out}/rows"))
 
 
 @query

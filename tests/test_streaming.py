@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from harborlight.operators import audit, events, podlogs
 from harborlight.operators.collect_once import with_collect_key
 from harborlight.sources import landed
-from harborlight.streaming import runs, tables
+from harborlight.streaming import runs, tables, watch
 from helpers import lines
 
 
@@ -113,3 +114,41 @@ def test_bounded_run_stops(spark, tmp_path):
     assert runs.finish(query, timeout_seconds=8) is False
     assert not query.isActive
     assert runs.latest_rows(spark, str(tmp_path / "o"), "deduplication_key").count() == 1
+
+
+def test_watch_merges_in_arrival_order(spark, tmp_path):
+    """Versions run against arrival; the stream agrees with the batch merge of the same files."""
+    source, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    source.mkdir()
+
+    def run(**kw):
+        stream = landed.stream_placed_lines(spark, str(source), 1)
+        return runs.finish(watch.watch_to_table(stream, out, check, **kw))
+
+    (source / "1.json").write_text(event("a", 1, 5, 9) + "\n" + event("a", 1, 2, 8) + "\n")
+    assert run()
+    assert shown(watch.watched_events(spark, out)) == [("a", "m9", 2, "02")]
+    (source / "2.json").write_text(event("a", 4, None, 7) + "\n" + event("b", 1, 1, 1) + "\n")
+    (source / "3.json").write_text(event("b", 2, 30, 0) + "\n")
+    landed_at = (source / "2.json").stat().st_mtime
+    os.utime(source / "3.json", (landed_at + 5, landed_at + 5))
+    assert run()  # same checkpoint: goes on with the stored state
+    final = shown(watch.watched_events(spark, out))
+    assert final == [("a", "m9", 6, "02"), ("b", "m1", 3, "30")]
+    assert shown(events.cluster_events(landed.scan_lines(spark, str(source)))) == final
+
+
+def test_watch_reads_changes_and_stops_after_rows(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for i in range(4):
+        change = {"type": "MODIFIED", "object": json.loads(event("a", 1, i, i))}
+        (source / f"{i}.json").write_text(json.dumps(change) + "\n")
+        os.utime(source / f"{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
+    stream = landed.stream_placed_lines(spark, str(source), 1)
+    out = str(tmp_path / "out")
+    query = watch.watch_to_table(stream, out, str(tmp_path / "c"), watch=True, until_idle=False)
+    assert runs.finish(query, timeout_seconds=60, most_rows=2) is False
+    assert not query.isActive
+    (row,) = watch.watched_events(spark, out).collect()
+    assert 2 <= row["count"] <= 4 and row.message == "m0"
