@@ -24,6 +24,8 @@ are scored; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from harborlight.llm.common import stored
 from harborlight.llm.textblocks import bytes_of, mixed, word_hashes
 
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000
 #: tokens asked for, in all blocks together, by which the number of shards is chosen
 SHARD_TOKENS = 2_000_000
 FOLDS = 5
@@ -79,10 +81,42 @@ class _Block:
         return np.add.reduceat(values, self.bounds[:-1]) if len(self.bounds) > 1 else values[:0]
 
 
+DEALT = "block long, ids array<long>, folds array<int>, sizes array<long>, texts binary"
+
+
+def _deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of a batch by block, compressed together; text moves three times."""
+    schema = pa.schema(
+        [("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("folds", pa.list_(pa.int32())),
+         ("sizes", pa.list_(pa.int64())), ("texts", pa.binary())]
+    )
+    for batch in batches:
+        blocks = batch.column(0).to_numpy()
+        order = np.argsort(blocks, kind="stable")
+        cuts = np.flatnonzero(np.append(True, np.diff(blocks[order]) != 0))
+        for rows in np.split(order, cuts[1:]):
+            if not len(rows):
+                continue
+            part = batch.take(pa.array(rows))
+            data, bounds = bytes_of(part.column(3))
+            row = {
+                "block": int(blocks[rows[0]]),
+                "ids": part.column(1).to_pylist(),
+                "folds": part.column(2).to_pylist(),
+                "sizes": np.diff(bounds).tolist(),
+                "texts": zlib.compress(data.tobytes(), 1),
+            }
+            yield pa.RecordBatch.from_pylist([row], schema=schema)
+
+
+def _joined(table: pa.Table, column: str) -> list:
+    return [x for row in table.column(column).to_pylist() for x in row]
+
+
 def _read(table: pa.Table) -> _Block:
-    column = table.column("text").combine_chunks()
-    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-    hashes, ends = word_hashes(*bytes_of(column))
+    data = np.frombuffer(b"".join(map(zlib.decompress, table.column("texts").to_pylist())), np.uint8)
+    text_bounds = np.append(0, np.cumsum(np.array(_joined(table, "sizes"), np.int64)))
+    hashes, ends = word_hashes(data, text_bounds)
     n = len(ends) - 1
     bounds = ends + np.arange(n + 1)  # one end token behind each text
     tokens = np.full(bounds[-1], END, np.uint64)
@@ -97,11 +131,11 @@ def _read(table: pa.Table) -> _Block:
     pairs, pair_at = np.unique(pairs, return_inverse=True)
     # a text's start is met as often as a text's end
     context = np.where(before == START, END, before)
-    folds = table.column("fold").to_numpy()
+    folds = np.array(_joined(table, "folds"), np.int64)
     return _Block(bounds, folds, words, word_at, pairs, pair_at, np.searchsorted(words, context))
 
 
-ASKED = "kind int, shard int, block long, n_keys long, keys binary, train binary, fold binary"
+ASKED = "kind int, shard int, block long, keys binary, train binary, fold binary"
 ANSWERED = (
     "kind int, shard int, block long, train binary, fold binary, total long, rest long, types long"
 )
@@ -120,13 +154,30 @@ def _ask(n_shards: int):
             cuts = np.searchsorted(keys, _limits(n_shards))
             for shard, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                 if a < b:
-                    parts = (keys[a:b], train[a:b], held[a:b])
-                    out.append((kind, shard, key[0].as_py(), int(b - a), *(p.tobytes() for p in parts)))
+                    counts = (zlib.compress(x[a:b].tobytes(), 1) for x in (train, held))
+                    out.append((kind, shard, key[0].as_py(), pack_keys(keys[a:b]), *counts))
         return _table(out, ASKED)
 
     return ask
 
 
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as steps of equal width: one byte for the width, the first key, the steps."""
+    steps = np.diff(keys)
+    width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
+    raw = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return bytes([width]) + keys[:1].astype("<u8").tobytes() + raw.tobytes()
+
+
+def unpack_keys(packed: bytes) -> np.ndarray:
+    width = packed[0]
+    raw = np.frombuffer(packed, np.uint8, offset=9).reshape(-1, width)
+    steps = np.zeros((len(raw) + 1, 8), np.uint8)
+    steps[0] = np.frombuffer(packed[1:9], np.uint8)
+    steps[1:, :width] = raw
+    return np.cumsum(steps.reshape(-1).view("<u8"), dtype=np.uint64)
+
+
 def _limits(n_shards: int) -> np.ndarray:
     """Equal key ranges: n_shards + 1 limits, the last one beyond all hashes."""
     step = (2**64 - 1) // n_shards
@@ -136,19 +187,25 @@ def _limits(n_shards: int) -> np.ndarray:
 def _answer(table: pa.Table) -> pa.Table:
     """Counts over all blocks of each asked key, per asking block and in its order."""
     asked = [table.column(c).to_pylist() for c in ("kind", "shard", "block", "keys", "train", "fold")]
-    keys = np.concatenate([np.frombuffer(k, "<u8") for k in asked[3]])
-    distinct, at = np.unique(keys, return_inverse=True)
+    each = [unpack_keys(k) for k in asked[3]]
+    distinct, at = np.unique(np.concatenate(each), return_inverse=True)
+    sizes = np.cumsum([0] + [len(k) for k in each])
+    del each
     train, fold = (
-        np.bincount(at, np.concatenate([np.frombuffer(x, "<i4") for x in asked[i]]), len(distinct)).astype("<i8")
+        np.bincount(
+            at,
+            np.concatenate([np.frombuffer(zlib.decompress(x), "<i4") for x in asked[i]]),
+            len(distinct),
+        ).astype("<i8")
         for i in (4, 5)
     )
-    sizes = np.cumsum([0] + [len(k) // 8 for k in asked[3]])
     totals = (int(train.sum()), int((train - fold).sum()), int((train > 0).sum()))
     out = []
     for i, (a, b) in enumerate(zip(sizes[:-1], sizes[1:], strict=True)):
         mine = at[a:b]
         out.append(
-            (asked[0][i], asked[1][i], asked[2][i], train[mine].tobytes(), fold[mine].tobytes())
+            (asked[0][i], asked[1][i], asked[2][i])
+            + tuple(zlib.compress(x[mine].tobytes(), 1) for x in (train, fold))
             + (totals if i == 0 else (0, 0, 0))
         )
     return _table(out, ANSWERED)
@@ -173,7 +230,7 @@ def _counts(answers: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
         if k == kind
     )
     return tuple(
-        np.frombuffer(b"".join(r[i] for r in rows), "<i8") for i in (1, 2)
+        np.frombuffer(b"".join(zlib.decompress(r[i]) for r in rows), "<i8") for i in (1, 2)
     )
 
 
@@ -191,10 +248,9 @@ def _ratios(n_rest: int, n_types: int):
             return _table([], STATS)
         block = _read(docs)
         (c1, f1), (c2, f2) = _counts(answers, 1), _counts(answers, 2)
-        mine = block.folds[block.rows] == WEIGHT_FOLD
-        single, pair = (c1 - f1), (c2 - f2)[block.pair_at][mine]
-        context = single[block.context_at][mine]
-        p1 = (single[block.word_at][mine] + 0.5) / (n_rest + 0.5 * (n_types + 1))
+        single, pair = c1 - f1, (c2 - f2)[block.pair_at]
+        context = single[block.context_at]
+        p1 = (single[block.word_at] + 0.5) / (n_rest + 0.5 * (n_types + 1))
         ratio = pair / np.maximum(context, 1) / p1
         bins = np.full(len(ratio), -1)
         some = ratio > 0
@@ -247,11 +303,11 @@ def _score(model: Model):
         p1 = (single + 0.5) / (model.n_tokens + 0.5 * (model.n_types + 1))
         g = weights[buckets(context)]
         p = g * c2[block.pair_at] / np.maximum(context, 1) + (1 - g) * p1
-        fold = docs.column("fold").to_numpy()
+        fold = block.folds
         held = [None if f < 0 else bool(f == TEST_FOLD) for f in fold.tolist()]
         return pa.table(
             {
-                "doc_id": docs.column("doc_id"),
+                "doc_id": pa.array(_joined(docs, "ids"), pa.int64()),
                 "held_out": pa.array(held, pa.bool_()),
                 "n_tokens": np.diff(block.bounds),
                 "n_known": block.per_row((single > 0).astype(np.int64)),
@@ -276,22 +332,30 @@ def score_texts(
     n_bytes, n_docs = texts.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
     n_blocks = (n_bytes or 0) // BLOCK_BYTES + 8
     n_shards = ((n_bytes or 0) // 4 + n_docs) // SHARD_TOKENS + 8
-    texts = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)))
+    # the fold that the weights are learned on has blocks of its own
+    n_weight_blocks = n_blocks // FOLDS + 2
+    hashed = F.xxhash64("doc_id", "text")
+    block = F.when(
+        F.col("fold") == WEIGHT_FOLD, F.pmod(hashed, F.lit(n_weight_blocks))
+    ).otherwise(n_weight_blocks + F.pmod(hashed, F.lit(n_blocks)))
+    placed = texts.select(block.alias("block"), "doc_id", "fold", "text")
+    texts = placed.mapInArrow(_deal, DEALT)
+    weight_texts = placed.filter(F.col("fold") == WEIGHT_FOLD).mapInArrow(_deal, DEALT)
     asked = texts.groupBy("block").applyInArrow(_ask(n_shards), ASKED)
     answers = stored(
         asked.groupBy("kind", "shard").applyInArrow(_answer, ANSWERED), "interpolation-counts"
     )
     totals = answers.filter("kind = 1").agg(F.sum("total"), F.sum("rest"), F.sum("types")).first()
     n_tokens, n_rest, n_types = (x or 0 for x in totals)
-    replies = answers.select("block", "kind", "shard", "train", "fold").groupBy("block")
+    replies = answers.select("block", "kind", "shard", "train", "fold")
     stats = (
-        texts.groupBy("block")  # whole blocks: answers follow all their keys
-        .cogroup(replies)
+        weight_texts.groupBy("block")
+        .cogroup(replies.filter(F.col("block") < n_weight_blocks).groupBy("block"))
         .applyInArrow(_ratios(n_rest, n_types), STATS)
         .groupBy("bucket", "bin")
         .agg(F.sum("n").alias("n"))
     )
     weights = learn_weights([tuple(r) for r in stats.collect()])
     model = Model(n_tokens, n_types, n_rest, weights)
-    scored = texts.groupBy("block").cogroup(replies).applyInArrow(_score(model), SCORES)
+    scored = texts.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_score(model), SCORES)
     return scored, model

@@ -89,3 +89,14 @@ def test_weights_are_learned():
     best = max((80 * math.log(g * ratio + 1 - g) + 20 * math.log(1 - g), g) for g in [i / 10000 for i in range(1, 10000)])
     assert weights[3] == pytest.approx(best[1], abs=2e-4)
     assert weights[4] == weights[3] and weights[0] == 0
+
+
+def test_keys_travel_packed():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    for high in (5, 2**20, 2**64 - 1):
+        keys = np.unique(rng.integers(0, high, 200, dtype=np.uint64))
+        assert (interpolation.unpack_keys(interpolation.pack_keys(keys)) == keys).all()
+    one = np.array([2**64 - 1], np.uint64)
+    assert (interpolation.unpack_keys(interpolation.pack_keys(one)) == one).all()
