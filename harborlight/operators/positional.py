@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 # Order of lines read from files.
 PLACE = ["file_path", "block_start", "line_no"]
+# Order of the files themselves, where it is not that of their paths.
+FILE_ORDER = "file_order"
 
 # Up to this many rows per group a row_number filter is planned as a partial and
 # final group limit (spark.sql.optimizer.windowGroupLimitThreshold default).
@@ -46,9 +48,31 @@ def number_lines(df: DataFrame) -> DataFrame:
 
 def place_of(df: DataFrame) -> list[str]:
     """The columns that order the lines of a frame."""
+    if FILE_ORDER in df.columns:
+        return [FILE_ORDER, *PLACE]
     return PLACE if "file_path" in df.columns else ["line_no"]
 
 
+def file_order(path: Column) -> Column:
+    """A text by which files of one folder sort in the order they were written.
+
+    A rotated file (``0.log.20240101-000000``, ``audit-2024-01-01.log``) comes before the one
+    still written (``0.log``, ``audit.log``), and leading numbers count as numbers.
+    """
+    folder = F.regexp_extract(path, "^(.*/)?", 0)
+    name = F.regexp_extract(path, "[^/]*$", 0)
+    stem = F.regexp_replace(name, r"\.log(\..*)?$", "")
+    number = F.regexp_extract(stem, r"^\d+", 0)
+    counted = F.concat(F.lpad(number, 20, "0"), F.regexp_replace(stem, r"^\d+", ""))
+    suffix = F.regexp_extract(name, r"\.log\.(.+)$", 1)
+    return F.concat(
+        folder,
+        F.when(number != "", counted).otherwise(stem),
+        F.lit("|"),  # sorts behind the marks that continue a name
+        F.when(suffix != "", suffix).otherwise("~"),
+    )
+
+
 def head_per_group(
     df: DataFrame,
     keys: Sequence[str],

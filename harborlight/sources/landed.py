@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harborlight.operators.lookup import FILE_TIME
+from harborlight.operators.positional import FILE_ORDER, file_order
 
 # Where API servers write their audit log by default.
 DEFAULT_AUDIT_PATHS = [
@@ -48,17 +49,47 @@ def _placed(df: DataFrame) -> DataFrame:
         *[F.col(c) for c in df.columns if c != "value"],
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
+        file_order(F.col("_metadata.file_path")).alias(FILE_ORDER),
     )
 
 
-def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines of text files with file_path and block_start."""
-    return _placed(spark.read.option("lineSep", "\n").text(paths))
+def _text(spark: SparkSession, skip_unreadable: bool = False):
+    reader = spark.read.option("lineSep", "\n")
+    return reader.option("ignoreCorruptFiles", "true") if skip_unreadable else reader
 
 
-def scan_container_logs(spark: SparkSession, root: str) -> DataFrame:
-    """Lines of landed container logs, keyed by their path."""
-    return _placed(spark.read.schema(_CONTAINER_LINE).option("lineSep", "\n").text(root))
+def scan_lines(
+    spark: SparkSession, paths: str | Sequence[str], skip_unreadable: bool = False
+) -> DataFrame:
+    """Lines of text files with file_path and block_start.
+
+    With ``skip_unreadable`` a file that cannot be read (any further) is left there and the
+    scan goes on; :func:`files_without_lines` reports which files gave nothing.
+    """
+    return _placed(_text(spark, skip_unreadable).text(paths))
+
+
+def scan_container_logs(
+    spark: SparkSession, root: str, skip_unreadable: bool = False
+) -> DataFrame:
+    """Lines of landed container logs, keyed by their path; unreadable files as in scan_lines."""
+    return _placed(_text(spark, skip_unreadable).schema(_CONTAINER_LINE).text(root))
+
+
+def files_without_lines(spark: SparkSession, root: str, lines: DataFrame) -> DataFrame:
+    """(file_path, length) of non-empty files below ``root`` that no line of a scan comes from."""
+    landed_files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(root)
+        .where("length > 0")
+        .select(F.replace("path", F.lit("file:///"), F.lit("file:/")).alias("at"), "path", "length")
+    )
+    seen = lines.select(
+        F.replace("file_path", F.lit("file:///"), F.lit("file:/")).alias("at")
+    ).distinct()
+    found = landed_files.join(seen, "at", "left_anti")
+    return found.select(F.col("path").alias("file_path"), "length")
 
 
 def scan_objects(spark: SparkSession, root: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from harborlight import schemas
 from harborlight.operators import events
 from harborlight.operators.enrich import with_source
-from harborlight.operators.positional import PLACE, number_lines
+from harborlight.operators.positional import number_lines, place_of
 
 BATCH = "batch_id"
 SLOTS = 2
@@ -50,11 +50,12 @@ def watch_to_table(
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         placed = number_lines(batch)
+        place = place_of(placed)
         parsed = events.parse_events(
-            placed, as_of=as_of, cluster_name=cluster_name, keep=PLACE, watch=watch
+            placed, as_of=as_of, cluster_name=cluster_name, keep=place, watch=watch
         )
         rows = events.filter_events(parsed, since=since, **event_filters)
-        arrived = F.struct(F.lit(batch_id).cast("long").alias(BATCH), *PLACE)
+        arrived = F.struct(F.lit(batch_id).cast("long").alias(BATCH), *place)
         merged = _merged(_as_state(rows, arrived))
         before = _state(batch.sparkSession, path, batch_id)
         if before is not None:

@@ -210,3 +210,33 @@ def test_container_selection_uses_any_selector(cluster):
     got = audit_sources.lines_of_labelled_pods(lines, containers, ["app=web", "tier=control-plane"])
     assert sorted(r.pod_name for r in got.collect()) == ["api", "api", "web"]
     assert set(got.columns) >= set(podlogs.CONTAINER)
+
+
+def test_rotated_and_unreadable_files(spark, tmp_path):
+    """Rotated files come first, numbers count as numbers, a broken file stops nothing."""
+    import gzip
+
+    from harborlight.operators.positional import file_order, number_lines, place_of, tail_per_group
+
+    names = ["0.log", "0.log.20240101-000000", "0.log.20240102-000000.gz", "2.log", "10.log", "audit.log",
+             "audit-2024-01-01.log", "pod/0.log"]
+    df = spark.createDataFrame([("/x/" + n,) for n in names], "p string")
+    ordered = [r.p[3:] for r in df.orderBy(file_order(df["p"])).collect()]
+    assert ordered == [
+        "0.log.20240101-000000", "0.log.20240102-000000.gz", "0.log", "2.log", "10.log",
+        "audit-2024-01-01.log", "audit.log", "pod/0.log",
+    ]
+
+    folder = tmp_path / "namespace=n" / "pod_name=p" / "container_name=c"
+    folder.mkdir(parents=True)
+    (folder / "0.log").write_text("new 1\nnew 2\n")
+    (folder / "0.log.20240101-000000").write_text("old 1\nold 2\n")
+    (folder / "0.log.20231231-000000.gz").write_bytes(gzip.compress(b"oldest\n" * 5000)[:40])
+    lines = landed.scan_container_logs(spark, str(tmp_path), skip_unreadable=True)
+    numbered = number_lines(lines)
+    last = tail_per_group(numbered, ["pod_name"], place_of(numbered), 3).collect()
+    assert sorted(r.value for r in last) == ["new 1", "new 2", "old 2"]
+    missing = landed.files_without_lines(spark, str(tmp_path), lines.where("value not like 'oldest%'"))
+    assert [r.file_path.rsplit("/", 1)[1] for r in missing.collect()] == ["0.log.20231231-000000.gz"]
+    with pytest.raises(Exception, match="FAILED_READ_FILE|EOF"):
+        landed.scan_container_logs(spark, str(tmp_path)).count()
