@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harborlight import fixtures as fx
+from harborlight.functions.identity import event_identity, pod_log_identity
 from harborlight.functions.levels import level_from_words
 from harborlight.functions.text import is_blank
 from harborlight.operators import audit, events, podlogs, resources
@@ -18,6 +19,7 @@ from harborlight.operators.collect_once import (
     collect_once,
     with_collect_key,
 )
+from harborlight.operators.lookup import FILE_TIME
 from harborlight.operators.positional import head_per_group, tail_per_group
 from harborlight.plans.questions import ask
 from harborlight.plans.views import register_views
@@ -100,14 +102,46 @@ def pod_log_doc_levels(spark, sf_dir):
     )
 
 
+def two_dumps(objects: DataFrame, change: str, to: str) -> DataFrame:
+    """The objects, and an older dump in which each of them differs."""
+    now = objects.withColumn(FILE_TIME, F.lit(AS_OF.replace(tzinfo=None)))
+    before = objects.withColumn("value", F.regexp_replace("value", change, to))
+    return now.unionByName(before.withColumn(FILE_TIME, F.lit(SINCE.replace(tzinfo=None))))
+
+
 @query
 def pod_log_enrich(spark, sf_dir):
+    return enriched_lines(spark, sf_dir, containers(spark, sf_dir), "tier=t1")
+
+
+@query
+def pod_log_two_dumps(spark, sf_dir):
+    """Every pod is in two dumps; lines meet its newest version, over a shuffled join."""
+    dumps = two_dumps(fx.pod_objects(spark, sf_dir), '"nodeName":"node-', '"nodeName":"old-')
+    chosen = podlogs.pod_containers(dumps)
+    return enriched_lines(
+        spark, sf_dir, chosen, "tier in (t1, none),tier notin (t0),app,!absent", broadcast=False
+    )
+
+
+@query
+def pod_log_collect_once(spark, sf_dir):
+    """Two overlapping landings of the same lines."""
+    lines = fx.log_lines(spark, sf_dir)
+    parsed = podlogs.parse_timestamps(lines.unionByName(lines))
+    identity = pod_log_identity(*[F.col(c) for c in (*podlogs.CONTAINER, "timestamp", "ts_raw")])
+    rows = collect_once(with_collect_key(parsed, identity, F.col("timestamp")), [F.col("line_no")])
+    return rows.select("line_no", *podlogs.CONTAINER, ntz("timestamp"))
+
+
+def enriched_lines(spark, sf_dir, chosen, selectors, broadcast=None):
     rows = podlogs.pod_logs(
         fx.log_lines(spark, sf_dir),
-        containers(spark, sf_dir),
+        chosen,
         pod_name_pattern="[0-8]$",
-        label_selectors=["tier=t1"],
+        label_selectors=selectors,
         cluster_name="blue",
+        broadcast=broadcast,
     )
     return rows.select(
         "line_no",
@@ -403,6 +437,17 @@ def event_parse(spark, sf_dir):
     )
 
 
+@query
+def event_collect_once(spark, sf_dir):
+    """Two overlapping landings of the same events."""
+    lines = fx.event_objects(spark, sf_dir)
+    rows = events.parse_events(lines.unionByName(lines), as_of=FALLBACK, keep=["line_no"])
+    parts = "deduplication_key namespace event_type reason object_kind object_name timestamp"
+    identity = event_identity(*[F.col(c) for c in parts.split()])
+    once = collect_once(with_collect_key(rows, identity, F.col("timestamp")), [F.col("line_no")])
+    return once.select("line_no", "message", ROW_ID, ROW_MS)
+
+
 @query
 def event_filter(spark, sf_dir):
     parsed = events.parse_events(
@@ -474,7 +519,18 @@ def resource_rows(spark, sf_dir):
 
 @query
 def resource_pods(spark, sf_dir):
-    rows = resources.cluster_resources(fx.resource_pods(spark, sf_dir), include_spec=True)
+    return shown_pods(fx.resource_pods(spark, sf_dir))
+
+
+@query
+def resource_newest(spark, sf_dir):
+    """Every pod is in two dumps and counts once, as of the later one."""
+    dumps = two_dumps(fx.resource_pods(spark, sf_dir), '"phase":"[^"]*"', '"phase":"Before"')
+    return shown_pods(dumps, newest_only=True)
+
+
+def shown_pods(objects: DataFrame, newest_only: bool | None = None) -> DataFrame:
+    rows = resources.cluster_resources(objects, include_spec=True, newest_only=newest_only)
     return rows.select(
         *["namespace", "resource_name", "status", "node_name", "uid", "resource_version"],
         *["pod_ip", "phase", "restart_count", "qos_class"],

@@ -353,6 +353,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT line_no FROM raw QUALIFY row_number() OVER ({PER_CONTAINER} DESC) <= 5)
         SELECT {KEYS}, timestamp, log_level, log_message FROM pod_logs JOIN tail USING (line_no)
         WHERE namespace IN ('kube-system', 'monitoring')"""
+    o["pod_log_two_dumps"] = o["pod_log_enrich"]
+    o["resource_newest"] = o["resource_pods"]
+    o["pod_log_collect_once"] = f"""WITH {LOGS} SELECT line_no, {KEYS}, timestamp FROM logs
+        QUALIFY row_number() OVER (PARTITION BY {KEYS}, timestamp ORDER BY line_no) = 1"""
+    o["event_collect_once"] = f"""WITH {EVENTS} SELECT line_no, message, deduplication_key AS row_id,
+        epoch_us(timestamp) // 1000 AS row_ms FROM evts
+        QUALIFY row_number() OVER (PARTITION BY deduplication_key, epoch_us(timestamp) // 1000 ORDER BY line_no) = 1"""
     o["scan_events"] = o["event_merge"]
     o["scan_resources"] = f"""WITH {RESOURCES} SELECT resource_type, status, count(*) AS objects,
         count(DISTINCT resource_name) AS names FROM resources GROUP BY ALL"""
