@@ -7,6 +7,8 @@ lists of prefix tokens under one global order: frequent tokens last, others by h
 * Index-level skipping: list entries carry set size and position; entries are paired only
   inside the size bound, and blocks of entries are skipped when the tokens left after
   their positions cannot reach the needed overlap.
+* Before sets are sent to each other, the counts of their members in 512 ranges of hashes
+  bound how many they can share; pairs below the needed overlap go no further.
 * Answer-level skipping: the sets of a list are first compared with two leaders per size
   band only.  The answers of a leader are then used for the highly similar sets around
   it: sets that are already connected need no comparison, and two sets whose known
@@ -33,7 +35,14 @@ from pyspark.sql import functions as F
 
 from harborlight.llm.common import checked, stored
 from harborlight.llm.components import components
-from harborlight.llm.textblocks import groups, set_signatures, shingle_sets, word_hashes
+from harborlight.llm.textblocks import (
+    groups,
+    most_shared,
+    set_signatures,
+    set_sketches,
+    shingle_sets,
+    word_hashes,
+)
 
 #: shingles of a chunk in which token frequencies are counted
 CHUNK = 2_000_000
@@ -44,7 +53,8 @@ FREQUENT_TOKENS = 500_000
 
 
 def _signatures(docs: DataFrame, length: int) -> DataFrame:
-    """(doc_id, n, k1, k2) per document and (token, n) per chunk for tokens seen repeatedly."""
+    """(doc_id, n, k1, k2, sketch) per document; per chunk (k1 = token, n, no sketch) of tokens
+    seen repeatedly."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, held = [], 0
@@ -52,7 +62,7 @@ def _signatures(docs: DataFrame, length: int) -> DataFrame:
             for part, data, bounds in groups(batch, 1):
                 sets, ends = shingle_sets(*word_hashes(data, bounds), length)
                 k1, k2 = set_signatures(sets, ends)
-                yield _record(part.column(0), np.diff(ends), k1, k2)
+                yield _record(part.column(0), np.diff(ends), k1, k2, set_sketches(sets, ends))
                 chunk.append(sets)
                 held += len(sets)
                 if held >= CHUNK:
@@ -60,12 +70,12 @@ def _signatures(docs: DataFrame, length: int) -> DataFrame:
                     chunk, held = [], 0
         yield from _counted(chunk)
 
-    return docs.mapInArrow(scan, "doc_id long, n long, k1 long, k2 long, is_token boolean")
+    return docs.mapInArrow(scan, "doc_id long, n long, k1 long, k2 long, sketch binary")
 
 
-def _record(ids: pa.Array, n: np.ndarray, k1: np.ndarray, k2: np.ndarray, token=False) -> pa.RecordBatch:
-    arrays = [ids, *(pa.array(x, pa.int64()) for x in (n, k1, k2)), pa.array([token] * len(n), pa.bool_())]
-    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "k1", "k2", "is_token"])
+def _record(ids: pa.Array, n: np.ndarray, k1: np.ndarray, k2: np.ndarray, sketches) -> pa.RecordBatch:
+    arrays = [ids, *(pa.array(x, pa.int64()) for x in (n, k1, k2)), pa.array(sketches, pa.binary())]
+    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "k1", "k2", "sketch"])
 
 
 def _counted(chunk: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -74,12 +84,12 @@ def _counted(chunk: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         tokens, n = tokens[n >= COUNTED_FROM], n[n >= COUNTED_FROM]
         if len(tokens):
             nothing = pa.nulls(len(n), pa.int64())
-            yield _record(nothing, n, tokens.view(np.int64), np.zeros(len(n), np.int64), True)
+            yield _record(nothing, n, tokens.view(np.int64), np.zeros(len(n), np.int64), [None] * len(n))
 
 
 def _frequent(signatures: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent tokens, ascending, and their frequency classes."""
-    counts = signatures.filter("is_token").groupBy("k1").agg(F.sum("n").alias("n"))
+    counts = signatures.filter("sketch is null").groupBy("k1").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.desc("n"), "k1").limit(FREQUENT_TOKENS).toArrow()
     tokens = top.column("k1").to_numpy().view(np.uint64)
     classes = np.log2(np.maximum(top.column("n").to_numpy(), 1)).astype(np.int64) + 1
@@ -148,8 +158,32 @@ def _sets(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(scan, "id long, tokens binary")
 
 
-def _compare(pairs: DataFrame, docs: DataFrame, length: int, percent: int) -> DataFrame:
+def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sketches allow the needed overlap; no pair that is linked is lost."""
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [
+                (100 + percent) * most_shared(x, y) >= percent * (n + m)
+                for x, y, n, m in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True)
+            ]
+            chosen = batch.filter(pa.array(kept, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([chosen.column(0), chosen.column(1)], ["a", "b"])
+
+    sides = [
+        classes.select(F.col("id").alias(s), F.col("sketch").alias(f"sketch_{s}"), F.col("n").alias(f"n_{s}"))
+        for s in ("a", "b")
+    ]
+    joined = pairs.join(sides[0], "a").join(sides[1], "b")
+    joined = joined.select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b")
+    return joined.mapInArrow(test, "a long, b long").distinct()
+
+
+def _compare(
+    pairs: DataFrame, classes: DataFrame, docs: DataFrame, length: int, percent: int
+) -> DataFrame:
     """(a, b, n_a, n_b, shared, is_link) of candidate pairs, by intersecting their sets."""
+    pairs = stored(_possible(pairs, classes, percent), "jaccard-possible")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     wanted = stored(wanted, "jaccard-wanted")
     texts = docs.join(checked(wanted, 1_000_000), docs["doc_id"] == wanted["id"], "left_semi")
@@ -188,14 +222,18 @@ def _leader_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """Each entry with the leaders of its list and size band."""
     band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent))
     banded = lists.withColumn("band", band)
+    entry = [F.col(c) for c in ("n", "id", "at", "is_short")]
+    by_hash = F.struct(F.xxhash64("id").alias("h"), *entry)
     leaders = banded.groupBy("token", "band").agg(
-        F.array(
-            F.min(F.struct("n", "id"))["id"], F.min(F.struct(F.xxhash64("id").alias("h"), "id"))["id"]
-        ).alias("leaders")
+        F.min(F.struct(*entry)).alias("least"), F.min(by_hash).alias("any")
     )
-    pairs = banded.join(leaders, ["token", "band"]).select("id", F.explode("leaders").alias("leader"))
-    return pairs.filter("id <> leader").select(
-        F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")
+    sides = F.array("least", F.struct(*(F.col("any")[c].alias(c) for c in ("n", "id", "at", "is_short"))))
+    pairs = banded.join(leaders, ["token", "band"]).select(
+        F.struct(*entry).alias("x"), F.explode(sides).alias("y")
+    )
+    possible = _can_link(percent, "x", "y") | _can_link(percent, "y", "x")
+    return pairs.filter(possible & (F.col("x.id") != F.col("y.id"))).select(
+        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
     ).distinct()
 
 
@@ -255,9 +293,11 @@ def near_duplicates(
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     scanned = stored(_signatures(docs, length), "jaccard-signatures")
     frequent = spark.sparkContext.broadcast(_frequent(scanned))
-    each = scanned.filter("not is_token")
+    each = scanned.filter("sketch is not null")
     classes = stored(
-        each.filter("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("id")),
+        each.filter("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(
+            F.min("doc_id").alias("id"), F.first("sketch").alias("sketch")
+        ),
         "jaccard-classes",
     )
     entries = _postings(docs.filter("doc_id is not null"), length, percent, frequent)
@@ -270,11 +310,11 @@ def near_duplicates(
     )
     lists = stored(lists, "jaccard-lists")
     first = stored(_leader_pairs(lists, percent), "jaccard-leaders")
-    tested = stored(_compare(first, docs, length, percent), "jaccard-tested")
+    tested = stored(_compare(first, classes, docs, length, percent), "jaccard-tested")
     links = tested.filter("is_link").select("a", "b")
     roots = stored(components(links), "jaccard-roots")
     rest = stored(_open_pairs(lists, roots, tested, percent), "jaccard-open")
-    more = stored(_compare(rest, docs, length, percent), "jaccard-more")
+    more = stored(_compare(rest, classes, docs, length, percent), "jaccard-more")
     late = more.filter("is_link").select("a", "b")
     if late.take(1):
         roots = stored(components(links.union(late)), "jaccard-final")

@@ -126,3 +126,24 @@ def set_signatures(sets: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(sets ^ salt), dtype=np.uint64)])
         out.append((total[bounds[1:]] - total[bounds[:-1]]).view(np.int64))
     return out[0], out[1]
+
+
+SKETCH_BITS = 9
+
+
+def set_sketches(sets: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """How many members of each row's set fall into each of 512 ranges of hashes.
+
+    Two sets share at most as many members of a range as the smaller count, so the sum of
+    those is a bound that no pair of sets exceeds.
+    """
+    rows = len(bounds) - 1
+    cells = np.repeat(np.arange(rows), np.diff(bounds)) << SKETCH_BITS
+    cells |= (sets >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+    counts = np.bincount(cells, minlength=rows << SKETCH_BITS).reshape(rows, -1)
+    return [c.astype("u1" if c.max(initial=0) < 256 else "<u4").tobytes() for c in counts]
+
+
+def most_shared(a: bytes, b: bytes) -> int:
+    x, y = (np.frombuffer(v, "u1" if len(v) == 1 << SKETCH_BITS else "<u4") for v in (a, b))
+    return int(np.minimum(x, y).sum(dtype=np.int64))
