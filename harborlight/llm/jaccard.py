@@ -50,6 +50,8 @@ CHUNK = 2_000_000
 COUNTED_FROM = 3
 #: so many of the most frequent tokens are ordered last; others are ordered by hash
 FREQUENT_TOKENS = 500_000
+#: rounds in which lists draw leaders of their own before the remaining pairs are compared
+DRAWN_ROUNDS = 1
 
 
 def _signatures(docs: DataFrame, length: int) -> DataFrame:
@@ -62,7 +64,7 @@ def _signatures(docs: DataFrame, length: int) -> DataFrame:
             for part, data, bounds in groups(batch, 1):
                 sets, ends = shingle_sets(*word_hashes(data, bounds), length)
                 k1, k2 = set_signatures(sets, ends)
-                yield _record(part.column(0), np.diff(ends), k1, k2, set_sketches(sets, ends))
+                yield _record(part.column(0), np.diff(ends), k1, k2, *set_sketches(sets, ends))
                 chunk.append(sets)
                 held += len(sets)
                 if held >= CHUNK:
@@ -70,12 +72,15 @@ def _signatures(docs: DataFrame, length: int) -> DataFrame:
                     chunk, held = [], 0
         yield from _counted(chunk)
 
-    return docs.mapInArrow(scan, "doc_id long, n long, k1 long, k2 long, sketch binary")
+    return docs.mapInArrow(scan, "doc_id long, n long, k1 long, k2 long, sketch binary, coarse array<tinyint>")
 
 
-def _record(ids: pa.Array, n: np.ndarray, k1: np.ndarray, k2: np.ndarray, sketches) -> pa.RecordBatch:
+def _record(
+    ids: pa.Array, n: np.ndarray, k1: np.ndarray, k2: np.ndarray, sketches: list, coarse: list
+) -> pa.RecordBatch:
     arrays = [ids, *(pa.array(x, pa.int64()) for x in (n, k1, k2)), pa.array(sketches, pa.binary())]
-    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "k1", "k2", "sketch"])
+    arrays.append(pa.array(coarse, pa.list_(pa.int8())))
+    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "k1", "k2", "sketch", "coarse"])
 
 
 def _counted(chunk: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -83,8 +88,8 @@ def _counted(chunk: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         tokens, n = np.unique(np.concatenate(chunk), return_counts=True)
         tokens, n = tokens[n >= COUNTED_FROM], n[n >= COUNTED_FROM]
         if len(tokens):
-            nothing = pa.nulls(len(n), pa.int64())
-            yield _record(nothing, n, tokens.view(np.int64), np.zeros(len(n), np.int64), [None] * len(n))
+            nothing, none = pa.nulls(len(n), pa.int64()), [None] * len(n)
+            yield _record(nothing, n, tokens.view(np.int64), np.zeros(len(n), np.int64), none, none)
 
 
 def _frequent(signatures: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -237,9 +242,9 @@ def _leader_pairs(lists: DataFrame, percent: int) -> DataFrame:
     ).distinct()
 
 
-def _open_pairs(lists: DataFrame, roots: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Pairs of list entries that are in different components and that no bound rules out."""
-    # each set's closest leader and its difference to it
+def _mixed(lists: DataFrame, classes: DataFrame, roots: DataFrame, tested: DataFrame) -> DataFrame:
+    """Entries of lists that hold several components, with component, major component, the
+    set's closest leader and its members' counts in 64 ranges."""
     both = tested.select(F.col("a").alias("id"), F.col("b").alias("pivot"), "n_a", "n_b", "shared").union(
         tested.select("b", "a", "n_a", "n_b", "shared")
     )
@@ -256,29 +261,65 @@ def _open_pairs(lists: DataFrame, roots: DataFrame, tested: DataFrame, percent:
     )
     placed = stored(placed, "jaccard-placed")
     sizes = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n_root"))
-    mixed = sizes.groupBy("token").agg(
+    several = sizes.groupBy("token").agg(
         F.max(F.struct("n_root", "root"))["root"].alias("major"), F.count(F.lit(1)).alias("n_roots")
     ).filter("n_roots > 1")
-    mixed = placed.join(mixed.select("token", "major"), "token")
-    mixed = stored(mixed, "jaccard-mixed")
-    x = mixed.filter("root <> major").alias("x")
-    y = mixed.alias("y")
+    mixed = placed.join(several.select("token", "major"), "token")
+    return stored(mixed.join(classes.select("id", "coarse"), "id"), "jaccard-mixed")
+
+
+def _apart(percent: int):
+    """Known differences to one leader that rule a link out, by the triangle inequality."""
     bound = (100 - percent) * (F.col("x.n") + F.col("y.n"))
-    # differences obey the triangle inequality
     apart = (F.col("x.pivot") == F.col("y.pivot")) & (
         (100 + percent) * F.abs(F.col("x.gap") - F.col("y.gap")) > bound
     )
-    pairs = x.join(
+    return F.coalesce(apart, F.lit(False))
+
+
+def _may_share_enough(percent: int):
+    """Whether the counts of both sets' members in ranges of hashes allow the needed overlap."""
+    least = F.zip_with("x.coarse", "y.coarse", lambda a, b: F.least(a, b).cast("int"))
+    most = F.aggregate(least, F.lit(0), lambda total, c: total + c)
+    enough = most * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n"))
+    return F.coalesce(enough, F.lit(True))  # very large sets have no counts
+
+
+def _pairs(joined: DataFrame, tested: DataFrame) -> DataFrame:
+    pairs = joined.select(
+        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
+    ).distinct()
+    return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+
+
+def _own_leader_pairs(mixed: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+    """Untested pairs of each entry with the leader that its list alone draws by a hash.
+
+    Lists draw different leaders, so a group of near copies whose members are linked only
+    here and there is met from many sides; the pairs are no more than the entries.
+    """
+    entry = [F.col(c) for c in ("id", "n", "at", "is_short", "root", "pivot", "gap", "coarse")]
+    drawn = F.min(F.struct(F.xxhash64("token", "id").alias("h"), *entry)).alias("y")
+    leaders = mixed.groupBy("token").agg(drawn)
+    joined = mixed.select("token", F.struct(*entry).alias("x")).join(leaders, "token")
+    possible = (_can_link(percent, "x", "y") | _can_link(percent, "y", "x")) & ~_apart(percent)
+    open_pairs = joined.filter((F.col("x.root") != F.col("y.root")) & possible)
+    return _pairs(open_pairs.filter(_may_share_enough(percent)), tested)
+
+
+def _open_pairs(mixed: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+    """Pairs of list entries that are in different components and that no bound rules out."""
+    x = mixed.filter("root <> major").alias("x")
+    y = mixed.alias("y")
+    joined = x.join(
         y,
         (F.col("x.token") == F.col("y.token"))
         & (F.col("x.root") != F.col("y.root"))
         & (_can_link(percent, "x", "y") | _can_link(percent, "y", "x"))
-        & ~F.coalesce(apart, F.lit(False)),
+        & ~_apart(percent)
+        & _may_share_enough(percent),
     )
-    pairs = pairs.select(
-        F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
-    ).distinct()
-    return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    return _pairs(joined, tested)
 
 
 def near_duplicates(
@@ -296,7 +337,9 @@ def near_duplicates(
     each = scanned.filter("sketch is not null")
     classes = stored(
         each.filter("n > 0 and doc_id is not null").groupBy("k1", "k2", "n").agg(
-            F.min("doc_id").alias("id"), F.first("sketch").alias("sketch")
+            F.min("doc_id").alias("id"),
+            F.first("sketch").alias("sketch"),
+            F.first("coarse").alias("coarse"),
         ),
         "jaccard-classes",
     )
@@ -313,7 +356,17 @@ def near_duplicates(
     tested = stored(_compare(first, classes, docs, length, percent), "jaccard-tested")
     links = tested.filter("is_link").select("a", "b")
     roots = stored(components(links), "jaccard-roots")
-    rest = stored(_open_pairs(lists, roots, tested, percent), "jaccard-open")
+    for _ in range(DRAWN_ROUNDS):
+        mixed = _mixed(lists, classes, roots, tested)
+        drawn = stored(_own_leader_pairs(mixed, tested, percent), "jaccard-drawn")
+        if not drawn.take(1):
+            break
+        found = stored(_compare(drawn, classes, docs, length, percent), "jaccard-tested")
+        tested = stored(tested.union(found), "jaccard-tested-so-far")
+        if found.filter("is_link").take(1):
+            links = tested.filter("is_link").select("a", "b")
+            roots = stored(components(links), "jaccard-roots")
+    rest = stored(_open_pairs(_mixed(lists, classes, roots, tested), tested, percent), "jaccard-open")
     more = stored(_compare(rest, classes, docs, length, percent), "jaccard-more")
     late = more.filter("is_link").select("a", "b")
     if late.take(1):

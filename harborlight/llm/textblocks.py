@@ -131,17 +131,25 @@ def set_signatures(sets: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np
 SKETCH_BITS = 9
 
 
-def set_sketches(sets: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+COARSE_BITS = 6
+
+
+def set_sketches(
+    sets: np.ndarray, bounds: np.ndarray
+) -> tuple[list[bytes], list[np.ndarray | None]]:
     """How many members of each row's set fall into each of 512 ranges of hashes.
 
     Two sets share at most as many members of a range as the smaller count, so the sum of
-    those is a bound that no pair of sets exceeds.
+    those is a bound that no pair of sets exceeds.  The second list has the same for 64
+    ranges, in single bytes, and None for sets too large for that.
     """
     rows = len(bounds) - 1
     cells = np.repeat(np.arange(rows), np.diff(bounds)) << SKETCH_BITS
     cells |= (sets >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
     counts = np.bincount(cells, minlength=rows << SKETCH_BITS).reshape(rows, -1)
-    return [c.astype("u1" if c.max(initial=0) < 256 else "<u4").tobytes() for c in counts]
+    fine = [c.astype("u1" if c.max(initial=0) < 256 else "<u4").tobytes() for c in counts]
+    sums = counts.reshape(rows, 1 << COARSE_BITS, -1).sum(axis=2)
+    return fine, [c.astype(np.int8) if c.max(initial=0) < 128 else None for c in sums]
 
 
 def most_shared(a: bytes, b: bytes) -> int:
