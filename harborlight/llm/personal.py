@@ -2,8 +2,10 @@
 
 Base spans are the leftmost, non-overlapping matches of four patterns (e-mail and IP
 addresses, card and phone numbers), checked afterwards and not retried.  They seed the
-bootstrapping: tokens that hold a digit or ``@`` are instances, the words around them
-are patterns, and both form a graph.  A pattern is trusted as far as its instances are
+bootstrapping: they, and runs of neighbouring tokens that hold a digit or ``@`` and touch
+no base span, are instances; the words around them are patterns, and both form a graph.
+A token among those words counts as a number, whatever it is, and so do the ends of a
+text as words; text stuck to a base span is no word.  A pattern is trusted as far as its instances are
 known, an instance as far as its patterns are trusted; after some rounds, what trusted
 patterns with enough different known instances surround is reported too.
 
@@ -40,7 +42,11 @@ _NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 _BLANK = r"\x20\x09-\x0D"
 TOKEN = rf"(?<![^{_BLANK}])[^{_BLANK}0-9@]*+[0-9@][^{_BLANK}]*+"
 _EDGES = r"^[^\p{L}\p{N}+]+|[^\p{L}\p{N}]+$"
-CONTEXT_CHARS = 80
+AROUND = ("before2", "before", "after", "joined")
+#: what stands for a token, and for the ends of a text, among lower-case context words
+NUMBER, BEGIN, END = "N", "BEGIN", "END"
+#: a card has no more digits than this, so no kind is written in more tokens
+MOST_TOKENS = 19
 
 ROUNDS = 3
 #: a trusted pattern surrounds so many different known instances of one kind ...
@@ -84,28 +90,57 @@ def is_valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _around(gaps: Column, i: Column) -> list[Column]:
+    """Two words before token ``i``, the word after it, and whether only blanks part it from the last.
+
+    Gaps hold the plain words between tokens, so where a gap has too few, a token follows.
+    """
+
+    def word(gap: Column, k: int) -> Column:
+        found = F.regexp_extract(F.reverse(gap), rf"^[{_BLANK}]*+([^{_BLANK}]++)(?:[{_BLANK}]++([^{_BLANK}]++))?", k)
+        return F.lower(F.reverse(F.nullif(found, F.lit(""))))
+
+    def other(place: Column) -> Column:
+        return F.when(place > 0, F.lit(NUMBER)).otherwise(F.lit(BEGIN))
+
+    one = F.lit(1)
+    gap, earlier = F.get(gaps, i), F.get(gaps, i - one)
+    near = F.coalesce(word(gap, 1), other(i))
+    far = (
+        F.when(word(gap, 1).isNotNull(), F.coalesce(word(gap, 2), other(i)))
+        .when(i > 0, F.coalesce(word(earlier, 1), other(i - one)))
+        .otherwise(F.lit(BEGIN))
+    )
+    next_word = F.regexp_extract(F.get(gaps, i + one), rf"^[{_BLANK}]*+([^{_BLANK}]++)", 1)
+    last = F.when(i + F.lit(2) >= F.size(gaps), F.lit(END)).otherwise(F.lit(NUMBER))
+    after = F.coalesce(F.lower(F.nullif(next_word, F.lit(""))), last)
+    return [far, near, after, (i > 0) & word(gap, 1).isNull()]
+
+
 def _placed(text: Column, pattern: str, kind: str) -> Column:
-    """Matches with the length of the stretch before them and the words on both sides."""
+    """Matches with the length of the stretch before them, tokens with the words around them."""
 
     def zipped(gaps: Column) -> Column:
         found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-        return F.transform(
-            found,
-            lambda m, i: F.struct(
+
+        def one(m: Column, i: Column) -> Column:
+            none = [F.lit(None).cast(t) for t in ("string", "string", "string", "boolean")]
+            around = _around(gaps, i) if kind == "token" else none
+            return F.struct(
                 F.lit(kind).alias("kind"),
                 i.alias("place"),
                 F.length(F.get(gaps, i)).alias("gap"),
                 m.alias("match"),
-                F.right(F.get(gaps, i), F.lit(CONTEXT_CHARS)).alias("left"),
-                F.left(F.get(gaps, i + F.lit(1)), F.lit(CONTEXT_CHARS)).alias("right"),
-            ),
-        )
+                *(c.alias(name) for c, name in zip(around, AROUND, strict=True)),
+            )
+
+        return F.transform(found, one)
 
     return let(F.split(text, pattern, -1), zipped)
 
 
 def matches(texts: DataFrame) -> DataFrame:
-    """(doc, hash, kind, start, stop, match, left, right) of all patterns and tokens."""
+    """(doc, hash, kind, place, start, stop, match, before2, before, after, joined) of all patterns and tokens."""
     parts = []
     for kind, pattern in {**PATTERNS, "token": TOKEN}.items():
         found = _placed(F.col("text"), pattern, kind)
@@ -115,13 +150,13 @@ def matches(texts: DataFrame) -> DataFrame:
         "doc", "hash", F.explode(F.flatten(F.filter(F.array(*parts), lambda p: ~p.isNull()))).alias("m")
     ).select("doc", "hash", "m.*")
     once = rows.groupBy("doc", "hash", "kind", "place").agg(
-        *(F.first(c).alias(c) for c in ("gap", "match", "left", "right"))
+        *(F.first(c).alias(c) for c in ("gap", "match", *AROUND))
     )
     length = F.length("match")
     so_far = Window.partitionBy("doc", "hash", "kind").orderBy("place")
     stop = F.sum(F.col("gap") + length).over(so_far)
     return once.withColumn("stop", stop).select(
-        "doc", "hash", "kind", (F.col("stop") - length).alias("start"), "stop", "match", "left", "right"
+        "doc", "hash", "kind", "place", (F.col("stop") - length).alias("start"), "stop", "match", *AROUND
     )
 
 
@@ -130,44 +165,82 @@ def base_spans(found: DataFrame) -> DataFrame:
     valid = F.lit(False)
     for kind in KINDS:
         valid = F.when(F.col("kind") == kind, is_valid(kind, F.col("match"))).otherwise(valid)
-    return found.filter(valid).select("doc", "hash", "kind", "start", "stop")
+    return found.filter(valid).select("doc", "hash", "kind", "start", "stop", "match")
 
 
 # --- bootstrapping -----------------------------------------------------------
 
 
-def instances(found: DataFrame) -> DataFrame:
-    """Tokens as instances: their value without marks at its ends, its place and its patterns."""
-    tokens = found.filter(F.col("kind") == "token")
+def _patterns(before2: str, before: str, after: str) -> list[Column]:
+    """The words before an instance, and the words on both sides of it."""
+    return [F.concat_ws(" ", before2, before, F.lit("_")), F.concat_ws(" ", before, F.lit("_"), after)]
+
+
+def _value(text: Column) -> Column:
+    return F.lower(F.regexp_replace(text, f"[{_BLANK}]+", " "))
+
+
+def seeds(found: DataFrame, base: DataFrame) -> DataFrame:
+    """(instance, kind, patterns) of base spans, with the words around the tokens they stand in."""
+    tokens = found.filter("kind = 'token'")
+    spot = F.struct("start", *AROUND)
+    none = F.lit(None).cast(tokens.select(spot.alias("t")).schema["t"].dataType)
+    ends = base.select("doc", "hash", "kind", "match", "start", F.explode(F.array("start", F.col("stop") - 1)).alias("at"))
+    marks = tokens.select(
+        "doc", "hash", F.lit(None).cast("string").alias("kind"), "match", "start", F.col("start").alias("at"), spot.alias("t")
+    ).unionByName(ends.withColumn("t", none))
+    so_far = Window.partitionBy("doc", "hash").orderBy("at", F.col("kind").isNotNull())
+    held = F.last("t", ignorenulls=True).over(so_far.rowsBetween(Window.unboundedPreceding, 0))
+    whole = (
+        marks.withColumn("t", held)
+        .filter("kind is not null")
+        .groupBy("doc", "hash", "kind", "start")
+        .agg(F.first("match").alias("match"), F.min("t").alias("first"), F.max("t").alias("last"))
+    )
+    around = _patterns("first.before2", "first.before", "last.after")
+    return whole.select(_value(F.col("match")).alias("instance"), "kind", F.array(*around).alias("patterns"))
+
+
+def candidates(found: DataFrame, base: DataFrame) -> DataFrame:
+    """(doc, hash, start, stop, instance, patterns) of runs of tokens that no base span touches.
+
+    The words before a run do not tell where it ends, so they are a pattern of the longest only.
+    """
+    lead = F.length(F.regexp_extract("match", rf"^[^\p{{L}}\p{{N}}+]*", 0))
     value = F.regexp_replace("match", _EDGES, "")
-    lead = F.length(F.regexp_extract("match", r"^[^\p{L}\p{N}+]*", 0))
-    words = F.array_remove(F.split(F.lower("left"), f"[{_BLANK}]+"), "")
-    after = F.get(F.array_remove(F.split(F.lower("right"), f"[{_BLANK}]+"), ""), F.lit(0))
-    before, before2 = F.get(F.reverse(words), F.lit(0)), F.get(F.reverse(words), F.lit(1))
-    patterns = F.array(
-        F.concat_ws(" ", before2, before, F.lit("_")), F.concat_ws(" ", before, F.lit("_"), after)
+    tokens = found.filter("kind = 'token'").withColumn("reach", F.lit(None).cast("long"))
+    spans = base.select("doc", "hash", "start", F.col("stop").cast("long").alias("reach"))
+    closing = Window.partitionBy("doc", "hash").orderBy(F.when(F.col("kind").isNull(), F.col("start") + 1).otherwise(F.col("stop")), "kind")
+    covered = F.max("reach").over(closing.rowsBetween(Window.unboundedPreceding, 0))
+    free = (
+        tokens.unionByName(spans, allowMissingColumns=True)
+        .withColumn("reach", covered)
+        .filter("kind = 'token' and (reach is null or reach <= start)")
+        .withColumn("lead", lead)
+        .withColumn("inner", F.length(value))
+        .filter("inner > 0")
     )
-    whole = before.isNotNull() & before2.isNotNull()
-    return tokens.filter(F.length(value) > 0).select(
+    order = Window.partitionBy("doc", "hash").orderBy("place")
+    apart = ~F.coalesce(F.col("joined") & (F.lag("place").over(order) == F.col("place") - 1), F.lit(False))
+    runs = free.withColumn("apart", apart.cast("int")).withColumn("run", F.sum("apart").over(order))
+    ahead = Window.partitionBy("doc", "hash", "run").orderBy("place").rowsBetween(0, MOST_TOKENS - 1)
+    end = F.struct("match", "after", (F.col("start") + F.col("lead") + F.col("inner")).alias("stop"))
+    taken = runs.select(
+        "doc", "hash", (F.col("start") + F.col("lead")).alias("start"), "before2", "before", F.collect_list(end).over(ahead).alias("ends")
+    ).select("*", F.posexplode("ends").alias("k", "end"))
+    text = F.array_join(F.transform(F.slice("ends", F.lit(1), F.col("k") + 1), lambda e: e["match"]), " ")
+    left, both = _patterns("before2", "before", "end.after")
+    longest = F.col("k") + 1 == F.size("ends")
+    return taken.select(
         "doc",
         "hash",
-        (F.col("start") + lead).alias("start"),
-        (F.col("start") + lead + F.length(value)).alias("stop"),
-        F.lower(value).alias("instance"),
-        F.when(whole, patterns).otherwise(F.array().cast("array<string>")).alias("patterns"),
+        "start",
+        F.col("end.stop").alias("stop"),
+        F.lower(F.regexp_replace(text, _EDGES, "")).alias("instance"),
+        F.when(longest, F.array(left, both)).otherwise(F.array(both)).alias("patterns"),
     )
 
 
-def seeds(tokens: DataFrame) -> DataFrame:
-    """(instance, kind) of tokens that are base entities as a whole."""
-    kind = F.lit(None).cast("string")
-    for name in reversed(KINDS):
-        whole = F.col("instance").rlike(f"^(?:{PATTERNS[name]})$") & is_valid(name, F.col("instance"))
-        kind = F.when(whole, F.lit(name)).otherwise(kind)
-    known = tokens.select("instance").distinct().withColumn("kind", kind)
-    return known.filter("kind is not null")
-
-
 def trusted_patterns(edges: DataFrame, known: DataFrame) -> DataFrame:
     """(pattern, kind, trust) of patterns that surround enough different known instances."""
     totals = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
@@ -185,12 +258,11 @@ def trusted_patterns(edges: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
-def bootstrap(tokens: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def bootstrap(runs: DataFrame, spans: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(instance, kind, score) of instances outside the seeds that trusted patterns support."""
-    edges = stored(
-        tokens.select("instance", F.explode("patterns").alias("pattern")).distinct(), "pii-edges"
-    )
-    first = stored(seeds(tokens).withColumn("score", F.lit(1.0)), "pii-seeds")
+    around = runs.select("instance", "patterns").union(spans.select("instance", "patterns"))
+    edges = stored(around.select("instance", F.explode("patterns").alias("pattern")).distinct(), "pii-edges")
+    first = stored(spans.select("instance", "kind", F.lit(1.0).alias("score")).distinct(), "pii-first")
     known, size = first, None
     for _ in range(rounds):
         trusted = trusted_patterns(edges, known)
@@ -211,23 +283,33 @@ def bootstrap(tokens: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return known.join(first.select("instance"), "instance", "left_anti")
 
 
+def _islands(spans: DataFrame) -> DataFrame:
+    """Overlapping spans of a document as one, of the kind that begins first."""
+    order = Window.partitionBy("doc", "hash").orderBy("start", "stop", "kind")
+    reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.coalesce((F.col("start") >= reach).cast("int"), F.lit(1))
+    return (
+        spans.withColumn("apart", apart)
+        .withColumn("part", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("doc", "hash", "part")
+        .agg(
+            F.min("start").alias("start"),
+            F.max("stop").alias("stop"),
+            F.min_by("kind", F.struct("start", "stop", "kind")).alias("kind"),
+        )
+        .drop("part")
+    )
+
+
 def all_spans(texts: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(doc, hash, kind, start, stop, is_base); found spans overlap no base span."""
+    """(doc, hash, kind, start, stop, is_base); found spans overlap neither base spans nor each other."""
     found = stored(matches(texts), "pii-matches")
-    base = base_spans(found).withColumn("is_base", F.lit(True))
-    tokens = stored(instances(found), "pii-tokens")
-    unseen = bootstrap(tokens, rounds).select("instance", "kind")
-    placed = tokens.join(unseen, "instance").select("doc", "hash", "kind", "start", "stop")
-    others = base.select("doc", "hash", F.col("start").alias("a"), F.col("stop").alias("b"))
-    free = placed.join(
-        others,
-        (placed["doc"] == others["doc"])
-        & (placed["hash"] == others["hash"])
-        & (placed["start"] < others["b"])
-        & (others["a"] < placed["stop"]),
-        "left_anti",
-    )
-    return stored(base.unionByName(free.withColumn("is_base", F.lit(False))), "pii-spans")
+    base = base_spans(found)
+    runs = stored(candidates(found, base), "pii-runs")
+    unseen = bootstrap(runs, stored(seeds(found, base), "pii-seeds"), rounds).select("instance", "kind")
+    placed = _islands(runs.join(unseen, "instance").select("doc", "hash", "kind", "start", "stop"))
+    marked = base.drop("match").withColumn("is_base", F.lit(True))
+    return stored(marked.unionByName(placed.withColumn("is_base", F.lit(False))), "pii-spans")
 
 
 # --- results -----------------------------------------------------------------
@@ -293,18 +375,8 @@ def redact(
     """
     keyed = _keyed(docs, id_column, text_column)
     spans = all_spans(keyed.select("doc", "hash", "text"), rounds)
-    order = Window.partitionBy("doc", "hash").orderBy("start", "stop", "kind")
-    reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    apart = F.coalesce((F.col("start") >= reach).cast("int"), F.lit(1))
     merged = (
-        spans.withColumn("apart", apart)
-        .withColumn("part", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy("doc", "hash", "part")
-        .agg(
-            F.min("start").alias("start"),
-            F.max("stop").alias("stop"),
-            F.min_by("kind", F.struct("start", "stop", "kind")).alias("kind"),
-        )
+        _islands(spans)
         .groupBy("doc", "hash")
         .agg(F.array_sort(F.collect_list(F.struct("start", "stop", "kind"))).alias("__hl_spans"))
         .select(F.col("doc").alias("__hl_doc"), F.col("hash").alias("__hl_hash"), "__hl_spans")

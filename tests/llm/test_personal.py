@@ -89,3 +89,23 @@ def test_redaction(spark):
 def test_luhn(spark, digits, valid):
     df = spark.createDataFrame([(digits,)], "d string")
     assert df.select(personal.luhn(df["d"])).first()[0] is valid
+
+
+def found_spans(spark, texts):
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    return {r.doc_id: (r.spans, r.n_found) for r in personal.personal_data(df).collect()}
+
+
+def test_spans_of_several_tokens_are_seeds_and_found(spark):
+    texts = {i: f"please call +1 (017) 555-77{10 + i} for help" for i in range(8)}
+    texts |= {20: "please call (0171) 555 7713, for help", 21: "there were 20 30 40 of them for help"}
+    texts |= {100 + i: f"paid by card {c} on monday" for i, c in enumerate(CARDS)} | {120: "paid by card 4000 12 x34 on monday"}
+    texts |= {200 + i: f"kindly mail to <user{i}@mail.example.com>, or wait" for i in range(6)}
+    texts |= {220: "kindly mail to me20(at)mail, or wait"}
+    got = found_spans(spark, texts)
+    assert got[20] == ("phone:13:27", 1) and got[21] == ("", 0)
+    assert got[120] == ("card:13:24", 1) and got[220] == ("email:15:27", 1)
+    assert all(n == 0 and spans for d, (spans, n) in got.items() if d not in (20, 21, 120, 220))
+
+
+CARDS = ["4111 1111 1111 1111", "5555 5555 5555 4444", "4012 8888 8888 1881", "5105 1051 0510 5100", "4222-2222-2222-2220"]
