@@ -109,3 +109,15 @@ def test_spans_of_several_tokens_are_seeds_and_found(spark):
 
 
 CARDS = ["4111 1111 1111 1111", "5555 5555 5555 4444", "4012 8888 8888 1881", "5105 1051 0510 5100", "4222-2222-2222-2220"]
+
+
+def test_context_goes_past_numbers_and_long_words(spark):
+    url = "https:" + "/long" * 30
+    texts = {i: f"line no. {i} user{i}@mail.example.com" for i in range(8)} | {20: "line no. 7: me20(at)mail"}
+    texts |= {100 + i: f"see {url} person{i}@mail.example.com next" for i in range(8)} | {120: f"see {url} my20(at)mail next"}
+    texts |= {200 + i: f"who{i}@mail.example.com wrote this" for i in range(8)} | {220: "we20(at)mail wrote this"}
+    got = found_spans(spark, texts)
+    assert got[20] == ("email:12:24", 1)
+    assert got[120] == (f"email:{len(url) + 5}:{len(url) + 17}", 1)
+    assert got[220] == ("email:0:12", 1)
+    assert all(n == 0 and spans for d, (spans, n) in got.items() if d not in (20, 120, 220))
