@@ -6,7 +6,7 @@ for its aliases.  An explicit allow rule on any member wins over blocks reached
 through aliases, and a member's own rule wins over everything.
 
 Edges come from ``<link rel="canonical">`` and ``<meta http-equiv="refresh">`` of a
-page, and from its normalized address (scheme, fragment, ``www.``/``m.``, trailing
+page, resolved against its ``<base>`` or else its own address, and from its normalized address (scheme, fragment, ``www.``/``m.``, trailing
 slash and tracking parameters removed).  Components are found with alternating
 large-star and small-star steps over 64-bit node keys, each step written to the shared
 scratch folder; only counts reach the driver.  A star centre may hold any share of
@@ -34,7 +34,9 @@ META_TAG = r"(?is)(<meta\b[^>]*>)"
 IS_CANONICAL = r"(?is)\brel\s*=\s*[\"']?canonical\b"
 IS_REFRESH = r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh\b"
 HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-REFRESH_URL = r"(?is)\bcontent\s*=\s*[\"']?[^\"'>]*?url\s*=\s*([^\"'\s>]+)"
+REFRESH_URL = r"(?is)\bcontent\s*=\s*[\"']?[^\"'>]*?url\s*=\s*[\"']?\s*([^\"'\s>]+)"
+BASE_TAG = r"(?is)(<base\b[^>]*\bhref\s*=[^>]*>)"
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 
 
 @dataclass(frozen=True)
@@ -94,18 +96,58 @@ def declared_links(html: Column) -> Column:
         targets(LINK_TAG, IS_CANONICAL, HREF), targets(META_TAG, IS_REFRESH, REFRESH_URL)
     )
     return F.when(
-        html.rlike("(?i)canonical|refresh"), F.filter(links, lambda x: x.contains("://"))
+        html.rlike("(?i)canonical|refresh"), F.filter(links, lambda x: x != "")
     ).otherwise(F.array().cast("array<string>"))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path with ``.`` and ``..`` segments applied, never above its root."""
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(part == ".", done).when(part == "..", up).otherwise(F.concat(done, F.array(part)))
+
+    parts = F.split(F.regexp_replace(path, "^/", ""), "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    return F.concat(F.lit("/"), F.array_join(kept, "/"))
+
+
+def resolved(base: Column, target: Column) -> Column:
+    """Address that ``target`` means on the page ``base``; null if it names no host."""
+    scheme = F.substring_index(base, "://", 1)
+    site = F.concat(scheme, F.lit("://"), F.regexp_extract(rest(base), r"^[^/?#]*", 0))
+    path = F.regexp_extract(target, r"^[^?#]*", 0)
+    tail = F.substr(target, F.length(path) + F.lit(1))
+    folder = F.regexp_extract(path_of(base), r"^.*/", 0)
+    full = F.when(path.startswith("/"), path).otherwise(F.concat(folder, path))
+    query = F.regexp_extract(rest(base), r"^[^?#]*(\?[^#]*)?", 1)
+    same = F.concat(site, path_of(base), F.when(tail.startswith("?"), F.lit("")).otherwise(query), tail)
+    return (
+        F.when(target.rlike(SCHEME + "//"), target)
+        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
+        .when(target.rlike(SCHEME), F.lit(None).cast("string"))
+        .when(path == "", same)
+        .otherwise(F.concat(site, _without_dots(full), tail))
+    )
+
+
+def base_address(url: Column, html: Column) -> Column:
+    """The address that links of a page are relative to."""
+    stated = F.regexp_extract(F.regexp_extract(html, BASE_TAG, 1), HREF, 1)
+    return F.when(stated != "", F.coalesce(resolved(url, stated), url)).otherwise(url)
+
+
 def alias_edges(pages: DataFrame, url_column: str = "url", html_column: str = "html") -> DataFrame:
     """Distinct (a, b) pairs of node keys; nodes are normalized addresses."""
     url = F.col(url_column)
+    html = F.col(html_column)
     source = pages.filter(rest(url).isNotNull()).select(
         normalized(url).alias("at"),
-        F.coalesce(declared_links(F.col(html_column)), F.array().cast("array<string>")).alias("to"),
+        F.when(html.rlike("(?i)canonical|refresh"), base_address(url, html)).alias("base"),
+        F.coalesce(declared_links(html), F.array().cast("array<string>")).alias("to"),
     )
-    links = source.select("at", F.explode("to").alias("to"))
+    links = source.select("at", "base", F.explode("to").alias("to"))
+    links = links.select("at", resolved(F.col("base"), F.col("to")).alias("to")).filter("to is not null")
     return (
         links.select(node_key(F.col("at")).alias("a"), node_key(normalized(F.col("to"))).alias("b"))
         .filter("a <> b")

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 from harborlight.llm import chat, licenses, packing, quality, queries, urls
 
@@ -273,3 +276,47 @@ def test_special_strings_tokenize_alike(text):
     whole = Tokenizer.from_file(queries.tokenizer_path()).encode(text, add_special_tokens=False)
     made = next(packing.ChunkTokenizer(queries.tokenizer_path()).encode([text]))
     assert made == packing._packed(whole.ids)
+
+
+def linked(url, html):
+    """Targets of a page by Python's HTML parser and URL rules."""
+    found, bases = [], []
+
+    class Tags(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            a = {k: v or "" for k, v in attrs}
+            if tag == "base" and not bases:
+                bases.append(a["href"])
+            if tag == "link" and a.get("rel", "").lower() == "canonical":
+                found.append(a["href"])
+            if tag == "meta" and a.get("http-equiv", "").lower() == "refresh":
+                found.append(a["content"].lower().split("url=")[1].strip("'\" "))
+
+    Tags().feed(html)
+    full = [urljoin(urljoin(url, (bases or [""])[0]), t) for t in found]
+    return {t for t in full if "://" in t.split("?")[0]}
+
+
+def test_relative_links_and_quoted_redirects_are_aliases(spark):
+    tags = [
+        f'<link rel="canonical" href="{t}">'
+        for t in ("/en/1", "//bad.net/p", "other", "../up/x", "./a/../b", "?id=7", "/go?u=http://x.org/", "a.html#top", "mailto:a@b.c", "http://z.org/k")
+    ]
+    tags += ["<META HTTP-EQUIV=refresh content=\"0;url='http://q.org/1'\">", "<meta http-equiv='refresh' content='5; URL=\"next\"'>"]
+    tags += ['<base href="/deep/er/"><link href="t" rel=canonical>', '<base href="//cdn.org/a/b"><link rel="canonical" href="c">']
+    sites = ("https://Site.org/dir/page.html?q=1#f", "http://bare.org", "http://s.net/d/")
+    rows = [(i, u, f"<html>{t}</html>") for i, (u, t) in enumerate((u, t) for u in sites for t in tags)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pairs = [(u, t) for _, u, html in rows for t in linked(u, html)]
+    df = spark.createDataFrame(pairs, "u string, t string")
+    nodes = [urls.node_key(urls.normalized(F.col(c))).alias(k) for c, k in (("u", "a"), ("t", "b"))]
+    want = {tuple(r) for r in df.select(*nodes).filter("a <> b").collect()}
+    assert {tuple(r) for r in urls.alias_edges(pages).collect()} == want and len(want) > 30
+
+
+def test_blocks_reach_relative_aliases(spark):
+    rows = [(1, "http://a.org/x", '<link rel="canonical" href="/bad">'), (2, "http://a.org/bad", ""), (3, "http://a.org/y", "")]
+    rows += [(4, "http://b.org/", "<meta http-equiv=\"refresh\" content=\"0;url='http://a.org/bad'\">")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = urls.judge(pages, (urls.UrlRule("block", "a.org", "/bad"),)).collect()
+    assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "block", 3: "allow", 4: "block"}
