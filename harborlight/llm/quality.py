@@ -5,6 +5,9 @@ rule compares one metric with one number, and the whole table becomes a single
 ``select`` without user functions, joins or shuffles.  Words are runs of characters
 other than ASCII blanks.
 
+Stop words are counted in lower case without marks at their ends, and only asked of texts
+in a language of the list: by the ``lang`` column, or by the Latin script without it.
+
 Defined cases: a null or empty text has no words and fails ``words``; repeated rows
 are judged one by one; an empty table gives an empty result; other columns of the
 input pass through ``keep_good`` untouched and never clash, because the metrics
@@ -29,6 +32,12 @@ STOP_WORDS = (
     + "der die das und von zu mit den ein eine auf ist nicht sich als für im auch".split()
     + "el los las y se por con para su no es lo".split()
 )
+#: codes of their languages; texts of others are not asked for stop words
+STOP_LANGS = "en eng fr fra fre de deu ger es spa".split()
+#: codes that name no language: the script decides
+NO_LANGS = ["", "und", "unk", "unknown", "mul", "zxx"]
+#: marks that may stand at the ends of a word
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~¡¿«»“”„‘’‚‹›…–—"
 
 
 @dataclass(frozen=True)
@@ -122,7 +131,26 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part.cast("double") / whole).otherwise(F.lit(0.0))
 
 
-def metrics(text: Column) -> Column:
+def _plain(word: Column) -> Column:
+    return F.btrim(F.lower(word), F.lit(MARKS))
+
+
+def _covered(text: Column, lang: Column | None) -> Column:
+    """Whether stop words of a text's language are listed: by its code, or else by its script."""
+    ascii_only = F.octet_length(text) == F.length(text)
+    others = F.regexp_count(text, F.lit(r"[\p{L}&&[^\p{IsLatin}]]"))
+    latin = ascii_only | (others <= F.regexp_count(text, F.lit(r"\p{IsLatin}")))
+    if lang is None:
+        return latin
+    code = F.lower(F.trim(F.regexp_extract(F.coalesce(lang, F.lit("")), "^[^-_]*", 0)))
+    return F.when(code.isin(NO_LANGS), latin).otherwise(code.isin(STOP_LANGS))
+
+
+def _lang(docs: DataFrame, column: str) -> Column | None:
+    return F.col(column).cast("string") if column in docs.columns else None
+
+
+def metrics(text: Column, lang: Column | None = None) -> Column:
     """All metrics of one text as a struct."""
 
     def of(t: Column) -> Column:
@@ -130,7 +158,7 @@ def metrics(text: Column) -> Column:
         return let(blank_words(t), lambda w: let(lines, lambda ln: counted(t, w, ln)))
 
     def counted(t: Column, w: Column, ln: Column) -> Column:
-        stops = F.size(F.filter(w, lambda x: x.isin(STOP_WORDS)))
+        stops = F.size(F.filter(w, lambda x: _plain(x).isin(STOP_WORDS)))
         counts = F.struct(
             F.size(w).cast("long").alias("n_words"),
             F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
@@ -142,9 +170,9 @@ def metrics(text: Column) -> Column:
             stops.cast("long").alias("n_stop_words"),
             _repeat_words(w).cast("long").alias("n_repeat_words"),
         )
-        return let(counts, rated)
+        return let(counts, lambda c: rated(t, c))
 
-    def rated(c: Column) -> Column:
+    def rated(t: Column, c: Column) -> Column:
         names = "n_words word_chars n_symbols n_lines n_dup_lines n_stop_words n_repeat_words"
         shortfall = F.floor(c["n_words"] / F.lit(WORDS_PER_STOP_WORD)) - c["n_stop_words"]
         return F.struct(
@@ -152,7 +180,9 @@ def metrics(text: Column) -> Column:
             (100 * c["n_repeat_words"] - 20 * c["n_words"]).alias("repeat_percent_scaled"),
             _ratio(c["word_chars"], c["n_words"]).alias("mean_word_chars"),
             _ratio(c["n_symbols"], c["n_words"]).alias("symbols_per_word"),
-            shortfall.alias("stop_shortfall"),
+            F.when((shortfall <= 0) | _covered(t, lang), shortfall)
+            .otherwise(F.lit(0).cast("long"))
+            .alias("stop_shortfall"),
             _ratio(c["n_dup_lines"], c["n_lines"]).alias("dup_line_share"),
             _ratio(c["n_ellipsis"], c["n_lines"]).alias("ellipsis_line_share"),
             _ratio(c["n_bullets"], c["n_lines"]).alias("bullet_line_share"),
@@ -172,18 +202,22 @@ def judge(
     id_column: str = "doc_id",
     text_column: str = "text",
     rules: tuple[Rule, ...] = BASE_RULES + OWN_RULES,
+    lang_column: str = "lang",
 ) -> DataFrame:
     """One row per document: its id, the ``metrics`` struct and the ``broken`` rules."""
     measured = docs.select(
-        F.col(id_column).alias("doc_id"), metrics(text_or_empty(text_column)).alias("metrics")
+        F.col(id_column).alias("doc_id"), metrics(text_or_empty(text_column), _lang(docs, lang_column)).alias("metrics")
     )
     return measured.select("doc_id", "metrics", verdict(F.col("metrics"), rules).alias("broken"))
 
 
 def keep_good(
-    docs: DataFrame, text_column: str = "text", rules: tuple[Rule, ...] = BASE_RULES + OWN_RULES
+    docs: DataFrame,
+    text_column: str = "text",
+    rules: tuple[Rule, ...] = BASE_RULES + OWN_RULES,
+    lang_column: str = "lang",
 ) -> DataFrame:
     """The rows of ``docs`` that break no rule, with their columns as they were."""
     probe = "__hl_quality"
-    judged = docs.withColumn(probe, metrics(text_or_empty(text_column)))
+    judged = docs.withColumn(probe, metrics(text_or_empty(text_column), _lang(docs, lang_column)))
     return judged.filter(F.size(verdict(F.col(probe), rules)) == 0).drop(probe)

@@ -320,3 +320,18 @@ def test_blocks_reach_relative_aliases(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = urls.judge(pages, (urls.UrlRule("block", "a.org", "/bad"),)).collect()
     assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "block", 3: "allow", 4: "block"}
+
+
+def test_quality_keeps_capitals_marks_and_other_languages(spark):
+    def text(*often):
+        return " ".join(often[0] if i % 20 == 5 and often else f"mot{i * 7919 % 9973}" for i in range(130))
+
+    def greek(i):
+        return "".join(chr(945 + (i * k) % 17) for k in (3, 5, 7, 11))
+
+    rows = [(1, text("THE"), "en"), (2, text("(the,"), "en"), (3, text(), "pl"), (4, text(), "en"), (5, text(), None)]
+    rows += [(6, " ".join(f"{greek(i)}{i}" for i in range(130)), None), (7, text(), "en-GB"), (8, text("«Für»"), "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in quality.keep_good(docs).collect()} == {1, 2, 3, 6, 8}
+    assert {r.doc_id for r in quality.judge(docs).collect() if not r.broken} == {1, 2, 3, 6, 8}
+    assert {r.doc_id for r in quality.keep_good(docs.drop("lang")).collect()} == {1, 2, 6, 8}
