@@ -1,6 +1,6 @@
 """DuckDB answers of the training-data queries that SQL can express.
 
-Token packing, language-model scores, bootstrapped extraction, byte-wise removal of
+Token packing, language-model scores, byte-pair ids, bootstrapped extraction, byte-wise removal of
 repeats and license blocks have none; their tests compare with brute force.
 """
 
@@ -200,6 +200,53 @@ def _urls() -> str:
     FROM own LEFT JOIN decided USING (node)"""
 
 
+def _search() -> str:
+    def terms(table: str, key: str) -> str:
+        found = rf"regexp_extract_all({_lower('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+        return f"SELECT {key}, unnest({found}) AS term FROM {table}"
+
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+    words AS ({terms('d', 'r, doc_id')}),
+    asked AS (SELECT DISTINCT item_id, term FROM ({terms('benchmark', 'item_id')})),
+    sizes AS (SELECT r, count(*) AS n FROM words GROUP BY r),
+    totals AS (SELECT count(*) AS docs, sum(n)::bigint AS terms FROM sizes),
+    norms AS (SELECT r, 10 + 90 * n * docs // terms AS m FROM sizes, totals),
+    counts AS (SELECT r, doc_id, term, count(*) AS tf FROM words
+        WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+    weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint AS w
+        FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), totals),
+    scored AS (SELECT item_id, r, doc_id,
+        sum(w * (1000000000 * tf // (1000 * tf + 8 * m)))::bigint AS score
+        FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN norms USING (r) GROUP BY ALL)
+    SELECT item_id, rank::int AS rank, doc_id, score FROM (SELECT *,
+        row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+        FROM scored WHERE score > 0) WHERE rank <= 10"""
+
+
+def _infill() -> str:
+    def number(at: int) -> str:
+        return f"('0x' || substr(h, {at}, 8))::bigint"
+
+    def joined(units: str) -> str:
+        return f"array_to_string({units}, '')"
+
+    return rf"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::varchar, '')) AS h FROM documents),
+    units AS (SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u FROM d),
+    cuts AS (SELECT *, len(u) AS n, {number(1)} % (len(u) + 1) AS x, {number(9)} % (len(u) + 1) AS y,
+        t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+        OR {number(17)} % 100 >= 100 AS is_plain, {number(25)} % 100 < 50 AS is_spm FROM units),
+    parts AS (SELECT *, {joined('u[1:least(x, y)]')} AS p, {joined('u[least(x, y) + 1:greatest(x, y)]')} AS m,
+        {joined('u[greatest(x, y) + 1:]')} AS s FROM cuts)
+    SELECT doc_id, n::bigint AS n, CASE WHEN is_plain THEN 'plain' WHEN is_spm THEN 'spm' ELSE 'psm' END AS form,
+        CASE WHEN NOT is_plain THEN length(p)::bigint END AS prefix_chars,
+        CASE WHEN NOT is_plain THEN length(m)::bigint END AS middle_chars,
+        sha256(CASE WHEN is_plain THEN t WHEN is_spm THEN '<S>' || s || '<P>' || p || '<M>' || m
+            ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256,
+        sha256(t) AS restored_sha256 FROM parts"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_jaccard_join": _near(),
@@ -207,4 +254,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_chat_format": _chat(),
         "op9_decontamination": _contamination(),
         "op10_url_filter": _urls(),
+        "op11_ranked_search": _search(),
+        "op12_infill": _infill(),
     }

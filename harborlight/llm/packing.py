@@ -39,7 +39,7 @@ _DOCS_AT_ONCE = 200
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
-def _byte_letters() -> dict[int, int]:
+def byte_letters() -> dict[int, int]:
     """Byte-level vocabularies write bytes without a printable form as letters from 256 on."""
     printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
     others = [b for b in range(256) if b not in printable]
@@ -53,7 +53,7 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         self.chunks: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
 

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harborlight.llm import chat, decontaminate, interpolation, jaccard, licenses, packing, personal, quality, suffixes, urls
+from harborlight.llm import (
+    bytepairs,
+    chat,
+    decontaminate,
+    infill,
+    interpolation,
+    jaccard,
+    licenses,
+    packing,
+    personal,
+    quality,
+    search,
+    suffixes,
+    urls,
+)
 from harborlight.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +43,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     pieces = packing.token_pieces(docs, tokenizer_path(), WINDOW, with_ids=False)
@@ -98,6 +118,33 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked_search(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), top=10
+    )
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.infill(read_table(spark, sf_dir, "documents"), infill.Infill(seed=7))
+    restored = infill.restored(F.col("output"), F.col("form"))
+    return made.select(
+        *("doc_id", "n", "form", "prefix_chars", "middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = byte_tokenizer_path()
+    coded = bytepairs.decode(bytepairs.encode(read_table(spark, sf_dir, "documents"), path), path)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = (
     op1_packing,
     op2_lm_score,
@@ -109,6 +156,9 @@ QUERIES = (
     op8_chat_format,
     op9_decontamination,
     op10_url_filter,
+    op11_ranked_search,
+    op12_infill,
+    op13_byte_pairs,
 )
 
 

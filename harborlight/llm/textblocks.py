@@ -19,6 +19,9 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
+#: ASCII bytes that are neither letters nor digits
+NON_ALNUM = np.ones(256, bool)
+NON_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 #: texts are handled in groups of about this many bytes
 GROUP_BYTES = 2 << 20
 
@@ -80,12 +83,14 @@ def groups(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch,
         at = stop
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all blank-separated words, and the n + 1 bounds of the rows among them."""
+def word_hashes(
+    data: np.ndarray, bounds: np.ndarray, fold: bool = True, breaks: np.ndarray = BLANK
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words between ``breaks``, and the n + 1 bounds of the rows among them."""
     if not len(data):
         return np.empty(0, np.uint64), np.zeros(len(bounds), np.int64)
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~BLANK[data]
+    inside[1:-1] = ~breaks[data]
     first = np.zeros(len(data) + 1, bool)
     first[bounds] = True  # a row's first byte begins a word even after another row's word
     starts = np.flatnonzero(inside[1:] & (~inside[:-1] | first))
