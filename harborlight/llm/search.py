@@ -358,8 +358,7 @@ def _block(terms: DataFrame) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
     hashes = hashed(table.column("term").to_pylist())
     vocabulary, numbers = np.unique(hashes, return_inverse=True)
     first = [i for i in range(len(names)) if i == 0 or names[i] != names[i - 1]]
-    bounds = np.append(first, len(names))
-    numbers = np.concatenate([np.sort(numbers[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
+    bounds = np.array([*first, len(names)])
     return [names[i] for i in first], bounds, numbers, vocabulary
 
 
