@@ -218,6 +218,6 @@ def keep_good(
     lang_column: str = "lang",
 ) -> DataFrame:
     """The rows of ``docs`` that break no rule, with their columns as they were."""
-    probe = "__hl_quality"
-    judged = docs.withColumn(probe, metrics(text_or_empty(text_column), _lang(docs, lang_column)))
-    return judged.filter(F.size(verdict(F.col(probe), rules)) == 0).drop(probe)
+    measured = metrics(text_or_empty(text_column), _lang(docs, lang_column))
+    # a metrics column would be copied into every rule below the filter
+    return docs.filter(let(measured, lambda m: F.size(verdict(m, rules)) == 0))
