@@ -45,7 +45,9 @@ from harborlight.llm.textblocks import (
 )
 
 #: shingles of a chunk in which token frequencies are counted
-CHUNK = 2_000_000
+CHUNK = 1_000_000
+#: sets a task remembers so as not to send copies again; copies it forgot are merged later
+SEEN_SETS = 100_000
 #: a token is counted when so many documents of a chunk hold it
 COUNTED_FROM = 3
 #: so many of the most frequent tokens are ordered last; others are ordered by hash
@@ -122,7 +124,7 @@ def _postings(docs: DataFrame, length: int, percent: int, frequent) -> DataFrame
                     if n[i] and pair not in seen:
                         fresh[i] = True
                         seen.add(pair)
-                if len(seen) > 1_000_000:
+                if len(seen) > SEEN_SETS:
                     seen.clear()
                 rows = np.repeat(np.arange(len(n)), n)
                 found = np.searchsorted(heavy, sets) if len(heavy) else np.zeros(len(sets), int)
