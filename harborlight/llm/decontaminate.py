@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harborlight.llm.common import alnum_words, ascii_lower, checked, stored, text_or_empty
+from harborlight.llm.common import alnum_words, ascii_lower, checked, let, stored, text_or_empty
 
 WINDOW_WORDS = 13
 SEEDS = 2
@@ -213,11 +213,12 @@ def contamination(
     )
     texts = docs.select(doc_key(id_column, text_column).alias("key"), F.col(text_column).alias("text"))
     keys = checked(tries.select("key"), 1_000_000)
+    verified = let(F.transform(alnum_words(F.col("text")), ascii_lower), _verified)
     compared = (
         texts.join(keys, "key", "left_semi")
         .join(tries, "key")
-        .select("key", "tries", F.transform(alnum_words(F.col("text")), ascii_lower).alias("words"))
-        .select("key", _verified(F.col("words")).alias("held"))
+        # split once for all tries of a text, and kept from the projection that follows
+        .select("key", F.inline(F.array(F.struct(verified.alias("held")))))
         .filter(F.size("held") > 0)
         .select(
             "key",
