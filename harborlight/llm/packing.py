@@ -22,7 +22,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 _CACHE_CHUNKS = 400_000
+_CACHE_BYTES = 32 << 20
 _DOCS_AT_ONCE = 200
 
 
@@ -46,6 +47,18 @@ def byte_letters() -> dict[int, int]:
     return {b: 256 + i for i, b in enumerate(others)}
 
 
+class _Table(dict):
+    """Ids by chunk, made when a chunk is first asked for; ``held`` counts the bytes."""
+
+    def __init__(self, make: Callable[[bytes], bytes]) -> None:
+        self.make, self.held = make, 0
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self[chunk] = self.make(chunk)
+        self.held += len(chunk) + len(ids)
+        return ids
+
+
 class ChunkTokenizer:
     """Token ids of texts through bounded tables of blank-separated chunks and their words."""
 
@@ -54,7 +67,7 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = byte_letters()
-        self.chunks: dict[bytes, bytes] = {}
+        self.chunks = _Table(self._chunk)
         self.words: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
@@ -84,14 +97,11 @@ class ChunkTokenizer:
         """Ids of each text as packed little-endian 32-bit numbers, in order."""
         for text in texts:
             split = text.encode().split()  # bytes split at ASCII blanks only
-            if len(self.chunks) > _CACHE_CHUNKS:
+            if len(self.chunks) > _CACHE_CHUNKS or self.chunks.held > _CACHE_BYTES:
                 self.chunks.clear()
+                self.chunks.held = 0
                 self.words.clear()
-            table = self.chunks
-            for chunk in split:
-                if chunk not in table:
-                    table[chunk] = self._chunk(chunk)
-            yield b"".join([table[c] for c in split])
+            yield b"".join(map(self.chunks.__getitem__, split))
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -185,14 +195,23 @@ def best_fit(lengths: list[int], window: int) -> tuple[list[int], list[int]]:
     return numbers, offsets
 
 
+def most_pieces(docs: DataFrame, window: int = 2048, text_column: str = "text") -> int:
+    """About how many pieces ``docs`` can have: an id stands for a byte at least."""
+    n_bytes = F.coalesce(F.octet_length(F.col(text_column)), F.lit(0))
+    n = docs.agg(F.sum(F.floor(n_bytes / window) + 1)).first()[0]
+    return int(n or 0)
+
+
 def pack(pieces: DataFrame, n_pieces: int, window: int = 2048, shard_pieces: int = 50_000) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``.
 
-    ``n_pieces`` only sets the number of shards; it need not be exact.
+    ``n_pieces`` only sets the number of shards; it need not be exact.  Shards are drawn
+    per row, so that rows of one id (or none) are spread as well; full windows are
+    sequences as they are and skip the tree.
     """
     n_shards = max(1, -(-n_pieces // shard_pieces))
     columns = pieces.columns
-    shard = F.pmod(F.xxhash64("doc_id", "start"), F.lit(n_shards))
+    shard = F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id()), F.lit(n_shards))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema.fields)
     schema += ", sequence_id long, offset long"
 
@@ -200,13 +219,16 @@ def pack(pieces: DataFrame, n_pieces: int, window: int = 2048, shard_pieces: int
         table = table.sort_by(
             [("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")]
         )
-        numbers, offsets = best_fit(table.column("length").to_pylist(), window)
+        lengths = table.column("length").to_numpy()
+        full = int(np.count_nonzero(lengths == window))  # they stand first
+        numbers, offsets = best_fit(lengths[full:].tolist(), window)
         first = table.column("shard")[0].as_py() << 32 if table.num_rows else 0
-        ids = np.array(numbers, "int64") + first
+        ids = first + np.concatenate([np.arange(full), np.array(numbers, "int64") + full])
+        offsets = np.concatenate([np.zeros(full, "int64"), np.array(offsets, "int64")])
         return (
             table.select(columns)
             .append_column("sequence_id", pa.array(ids))
-            .append_column("offset", pa.array(offsets, pa.int64()))
+            .append_column("offset", pa.array(offsets))
         )
 
     return pieces.withColumn("shard", shard).groupBy("shard").applyInArrow(fill, schema)

@@ -52,7 +52,7 @@ def byte_tokenizer_path() -> str:
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     pieces = packing.token_pieces(docs, tokenizer_path(), WINDOW, with_ids=False)
-    return packing.pack(pieces.drop("ids"), docs.count(), WINDOW)
+    return packing.pack(pieces.drop("ids"), packing.most_pieces(docs, WINDOW), WINDOW)
 
 
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
