@@ -40,7 +40,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents in sequences of at most 2048 ids, with the ids."""
     pieces = packing.token_pieces(docs, tokenizer_path(), WINDOW)
     # pieces carry their ids here, some kilobytes each, so shards hold fewer of them
-    return packing.pack(pieces, docs.count(), WINDOW, shard_pieces=8_000)
+    return packing.pack(pieces, packing.most_pieces(docs, WINDOW), WINDOW, shard_pieces=8_000)
 
 
 STAGES = [
