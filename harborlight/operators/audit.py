@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from harborlight import schemas
 from harborlight.functions.identity import audit_identity, identity_time
-from harborlight.functions.strict_json import parse_objects, text_at, texts_at, whole
+from harborlight.functions.members import Members, chosen, parse, with_sources
 from harborlight.functions.text import empty_to_null, or_empty
 from harborlight.functions.times import instant, parse_rfc3339, resolve_since, within
 from harborlight.operators import filters, options
@@ -60,41 +60,68 @@ _OPTIONAL_TEXT = {
 
 
 def parse_audit(
-    lines: DataFrame, cluster_name: str = "", text: str = "value", keep: Sequence[str] = ()
+    lines: DataFrame,
+    cluster_name: str = "",
+    text: str = "value",
+    keep: Sequence[str] = (),
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Audit entries of the lines; everything else is dropped silently.
 
-    ``keep`` names input columns (a file path, a line position) to carry along.
+    ``keep`` names input columns (a file path, a line position) to carry along.  Only
+    members that ``columns`` (all by default) need are parsed.
     """
-    # only text that begins like an object reaches the parser
-    objects = lines.where(F.col(text).rlike(r"^\s*\{"))
-    doc = parse_objects(objects, F.col(text), _LINE_FIELDS)
+    m = Members(_LINE_FIELDS, text)
+    builders = {
+        "kind": lambda: m.raw("kind"),
+        **{c: lambda p=p: or_empty(m.text(p)) for c, p in _PLAIN_TEXT.items()},
+        **{c: lambda p=p: empty_to_null(m.text(p)) for c, p in _OPTIONAL_TEXT.items()},
+        "user_groups": lambda: m.texts("user.groups"),
+        "impersonated": lambda: F.lit(False),
+        "request_received_time": lambda: parse_rfc3339(m.raw("requestReceivedTimestamp")),
+        "stage_timestamp": lambda: parse_rfc3339(m.raw("stageTimestamp")),
+        "source_ips": lambda: m.texts("sourceIPs"),
+        "response_code": lambda: m.count("responseStatus.code"),
+        "cluster_name": lambda: F.lit(cluster_name),
+        "annotations": lambda: m.raw("annotations"),
+    }
+    built = chosen(builders, columns)
     # "Event" and a time cannot be the text of anything but a string
-    entries = doc.where(F.col("doc.kind") == "Event")
-
-    def leaf(path: str) -> Column:
-        return text_at("doc", path, text)
-
-    return entries.select(
-        *keep,
-        F.col("doc.kind").alias("kind"),
-        *[or_empty(leaf(p)).alias(c) for c, p in _PLAIN_TEXT.items()],
-        *[empty_to_null(leaf(p)).alias(c) for c, p in _OPTIONAL_TEXT.items()],
-        texts_at("doc", "user.groups", text).alias("user_groups"),
-        F.lit(False).alias("impersonated"),
-        parse_rfc3339(F.col("doc.requestReceivedTimestamp")).alias("request_received_time"),
-        parse_rfc3339(F.col("doc.stageTimestamp")).alias("stage_timestamp"),
-        texts_at("doc", "sourceIPs", text).alias("source_ips"),
-        whole(F.col("doc.responseStatus.code")).alias("response_code"),
-        F.lit(cluster_name).alias("cluster_name"),
-        F.col("doc.annotations").alias("annotations"),
-    )
+    is_entry = m.raw("kind") == "Event"
+    # only text that begins like an object reaches the parser
+    entries = parse(lines.where(F.col(text).rlike(r"^\s*\{")), m).where(is_entry)
+    return entries.select(*keep, *[c.alias(n) for n, c in built.items()])
 
 
 def event_time() -> Column:
     return F.coalesce("stage_timestamp", "request_received_time")
 
 
+TIMES = ("stage_timestamp", "request_received_time")
+#: the columns each filter reads, and those that source columns are computed from
+FILTER_COLUMNS = {
+    "since": TIMES,
+    "until": TIMES,
+    "user_names": ["user_name"],
+    "user_groups": ["user_groups"],
+    "namespaces": ["namespace"],
+    "resources": ["resource"],
+    "verbs": ["verb"],
+    "levels": ["level"],
+    "stages": ["stage"],
+    "source_ips": ["source_ips"],
+    "user_agents": ["user_agent"],
+    "response_codes": ["response_code"],
+    "uri_pattern": ["request_uri"],
+}
+IDENTITY = ("audit_id", "verb", "resource", "namespace", "name", "request_uri")
+SOURCE_COLUMNS = {
+    "tp_timestamp": TIMES,
+    "tp_date": TIMES,
+    "tp_id": (*IDENTITY, *TIMES),
+}
+
+
 def filter_audit(
     rows: DataFrame,
     *,
@@ -137,25 +164,25 @@ def enrich_audit(
     range_start: dt.datetime | None = None,
     collected_at: dt.datetime | None = None,
 ) -> DataFrame:
-    """Add source columns, ids, event time, UTC day and partition name."""
+    """Add source columns, ids, event time, UTC day and partition name.
+
+    Source columns whose inputs were not parsed are left out.
+    """
     sourced = with_source(rows, SOURCE_TYPE, cluster_name, collected_at)
     start = instant(range_start) if range_start is not None else None
-    return sourced.withColumns(
-        {
-            "tp_timestamp": event_time(),
-            "tp_ingest_timestamp": F.col("tp_collected_at"),
-            "tp_table": F.lit(table),
-            "tp_partition": F.lit(partition),
-            "tp_date": F.to_date(event_time()),
-            "tp_id": audit_identity(
-                *[
-                    F.col(c)
-                    for c in ("audit_id", "verb", "resource", "namespace", "name", "request_uri")
-                ],
-                identity_time(event_time(), range_start=start),
-            ),
-        }
-    )
+    added = {
+        "tp_timestamp": event_time,
+        "tp_ingest_timestamp": lambda: F.col("tp_collected_at"),
+        "tp_table": lambda: F.lit(table),
+        "tp_partition": lambda: F.lit(partition),
+        "tp_date": lambda: F.to_date(event_time()),
+        "tp_id": lambda: audit_identity(
+            *[F.col(c) for c in IDENTITY], identity_time(event_time(), range_start=start)
+        ),
+    }
+    have = set(rows.columns)
+    able = [n for n in added if have.issuperset(SOURCE_COLUMNS.get(n, ()))]
+    return sourced.withColumns({n: added[n]() for n in able})
 
 
 def audit_logs(
@@ -172,10 +199,13 @@ def audit_logs(
     limit_per_stream: int | None = None,
     tail_lines: int | None = None,
     limit: int | None = None,
+    columns: Sequence[str] | None = None,
     **audit_filters,
 ) -> DataFrame:
     """``audit_logs`` rows of landed lines.
 
+    With ``columns`` only those are returned, and only what they and the filters need is parsed.
+
     ``stream_keys`` identify one input file or stream, ``order`` the position of
     a line in it (by default its place in the file); both are only read when a
     positional limit is set.
@@ -195,11 +225,14 @@ def audit_logs(
         keep = [*stream_keys, *order]
     if tail_lines is not None:
         lines = tail_per_group(lines, list(stream_keys), order, tail_lines)
-    rows = filter_audit(parse_audit(lines, cluster_name, keep=keep), since=start, **audit_filters)
+    needed = None
+    if columns is not None:
+        used = [f for f, v in {"since": start, **audit_filters}.items() if v]
+        needed = with_sources([*columns, *(c for f in used for c in FILTER_COLUMNS[f])], SOURCE_COLUMNS)
+    parsed = parse_audit(lines, cluster_name, keep=keep, columns=needed)
+    rows = filter_audit(parsed, since=start, **audit_filters)
     if limit_per_stream is not None:
         rows = head_per_group(rows, list(stream_keys), order, limit_per_stream)
     rows = filters.first_rows(rows, keep, limit)
-    return schemas.conform(
-        enrich_audit(rows, partition, cluster_name=cluster_name, range_start=start),
-        schemas.AUDIT_LOGS,
-    )
+    enriched = enrich_audit(rows, partition, cluster_name=cluster_name, range_start=start)
+    return schemas.conform(enriched, schemas.AUDIT_LOGS, columns=columns)

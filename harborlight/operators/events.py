@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from harborlight import schemas
 from harborlight.functions.identity import event_merge_key
-from harborlight.functions.strict_json import parse_objects, strict_str, text_at, whole
+from harborlight.functions.members import Members, chosen, parse, with_sources
+from harborlight.functions.strict_json import strict_str, text_at
 from harborlight.functions.text import empty_to_null, is_blank, or_empty
 from harborlight.functions.times import instant, parse_object_time, resolve_since, within
 from harborlight.operators import filters, options
@@ -28,8 +29,6 @@ _EVENT_FIELDS = (
     " source struct<component string, host string>,"
     " firstTimestamp string, lastTimestamp string, eventTime string, count double"
 )
-# A watch wraps every object together with what happened to it.
-_WATCH_FIELDS = f"type string, object struct<{_EVENT_FIELDS}>"
 
 _PLAIN_TEXT = {
     "namespace": "metadata.namespace",
@@ -55,61 +54,76 @@ def parse_events(
     text: str = "value",
     keep: Sequence[str] = (),
     watch: bool = False,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per event object, unmerged.
 
     ``timestamp`` falls back to the collection time ``as_of``.  Besides the table
     columns the rows carry the three times before the fallback rules, labels,
     the involved object's namespace and the resource version.  ``watch`` reads
-    change envelopes and adds ``change_type``.
+    change envelopes and adds ``change_type``.  Only members that ``columns`` (all by
+    default) need are parsed.
     """
-    fields = _WATCH_FIELDS if watch else _EVENT_FIELDS
-    doc = parse_objects(lines.where(~is_blank(F.col(text))), F.col(text), fields)
-    root = "doc.object" if watch else "doc"
-    if watch:
-        doc = doc.where(F.col("doc.object").isNotNull())
-
-    def leaf(path: str) -> Column:
-        return text_at(root, path, text, below="object" if watch else "")
+    m = Members(_EVENT_FIELDS, text, below="object" if watch else "")
+    now = instant(as_of) if as_of is not None else F.current_timestamp()
 
     def time(path: str) -> Column:
-        return parse_object_time(F.col(f"{root}.{path}"))
-
+        return parse_object_time(m.raw(path))
+
+    builders = {
+        **{c: lambda p=p: or_empty(m.text(p)) for c, p in _PLAIN_TEXT.items()},
+        **{c: lambda p=p: empty_to_null(m.text(p)) for c, p in _OPTIONAL_TEXT.items()},
+        "resource_version": lambda: empty_to_null(strict_str(m.raw("metadata.resourceVersion"))),
+        "labels": lambda: m.raw("metadata.labels"),
+        "first_timestamp": lambda: time("firstTimestamp"),
+        "own_last_timestamp": lambda: time("lastTimestamp"),
+        "event_time": lambda: time("eventTime"),
+        "count": lambda: F.coalesce(m.count("count"), F.lit(0)).cast("long"),
+        "cluster_name": lambda: F.lit(cluster_name),
+    }
+    later = {
+        "last_timestamp": lambda: F.coalesce("own_last_timestamp", "event_time"),
+        "timestamp": lambda: F.coalesce("last_timestamp", "first_timestamp", now),
+        "deduplication_key": lambda: event_merge_key(*[F.col(c) for c in KEY_COLUMNS]),
+    }
+    needed = None if columns is None else with_sources(columns, DERIVED_FROM)
+    built = chosen(builders, needed)
+    if not m.asked:
+        m.raw("reason")  # whatever is asked, a row is an object
+    doc = parse(lines.where(~is_blank(F.col(text))), m, more="type string" if watch else "")
+    if watch:
+        doc = doc.where(F.col("doc.object").isNotNull())
     rows = doc.select(
         *keep,
         *([text_at("doc", "type", text).alias("change_type")] if watch else []),
-        *[or_empty(leaf(p)).alias(c) for c, p in _PLAIN_TEXT.items()],
-        *[empty_to_null(leaf(p)).alias(c) for c, p in _OPTIONAL_TEXT.items()],
-        empty_to_null(strict_str(F.col(f"{root}.metadata.resourceVersion"))).alias(
-            "resource_version"
-        ),
-        F.col(f"{root}.metadata.labels").alias("labels"),
-        time("firstTimestamp").alias("first_timestamp"),
-        time("lastTimestamp").alias("own_last_timestamp"),
-        time("eventTime").alias("event_time"),
-        F.coalesce(whole(F.col(f"{root}.count")), F.lit(0)).cast("long").alias("count"),
-        F.lit(cluster_name).alias("cluster_name"),
-    )
-    now = instant(as_of) if as_of is not None else F.current_timestamp()
-    return rows.withColumn(
-        "last_timestamp", F.coalesce("own_last_timestamp", "event_time")
-    ).withColumns(
-        {
-            "timestamp": F.coalesce("last_timestamp", "first_timestamp", now),
-            "deduplication_key": event_merge_key(
-                *[
-                    F.col(c)
-                    for c in (
-                        "namespace",
-                        "reason",
-                        "object_kind",
-                        "object_name",
-                        "source_component",
-                    )
-                ]
-            ),
-        }
+        *[c.alias(n) for n, c in built.items()],
     )
+    for name, value in later.items():
+        if needed is None or name in needed:
+            rows = rows.withColumn(name, value())
+    return rows
+
+
+KEY_COLUMNS = ("namespace", "reason", "object_kind", "object_name", "source_component")
+RANGE_TIMES = ("own_last_timestamp", "first_timestamp", "event_time")
+#: what computed columns are computed from, and the columns each filter reads
+DERIVED_FROM = {
+    "last_timestamp": ("own_last_timestamp", "event_time"),
+    "timestamp": ("last_timestamp", "first_timestamp"),
+    "deduplication_key": KEY_COLUMNS,
+}
+FILTER_COLUMNS = {
+    "since": RANGE_TIMES,
+    "until": RANGE_TIMES,
+    "namespaces": ["namespace"],
+    "event_types": ["event_type"],
+    "object_kinds": ["object_kind"],
+    "object_names": ["object_name"],
+    "source_components": ["source_component"],
+    "label_selectors": ["labels"],
+    "message_pattern": ["message"],
+    "reason_pattern": ["reason"],
+}
 
 
 def filter_events(

@@ -11,17 +11,14 @@ from pyspark.sql import functions as F
 
 from harborlight import schemas
 from harborlight.functions.status import deployment_status, generic_status, scaled_status
+from harborlight.functions.members import Members, chosen, parse
 from harborlight.functions.strict_json import (
     is_object,
-    parse_objects,
     pick,
     pick_bool,
     pick_number,
     reads_as_other,
     strict_str,
-    text_at,
-    texts_at,
-    variants_at,
     whole,
 )
 from harborlight.functions.text import empty_to_null, is_blank, or_empty
@@ -74,7 +71,6 @@ _OBJECT_FIELDS = (
     " updatedNumberScheduled double, numberAvailable double, numberUnavailable double,"
     " loadBalancer struct<ingress array<variant>>>"
 )
-_OPEN_FIELDS = "spec variant, status variant"
 _NOTHING_OPEN = "{}"
 
 
@@ -95,10 +91,6 @@ def resource_kinds(names: Iterable[str]) -> list[str]:
     return kinds
 
 
-def _count(path: str) -> Column:
-    return whole(F.col(f"doc.{path}"))
-
-
 def owner_references(items: Column) -> Column:
     """Object elements as structs; the controller flag stays NULL when absent."""
     return F.transform(
@@ -132,13 +124,15 @@ def _condition(c: Column, member: Callable[[Column, str], Column]) -> Column:
     )
 
 
-def conditions(source: str) -> Column:
+def conditions(m: Members) -> Column:
     """Object elements of the status conditions as structs, in list order.
 
     Lists of plain text are used as parsed; anything else is read again with
     its types.
     """
-    items = F.col("doc.status.conditions")
+    if m.is_open("status.conditions"):
+        return _of_variants(m.variants("status.conditions"), pick)
+    items = m.raw("status.conditions")
 
     def odd(c: Column) -> Column:
         leaves = [c[f.split()[0]] for f in _CONDITION_FIELDS.split(", ")]
@@ -146,43 +140,54 @@ def conditions(source: str) -> Column:
         return c.isNull() | found[0] | found[1] | found[2] | found[3]
 
     plain = F.transform(items, lambda c: _condition(c, lambda x, name: x[name]))
-    typed = _of_variants(variants_at("status.conditions", source), pick)
+    typed = _of_variants(m.variants("status.conditions"), pick)
     return F.when(~F.exists(items, odd), plain).otherwise(typed)
 
 
-def _restarts(source: str) -> Column:
+def _restarts(m: Members) -> Column:
     """Sum over container statuses; missing or non-numeric counts add nothing."""
 
     def add(count: Callable[[Column], Column]):
         return lambda total, status: total + F.coalesce(whole(count(status)), F.lit(0))
 
-    plain = F.aggregate(
-        F.col("doc.status.containerStatuses"), F.lit(0), add(lambda s: s["restartCount"])
-    )
     # a list with elements that are no objects does not fit the declared type
     typed = F.aggregate(
-        variants_at("status.containerStatuses", source),
+        m.variants("status.containerStatuses"),
         F.lit(0),
         add(lambda s: pick_number(s, "restartCount")),
     )
+    if m.is_open("status.containerStatuses"):
+        return F.coalesce(typed, F.lit(0))
+    plain = F.aggregate(
+        m.raw("status.containerStatuses"), F.lit(0), add(lambda s: s["restartCount"])
+    )
     return F.coalesce(plain, typed, F.lit(0))
 
 
-def _replicas(desired: Column, *rest: str | None) -> Column:
+def _replicas(m: Members, desired: Column, *rest: str | None) -> Column:
     """The six counters, 0 where a kind does not report one."""
     names = ["current", "ready", "updated", "available", "unavailable"]
     paths = [*rest, *[None] * (len(names) - len(rest))]
-    counters = [F.lit(0) if p is None else F.coalesce(_count(p), F.lit(0)) for p in paths]
+    counters = [F.lit(0) if p is None else F.coalesce(m.count(p), F.lit(0)) for p in paths]
     return F.struct(
         F.coalesce(desired, F.lit(0)).alias("desired"),
         *[c.alias(n) for n, c in zip(names, counters, strict=True)],
     )
 
 
-def _replicas_by_kind(kind: Column) -> Column:
+def _has_status(m: Members) -> Column:
+    """``status`` is an object; asking for it declares nothing below it by itself."""
+    if m.is_open("status"):
+        return is_object(m.raw("status"))
+    m.raw("status.phase")
+    return F.col("doc.status").isNotNull()
+
+
+def _replicas_by_kind(m: Members, kind: Column) -> Column:
     """Only objects with a status report replicas."""
     deployment = _replicas(
-        F.coalesce(_count("status.replicas"), _count("spec.replicas")),
+        m,
+        F.coalesce(m.count("status.replicas"), m.count("spec.replicas")),
         "status.replicas",
         "status.readyReplicas",
         "status.updatedReplicas",
@@ -190,13 +195,15 @@ def _replicas_by_kind(kind: Column) -> Column:
         "status.unavailableReplicas",
     )
     stateful = _replicas(
-        _count("spec.replicas"),
+        m,
+        m.count("spec.replicas"),
         "status.replicas",
         "status.readyReplicas",
         "status.updatedReplicas",
     )
     daemon = _replicas(
-        _count("status.desiredNumberScheduled"),
+        m,
+        m.count("status.desiredNumberScheduled"),
         "status.currentNumberScheduled",
         "status.numberReady",
         "status.updatedNumberScheduled",
@@ -204,26 +211,31 @@ def _replicas_by_kind(kind: Column) -> Column:
         "status.numberUnavailable",
     )
     return F.when(
-        F.col("doc.status").isNotNull(),
+        _has_status(m),
         F.when(kind == "Deployment", deployment)
         .when(kind == "StatefulSet", stateful)
         .when(kind == "DaemonSet", daemon),
     )
 
 
-def _status_by_kind(kind: Column, leaf: Callable[[str], Column], source: str) -> Column:
+def _status_by_kind(m: Members, kind: Column) -> Column:
     """Kinds whose status comes from ``status`` report empty text without one."""
-    phase = or_empty(leaf("status.phase"))
-    has_status = F.col("doc.status").isNotNull()
-    balanced = F.size("doc.status.loadBalancer.ingress") > 0
-    scaled = scaled_status(_count("status.replicas"), _count("status.readyReplicas"))
+    phase = or_empty(m.text("status.phase"))
+    has_status = _has_status(m)
+    ingress = (
+        m.variants("status.loadBalancer.ingress")
+        if m.is_open("status")
+        else m.raw("status.loadBalancer.ingress")
+    )
+    balanced = F.size(ingress) > 0
+    scaled = scaled_status(m.count("status.replicas"), m.count("status.readyReplicas"))
     daemon = scaled_status(
-        _count("status.desiredNumberScheduled"), _count("status.numberReady")
+        m.count("status.desiredNumberScheduled"), m.count("status.numberReady")
     )
     rolled_out = deployment_status(
-        conditions(source),
-        _count("status.replicas"),
-        _count("status.readyReplicas"),
+        conditions(m),
+        m.count("status.replicas"),
+        m.count("status.readyReplicas"),
     )
 
     def given(status: Column) -> Column:
@@ -236,21 +248,21 @@ def _status_by_kind(kind: Column, leaf: Callable[[str], Column], source: str) ->
         .when(kind == "StatefulSet", given(scaled))
         .when(kind == "DaemonSet", given(daemon))
         .when(kind == "Ingress", F.when(balanced, "Ready").otherwise("Active"))
-        .otherwise(generic_status(leaf("status.phase"), leaf("status.state")))
+        .otherwise(generic_status(m.text("status.phase"), m.text("status.state")))
     )
 
 
-def _status_details(kind: Column, leaf: Callable[[str], Column]) -> Column:
+def _status_details(m: Members, kind: Column) -> Column:
     """The status object; for key-value kinds only the number of keys (and secret type)."""
     summary = F.struct(
-        F.array_size(F.map_keys("doc.data")).alias("data_keys_count"),
-        F.when(kind == "Secret", leaf("type")).alias("type"),
+        F.array_size(F.map_keys(m.raw("data"))).alias("data_keys_count"),
+        F.when(kind == "Secret", m.text("type")).alias("type"),
     )
     # the map size of a missing "data" is NULL, and to_json leaves NULLs out
     counted = F.parse_json(F.to_json(summary))
-    reported = [*KINDS]
+    status = m.raw("status")
     return F.when(kind.isin("ConfigMap", "Secret"), counted).when(
-        kind.isin(reported) & is_object(F.col("open.status")), F.col("open.status")
+        kind.isin([*KINDS]) & is_object(status), status
     )
 
 
@@ -263,81 +275,95 @@ def parse_resources(
     include_status: bool = False,
     include_owner_refs: bool = False,
     newest_only: bool = False,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per API object that has metadata.
 
     With ``newest_only`` an object that several dumps hold counts as its newest version:
     latest dump, then highest resource version.
 
-    Specs, status details with conditions, and owner references are read only on
-    request; otherwise those columns are NULL and their JSON is not built.
-    Values of key-value objects are never projected.
+    Only members that ``columns`` (all by default) need are parsed, once; the other columns
+    are NULL.  Specs, status details with conditions, and owner references are read only on
+    request.  Values of key-value objects are never projected.
     """
-
-    def leaf(path: str) -> Column:
-        return text_at("doc", path, text)
-
-    parsed = parse_objects(objects.where(~is_blank(F.col(text))), F.col(text), _OBJECT_FIELDS)
-    parsed = parsed.where(F.col("doc.metadata").isNotNull())
-    if include_spec or include_status:
-        parsed = parse_objects(parsed, F.col(text), _OPEN_FIELDS, "open")
+    opened = [*(["spec"] if include_spec else []), *(["status"] if include_status else [])]
+    m = Members(_OBJECT_FIELDS, text, opened=opened)
     kind = F.col("resource_type")
-    parsed = parsed.withColumn("resource_type", or_empty(leaf("kind")))
 
     def only(kinds: Sequence[str], value: Column) -> Column:
         return F.when(kind.isin(list(kinds)), value)
 
+    def open_spec() -> Column:
+        spec = m.raw("spec")
+        return F.when(is_object(spec), spec).otherwise(F.parse_json(F.lit(_NOTHING_OPEN)))
+
     volumes = ["PersistentVolume", "PersistentVolumeClaim"]
-    columns = {
-        "namespace": or_empty(leaf("metadata.namespace")),
-        "resource_type": kind,
-        "resource_name": or_empty(leaf("metadata.name")),
-        "status": _status_by_kind(kind, leaf, text),
-        "created_at": parse_rfc3339(F.col("doc.metadata.creationTimestamp")),
-        "labels": _map_or_empty("doc.metadata.labels"),
-        "annotations": _map_or_empty("doc.metadata.annotations"),
-        "node_name": or_empty(only(["Pod"], leaf("spec.nodeName"))),
-        "cluster_name": F.lit(cluster_name),
-        "uid": empty_to_null(leaf("metadata.uid")),
-        "resource_version": empty_to_null(strict_str(F.col("doc.metadata.resourceVersion"))),
-        "replicas": _replicas_by_kind(kind),
-        "service_type": only(["Service"], empty_to_null(leaf("spec.type"))),
-        "cluster_ip": only(["Service"], empty_to_null(leaf("spec.clusterIP"))),
-        "external_ips": only(["Service"], texts_at("doc", "spec.externalIPs", text)),
-        "ingress_class": only(["Ingress"], empty_to_null(leaf("spec.ingressClassName"))),
-        "storage_class": only(volumes, empty_to_null(leaf("spec.storageClassName"))),
-        "volume_mode": only(volumes, empty_to_null(leaf("spec.volumeMode"))),
-        "access_modes": only(volumes, texts_at("doc", "spec.accessModes", text)),
-        "pod_ip": only(["Pod"], empty_to_null(leaf("status.podIP"))),
-        "phase": only(["Pod"], empty_to_null(leaf("status.phase"))),
-        "restart_count": F.when(kind == "Pod", _restarts(text)).otherwise(0),
-        "qos_class": only(["Pod"], empty_to_null(leaf("status.qosClass"))),
+    builders: dict[str, Callable[[], Column]] = {
+        "namespace": lambda: or_empty(m.text("metadata.namespace")),
+        "resource_type": lambda: kind,
+        "resource_name": lambda: or_empty(m.text("metadata.name")),
+        "status": lambda: _status_by_kind(m, kind),
+        "created_at": lambda: parse_rfc3339(m.raw("metadata.creationTimestamp")),
+        "labels": lambda: _map_or_empty(m.raw("metadata.labels")),
+        "annotations": lambda: _map_or_empty(m.raw("metadata.annotations")),
+        "node_name": lambda: or_empty(only(["Pod"], m.text("spec.nodeName"))),
+        "cluster_name": lambda: F.lit(cluster_name),
+        "uid": lambda: empty_to_null(m.text("metadata.uid")),
+        "resource_version": lambda: empty_to_null(strict_str(m.raw("metadata.resourceVersion"))),
+        "replicas": lambda: _replicas_by_kind(m, kind),
+        "service_type": lambda: only(["Service"], empty_to_null(m.text("spec.type"))),
+        "cluster_ip": lambda: only(["Service"], empty_to_null(m.text("spec.clusterIP"))),
+        "external_ips": lambda: only(["Service"], m.texts("spec.externalIPs")),
+        "ingress_class": lambda: only(["Ingress"], empty_to_null(m.text("spec.ingressClassName"))),
+        "storage_class": lambda: only(volumes, empty_to_null(m.text("spec.storageClassName"))),
+        "volume_mode": lambda: only(volumes, empty_to_null(m.text("spec.volumeMode"))),
+        "access_modes": lambda: only(volumes, m.texts("spec.accessModes")),
+        "pod_ip": lambda: only(["Pod"], empty_to_null(m.text("status.podIP"))),
+        "phase": lambda: only(["Pod"], empty_to_null(m.text("status.phase"))),
+        "restart_count": lambda: F.when(kind == "Pod", _restarts(m)).otherwise(0),
+        "qos_class": lambda: only(["Pod"], empty_to_null(m.text("status.qosClass"))),
     }
     if include_spec:
-        open_spec = F.col("open.spec")
-        columns["spec"] = F.when(is_object(open_spec), open_spec).otherwise(
-            F.parse_json(F.lit(_NOTHING_OPEN))
-        )
+        builders["spec"] = open_spec
     if include_status:
-        columns["status_details"] = _status_details(kind, leaf)
-        columns["conditions"] = only(
-            ["Pod", "Deployment", "StatefulSet", "DaemonSet"],
-            conditions(text),
+        builders["status_details"] = lambda: _status_details(m, kind)
+        builders["conditions"] = lambda: only(
+            ["Pod", "Deployment", "StatefulSet", "DaemonSet"], conditions(m)
         )
     if include_owner_refs:
-        columns["owner_references"] = owner_references(F.col("doc.metadata.ownerReferences"))
+        builders["owner_references"] = lambda: owner_references(m.raw("metadata.ownerReferences"))
+    built = chosen(builders, columns)
+    kind_text = or_empty(m.text("kind"))
+    versions = chosen(builders, ["namespace", "resource_name", "resource_version"]) if newest_only else {}
+    m.raw("metadata.name")  # an object without metadata is no row, whatever is asked
+    parsed = parse(objects.where(~is_blank(F.col(text))), m)
+    parsed = parsed.where(F.col("doc.metadata").isNotNull()).withColumn("resource_type", kind_text)
     if newest_only:
         parsed = newest(
             parsed,
-            [kind, columns["namespace"], columns["resource_name"]],
-            version_order(parsed, columns["resource_version"], F.col(text)),
+            [kind, versions["namespace"], versions["resource_name"]],
+            version_order(parsed, versions["resource_version"], F.col(text)),
         )
-    rows = parsed.select(*[c.alias(n) for n, c in columns.items()])
+    rows = parsed.select(*[c.alias(n) for n, c in built.items()])
     return schemas.conform(rows, schemas.CLUSTER_RESOURCES)
 
 
-def _map_or_empty(path: str) -> Column:
-    return F.coalesce(F.col(path), F.create_map().cast("map<string,string>"))
+def _map_or_empty(labels: Column) -> Column:
+    return F.coalesce(labels, F.create_map().cast("map<string,string>"))
+
+
+#: the columns each filter reads
+FILTER_COLUMNS = {
+    "since": ["created_at"],
+    "until": ["created_at"],
+    "namespaces": ["namespace"],
+    "resource_types": ["resource_type"],
+    "resource_names": ["resource_name"],
+    "statuses": ["status"],
+    "node_names": ["node_name"],
+    "label_selectors": ["labels"],
+    "name_pattern": ["resource_name"],
+}
 
 
 def filter_resources(
@@ -389,16 +415,26 @@ def cluster_resources(
     include_status: bool = False,
     include_owner_refs: bool = False,
     newest_only: bool | None = None,
+    columns: Sequence[str] | None = None,
     **resource_filters,
 ) -> DataFrame:
     """``cluster_resources`` rows in namespace, type, name order, cut to ``limit``.
 
+    With ``columns`` only those are returned, and only what they, the order and the filters
+    need is parsed.
+
     Landed dumps repeat objects, so of objects read from files only the newest version
     counts unless ``newest_only`` is False.
 
     ``ordered=False`` skips the global sort for callers that aggregate anyway.
     """
     options.non_negative("limit", limit)
+    start = resolve_since(since, lookback, as_of)
+    order = [*RESOURCE_ORDER, "uid"] if limit is not None else RESOURCE_ORDER if ordered else []
+    needed = None
+    if columns is not None:
+        used = [f for f, v in {"since": start, **resource_filters}.items() if v]
+        needed = [*columns, *order, *(c for f in used for c in FILTER_COLUMNS[f])]
     rows = parse_resources(
         objects,
         cluster_name=cluster_name,
@@ -406,11 +442,14 @@ def cluster_resources(
         include_status=include_status,
         include_owner_refs=include_owner_refs,
         newest_only="file_path" in objects.columns if newest_only is None else newest_only,
+        columns=needed,
     )
-    rows = filter_resources(rows, since=resolve_since(since, lookback, as_of), **resource_filters)
+    rows = filter_resources(rows, since=start, **resource_filters)
     rows = schemas.conform(
         with_source(rows, SOURCE_TYPE, cluster_name), schemas.CLUSTER_RESOURCES
     )
     if limit is not None:
-        return filters.first_rows(rows, [*RESOURCE_ORDER, "uid"], limit)
-    return rows.orderBy(*RESOURCE_ORDER) if ordered else rows
+        rows = filters.first_rows(rows, order, limit)
+    elif ordered:
+        rows = rows.orderBy(*order)
+    return rows if columns is None else schemas.conform(rows, schemas.CLUSTER_RESOURCES, columns=columns)

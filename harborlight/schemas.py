@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,9 +101,16 @@ AUDIT_LOGS = _struct(
 )
 
 
-def conform(df: DataFrame, schema: T.StructType, *extra: str) -> DataFrame:
-    """Select the declared columns in order; absent ones become typed NULLs."""
+def conform(
+    df: DataFrame, schema: T.StructType, *extra: str, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Select the declared columns in order, or ``columns`` of them; absent ones become typed NULLs."""
     have = set(df.columns)
+    if columns is not None:
+        unknown = set(columns) - set(schema.names)
+        if unknown:
+            raise ValueError(f"no such columns: {sorted(unknown)}")
+        schema = T.StructType([schema[c] for c in columns])
 
     def column(field: T.StructField) -> Column:
         if field.name in have:

@@ -221,8 +221,10 @@ def enriched_rows(spark, sf_dir):
 # --- audit entries --------------------------------------------------------
 
 
-def parsed_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.parse_audit(fx.audit_lines(spark, sf_dir), keep=["line_no"])
+def parsed_audit(
+    spark: SparkSession, sf_dir: str, columns: list[str] | None = None
+) -> DataFrame:
+    return audit.parse_audit(fx.audit_lines(spark, sf_dir), keep=["line_no"], columns=columns)
 
 
 @query
@@ -242,8 +244,9 @@ def audit_parse(spark, sf_dir):
 
 @query
 def audit_filter(spark, sf_dir):
+    needed = ["level", "stage", "request_uri", "verb", "namespace", "resource", *audit.TIMES]
     rows = audit.filter_audit(
-        parsed_audit(spark, sf_dir),
+        parsed_audit(spark, sf_dir, needed),
         since=SINCE,
         until=UNTIL,
         namespaces=["default", "monitoring"],
@@ -259,7 +262,7 @@ def audit_filter(spark, sf_dir):
 @query
 def audit_filter_users(spark, sf_dir):
     rows = audit.filter_audit(
-        parsed_audit(spark, sf_dir),
+        parsed_audit(spark, sf_dir, ["user_name", "user_agent"]),
         user_names=["user-1", "user-4", "system:serviceaccount:3", "user-100"],
         user_agents=["ua-0", "ua-1", "ua-3"],
     )
@@ -269,7 +272,7 @@ def audit_filter_users(spark, sf_dir):
 @query
 def audit_filter_groups_ips_codes(spark, sf_dir):
     rows = audit.filter_audit(
-        parsed_audit(spark, sf_dir),
+        parsed_audit(spark, sf_dir, ["response_code", "user_groups", "source_ips"]),
         user_groups=["g1", "g3"],
         source_ips=[f"10.0.0.{i}" for i in range(0, 250, 3)],
         response_codes=[401, 403],
@@ -280,7 +283,10 @@ def audit_filter_groups_ips_codes(spark, sf_dir):
 @query
 def audit_enrich(spark, sf_dir):
     rows = audit.enrich_audit(
-        parsed_audit(spark, sf_dir), "p1", cluster_name="blue", range_start=RANGE_START
+        parsed_audit(spark, sf_dir, [*audit.IDENTITY, *audit.TIMES]),
+        "p1",
+        cluster_name="blue",
+        range_start=RANGE_START,
     )
     return rows.select(
         "line_no",
@@ -295,8 +301,9 @@ def audit_enrich(spark, sf_dir):
 
 
 def keyed_audit(lines: DataFrame) -> DataFrame:
+    needed = [*audit.IDENTITY, *audit.TIMES]
     rows = audit.enrich_audit(
-        audit.parse_audit(lines, keep=["line_no"]), "p1", range_start=RANGE_START
+        audit.parse_audit(lines, keep=["line_no"], columns=needed), "p1", range_start=RANGE_START
     )
     start = F.lit(RANGE_START.replace(tzinfo=None)).cast("timestamp")
     return with_collect_key(rows, F.col("tp_id"), F.coalesce("tp_timestamp", start)).select(
@@ -333,9 +340,10 @@ def audit_files(spark: SparkSession, sf_dir: str) -> str:
 def audit_source_cascade(spark, sf_dir):
     """A missing path and a path without matching entries are passed over."""
     files = audit_files(spark, sf_dir)
+    shown = ["audit_id", "stage", "verb", "request_uri", "stage_timestamp"]
     rows = audit_sources.collect_audit(
         spark,
-        lambda lines: audit.audit_logs(lines, stages=["RequestReceived"]),
+        lambda lines: audit.audit_logs(lines, stages=["RequestReceived"], columns=shown),
         audit_log_paths=[f"{files}/missing", f"{files}/part=1", f"{files}/part=2"],
     )
     return rows.select("audit_id", "stage", "verb", "request_uri", ntz("stage_timestamp"))
@@ -347,16 +355,18 @@ def audit_file_limit(spark, sf_dir):
         landed.scan_lines(spark, audit_files(spark, sf_dir)),
         verbs=["get", "list"],
         limit_per_stream=7,
+        columns=["request_uri", "verb"],
     )
-    return rows.select("request_uri", "verb")
+    return rows
 
 
 @query
 def audit_tail(spark, sf_dir):
-    rows = audit.audit_logs(
-        landed.scan_lines(spark, audit_files(spark, sf_dir)), tail_lines=50
+    return audit.audit_logs(
+        landed.scan_lines(spark, audit_files(spark, sf_dir)),
+        tail_lines=50,
+        columns=["request_uri", "verb"],
     )
-    return rows.select("request_uri", "verb")
 
 
 def mixed_container_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,7 +403,7 @@ def audit_apiserver_lines(spark, sf_dir):
     lines = audit_sources.api_server_lines(
         mixed_container_lines(spark, sf_dir), labelled_containers(spark, sf_dir)
     )
-    return audit.parse_audit(lines, keep=["line_no"]).select("line_no", "verb", "resource")
+    return audit.parse_audit(lines, keep=["line_no"], columns=["verb", "resource"])
 
 
 @query
@@ -401,7 +411,7 @@ def audit_collector_lines(spark, sf_dir):
     lines = audit_sources.collector_lines(
         mixed_container_lines(spark, sf_dir), labelled_containers(spark, sf_dir)
     )
-    return audit.parse_audit(lines, keep=["line_no"]).select("line_no", "verb", "resource")
+    return audit.parse_audit(lines, keep=["line_no"], columns=["verb", "resource"])
 
 
 @query
@@ -451,7 +461,10 @@ def event_collect_once(spark, sf_dir):
 @query
 def event_filter(spark, sf_dir):
     parsed = events.parse_events(
-        fx.event_objects(spark, sf_dir), as_of=FALLBACK, keep=["line_no"]
+        fx.event_objects(spark, sf_dir),
+        as_of=FALLBACK,
+        keep=["line_no"],
+        columns=[*events.KEY_COLUMNS, "event_type", "labels", "message", "timestamp"],
     )
     rows = events.filter_events(
         parsed,
@@ -472,7 +485,9 @@ def event_filter(spark, sf_dir):
 @query
 def event_namespace(spark, sf_dir):
     parsed = events.parse_events(
-        fx.event_objects(spark, sf_dir), as_of=FALLBACK, keep=["line_no"]
+        fx.event_objects(spark, sf_dir),
+        keep=["line_no"],
+        columns=["namespace", "involved_namespace"],
     )
     return events.events_of_namespace(parsed, "monitoring").select("line_no", "namespace")
 
@@ -511,9 +526,10 @@ def event_limit(spark, sf_dir):
 
 @query
 def resource_rows(spark, sf_dir):
-    rows = resources.cluster_resources(fx.resource_objects(spark, sf_dir), cluster_name="blue")
-    return rows.select(
-        "namespace", "resource_type", "resource_name", "cluster_name", "tp_source_name"
+    return resources.cluster_resources(
+        fx.resource_objects(spark, sf_dir),
+        cluster_name="blue",
+        columns=["namespace", "resource_type", "resource_name", "cluster_name", "tp_source_name"],
     )
 
 
@@ -543,32 +559,33 @@ def shown_pods(objects: DataFrame, newest_only: bool | None = None) -> DataFrame
 
 @query
 def resource_services(spark, sf_dir):
-    rows = resources.cluster_resources(fx.resource_services(spark, sf_dir))
-    return rows.select(
-        "namespace", "resource_name", "status", "service_type", "cluster_ip", csv("external_ips")
-    )
+    shown = ["namespace", "resource_name", "status", "service_type", "cluster_ip", "external_ips"]
+    rows = resources.cluster_resources(fx.resource_services(spark, sf_dir), columns=shown)
+    return rows.withColumn("external_ips", csv("external_ips"))
 
 
 @query
 def resource_status(spark, sf_dir):
-    rows = resources.cluster_resources(fx.resource_objects(spark, sf_dir), ordered=False)
-    return rows.select("resource_type", "resource_name", "status")
+    return resources.cluster_resources(
+        fx.resource_objects(spark, sf_dir),
+        ordered=False,
+        columns=["resource_type", "resource_name", "status"],
+    )
 
 
 @query
 def resource_replicas(spark, sf_dir):
-    rows = resources.cluster_resources(fx.resource_workloads(spark, sf_dir))
+    shown = ["resource_type", "resource_name", "replicas"]
+    rows = resources.cluster_resources(fx.resource_workloads(spark, sf_dir), columns=shown)
     return rows.select("resource_type", "resource_name", "replicas.*")
 
 
 @query
 def resource_volumes(spark, sf_dir):
-    rows = resources.cluster_resources(fx.resource_volumes(spark, sf_dir))
-    return rows.select(
-        *["namespace", "resource_type", "resource_name", "status"],
-        *["storage_class", "volume_mode"],
-        csv("access_modes"),
-    )
+    shown = ["namespace", "resource_type", "resource_name", "status"]
+    shown += ["storage_class", "volume_mode", "access_modes"]
+    rows = resources.cluster_resources(fx.resource_volumes(spark, sf_dir), columns=shown)
+    return rows.withColumn("access_modes", csv("access_modes"))
 
 
 @query
@@ -602,8 +619,9 @@ def resource_filter(spark, sf_dir):
         node_names=["node-1", "node-2", "node-5"],
         name_pattern="[1-6]$",
         limit=400,
+        columns=["namespace", "resource_type", "resource_name", "status", "node_name"],
     )
-    return rows.select("namespace", "resource_type", "resource_name", "status", "node_name")
+    return rows
 
 
 @query
@@ -612,8 +630,9 @@ def resource_filter_labels(spark, sf_dir):
         fx.resource_pods(spark, sf_dir),
         label_selectors=["app=machinery"],
         resource_names=[f"pod-{i}" for i in range(0, 1500, 7)],
+        columns=["namespace", "resource_name", "status"],
     )
-    return rows.select("namespace", "resource_name", "status")
+    return rows
 
 
 @query

@@ -13,7 +13,7 @@ from harborlight.operators.collect_once import (
     not_yet_collected,
     with_collect_key,
 )
-from helpers import by_line, lines
+from helpers import by_line, lines, optimized
 
 FULL = {
     "kind": "Event",
@@ -186,3 +186,19 @@ def test_collect_once(spark):
     assert sorted(r.n for r in once.collect()) == [1, 3, 4, 6]
     seen = once.where("n in (3, 6)")
     assert sorted(r.n for r in not_yet_collected(once, seen).collect()) == [1, 4]
+
+
+def test_only_asked_members_are_parsed(spark):
+    """Filters and source columns bring in what they need, nothing else is built."""
+    frame = lines(spark, entry(), entry(verb="list", auditID=""), entry(kind="Other"))
+    few = audit.audit_logs(frame, columns=["tp_id", "user_groups"], verbs=["get", "list"], response_codes=[403])
+    plan = optimized(few)
+    assert few.columns == ["tp_id", "user_groups"]
+    for member in ("kind", "verb", "groups", "code", "auditID", "stageTimestamp"):
+        assert f"StructField({member}," in plan, member
+    for member in ("annotations", "userAgent", "sourceIPs", "username", "apiGroup", "status", "level"):
+        assert f"StructField({member}," not in plan, member
+    whole = audit.audit_logs(frame, verbs=["get", "list"], response_codes=[403])
+    assert sorted(few.collect()) == sorted(whole.select("tp_id", "user_groups").collect())
+    with pytest.raises(ValueError):
+        audit.audit_logs(frame, columns=["nothing"])

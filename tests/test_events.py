@@ -159,3 +159,18 @@ def test_table_limit_and_default_order(spark):
     assert merged(lines(spark, *texts).drop("line_no")) == ("a", 2, 9, "c")  # by version
     many = lines(spark, *[event(name=f"n{i}") for i in range(9)])
     assert events.cluster_events(many, as_of=NOW, limit=4).count() == 4
+
+
+def test_only_asked_members_are_parsed(spark):
+    """A computed column brings in what it is computed from."""
+    frame = lines(spark, event(first=1, last=3), event(at=2, reason="Other"))
+    full = events.parse_events(frame, as_of=NOW)
+    for asked, absent in (
+        (["timestamp"], ("message", "labels", "involvedObject", "resourceVersion")),
+        (["deduplication_key", "count"], ("message", "labels", "firstTimestamp")),
+        (["cluster_name"], ("message", "metadata", "lastTimestamp")),
+    ):
+        few = events.parse_events(frame, as_of=NOW, columns=asked)
+        plan = few._jdf.queryExecution().optimizedPlan().toString()
+        assert not any(f"StructField({member}," in plan for member in absent), asked
+        assert few.select(*asked).collect() == full.select(*asked).collect()

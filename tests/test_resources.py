@@ -282,7 +282,8 @@ def test_table_is_ordered_then_cut(spark):
 def test_unrequested_parts_cost_nothing(spark):
     lean = optimized(rows(spark, obj("Pod")))
     full = optimized(rows(spark, obj("Pod"), include_spec=True))
-    assert lean.count("Generate inline") == 1 and full.count("Generate inline") == 2
+    assert lean.count("Generate inline") == full.count("Generate inline") == 1
+    assert "StructField(spec,VariantType" not in lean and "StructField(spec,VariantType" in full
 
 
 def test_objects_of_two_landed_dumps_count_once(spark, tmp_path):
@@ -302,3 +303,39 @@ def test_objects_of_two_landed_dumps_count_once(spark, tmp_path):
     found = resources.cluster_resources(objects, statuses=["Running", "Pending"]).collect()
     assert [r.phase for r in found] == ["Running"]
     assert resources.cluster_resources(objects, newest_only=False).count() == 2
+
+
+def test_only_asked_members_are_parsed(spark):
+    """Columns, filters and the order decide what the parser builds."""
+    frame = lines(spark, obj("Pod", "b"), obj("Pod", "a"))
+    few = resources.cluster_resources(frame, columns=["resource_name", "uid"], node_names=["n1"])
+    plan = optimized(few)
+    assert few.columns == ["resource_name", "uid"]
+    for member in ("nodeName", "name,", "namespace,", "kind,", "uid,"):
+        assert f"StructField({member}" in plan, member
+    for member in ("status", "replicas", "labels", "annotations", "clusterIP", "conditions"):
+        assert f"StructField({member}" not in plan, member
+    whole = resources.cluster_resources(frame, node_names=["n1"]).select("resource_name", "uid")
+    assert few.collect() == whole.collect()
+    with pytest.raises(ValueError):
+        resources.cluster_resources(frame, columns=["resource_name", "no_such"])
+
+
+@pytest.mark.parametrize("opened", [False, True])
+def test_each_column_alone_is_as_among_all(spark, opened):
+    """Whatever is parsed for one column, its values are those of a full parse."""
+    texts = [
+        obj("Pod", "p", status={"phase": "Running", "containerStatuses": [{"restartCount": 2}, 3]}),
+        obj("Deployment", "d", spec={"replicas": 3}, status={"replicas": 2, "readyReplicas": 2}),
+        obj("Service", "s", spec={"externalIPs": ["1", 2], "clusterIP": 7}),
+        obj("Ingress", "i", status={"loadBalancer": {"ingress": [{"ip": "x"}]}}),
+        obj("Secret", "x", data={"a": "b"}, type="Opaque"),
+        '{"kind":"Pod"}',
+    ]
+    parts = dict(include_spec=True, include_status=True) if opened else {}
+    names = ["status", "replicas", "external_ips", "cluster_ip", "restart_count"]
+    everything = resources.cluster_resources(lines(spark, *texts), **parts).select(*names).collect()
+    assert [r.status for r in everything].count("Ready") == 2  # the deployment and the ingress
+    for name in names:
+        alone = resources.cluster_resources(lines(spark, *texts), columns=[name], **parts)
+        assert [r[0] for r in alone.collect()] == [r[name] for r in everything], name
