@@ -17,6 +17,7 @@ from harborlight.functions.times import instant, parse_object_time, resolve_sinc
 from harborlight.operators import filters, options
 from harborlight.operators.enrich import with_source
 from harborlight.operators.positional import number_lines, place_of
+from harborlight.operators.winners import POSITION, ROW, by_number, least_row, numbered, side_by_side, stored, tied
 
 SOURCE_TYPE = "kubernetes_events"
 
@@ -178,14 +179,39 @@ FIRST_ARRIVAL = [
 ]
 
 
+def first_and_last(rows: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """(deduplication_key, first, last_timestamp, count) of landed events.
+
+    Describing columns come from the first arrival, counts add up, and the last time is
+    that of the latest arrival which has one.  Rows arriving together are ordered by
+    content, so a rerun gives the same result.  Rows are stored once and fetched by number:
+    all aggregations are of fixed width and combine before the shuffle.
+    """
+    placed = numbered(rows, "events", order)
+    key = ["deduplication_key"]
+    tie = F.xxhash64(*FIRST_ARRIVAL)
+    narrow = placed.select(*key, "last_timestamp", "count", POSITION, ROW, tie.alias("tie"))
+    narrow = stored(narrow, "event-keys")
+    facts = narrow.groupBy(*key).agg(F.sum("count").alias("total"))
+    first = tied(narrow, key).groupBy(*key).agg(least_row(F.col("tie")).alias(ROW))
+    dated = narrow.where(F.col("last_timestamp").isNotNull())
+    last = tied(dated, key, last=True).groupBy(*key).agg(F.max("last_timestamp").alias("last"))
+    facts = first.join(facts, key).join(last, key, "left").select(ROW, "total", "last")
+    described = placed.select(ROW, *key, F.struct(*FIRST_ARRIVAL).alias("first"))
+    return by_number(described, facts, "inner", "event-facts").select(
+        *key, "first", F.col("last").alias("last_timestamp"), F.col("total").alias("count")
+    )
+
+
+def merge_landed(rows: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """One row per merge key of landed events."""
+    return merged_rows(first_and_last(rows, order))
+
+
 def merge_events(rows: DataFrame, seq: Column) -> DataFrame:
-    """One row per merge key.
+    """One row per merge key, as one aggregation that a stream can keep as its state.
 
-    Describing columns come from the first arrival, counts add up, and the last
-    time is that of the latest arrival which has one.  ``seq`` is the arrival
-    order; rows arriving together are ordered by content, so a rerun gives the
-    same result.  All aggregates combine before the shuffle, so a key holding
-    most rows costs no more than any other.
+    ``seq`` is the arrival order; the result is that of :func:`merge_landed`.
     """
     order = F.struct(seq.alias("seq"), F.xxhash64(*FIRST_ARRIVAL).alias("tie"))
     dated = F.when(F.col("last_timestamp").isNotNull(), order)
@@ -218,6 +244,13 @@ def arrival_order() -> Column:
     return F.struct(version, F.coalesce("last_timestamp", "first_timestamp"))
 
 
+def own_order() -> Column:
+    """The same order as one fixed-width number; a missing version or time comes first."""
+    version, time = F.col("resource_version").try_cast("long"), F.coalesce("last_timestamp", "first_timestamp")
+    micros = F.coalesce(F.unix_micros(time) + F.lit(1 << 60), F.lit(0))
+    return side_by_side(F.coalesce(version, F.lit(-(1 << 62))), micros)
+
+
 def cluster_events(
     lines: DataFrame,
     *,
@@ -245,7 +278,7 @@ def cluster_events(
         lines, as_of=as_of, cluster_name=cluster_name, keep=order, watch=watch
     )
     rows = filter_events(parsed, since=start, **event_filters)
-    merged = merge_events(rows, F.struct(*order) if order else arrival_order())
+    merged = merge_landed(rows, order or [own_order()])
     merged = filters.first_rows(merged, ["deduplication_key"], limit)
     return schemas.conform(
         with_source(merged, SOURCE_TYPE, cluster_name), schemas.CLUSTER_EVENTS

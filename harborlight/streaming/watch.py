@@ -3,30 +3,64 @@
 Each trigger merges its events into the stored state: the first arrival describes an
 event, counts add up, the last time is that of the latest arrival that has one.
 Arrival is the trigger, then the place in the files; versions and times inside the
-objects do not matter.  The state lives in two folders used in turn, so a repeated
-trigger finds the state before it untouched and storage does not grow with the
-number of triggers.
+objects do not matter.
+
+The state lies in buckets by a hash of the merge key.  A trigger reads and writes only the
+buckets its events fall into, so its cost follows the trigger and not the state.  Each bucket
+has two generations that are written in turn, and a small manifest per trigger, kept twice
+in the same way, names the valid one: a trigger that fails or is repeated finds the state
+before it untouched, and storage does not grow with the number of triggers.
 
 Files must be landed closed, by renaming: a file is read once, and lines appended to it
-later are not seen.
+later are not seen (:mod:`harborlight.sources.growing` reads those).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from harborlight import schemas
+from harborlight.functions.times import instant
 from harborlight.operators import events
 from harborlight.operators.enrich import with_source
 from harborlight.operators.positional import number_lines, place_of
+from harborlight.operators.winners import stored
 
 BATCH = "batch_id"
-SLOTS = 2
+GENERATIONS = 2
+#: buckets of a new state; one that exists keeps its own number
+BUCKETS = 64
+
+_KEY = "deduplication_key"
+_FIRST = T.StructType([schemas.CLUSTER_EVENTS[c] for c in events.FIRST_ARRIVAL])
+_STATE = T.StructType(
+    [
+        T.StructField(_KEY, T.StringType()),
+        T.StructField("first", _FIRST),
+        T.StructField("last_timestamp", T.TimestampType()),
+        T.StructField("count", T.LongType()),
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("generation", T.IntegerType()),
+    ]
+)
+_MANIFEST = f"{BATCH} long, buckets int, bucket int, generation int, newest timestamp, edge timestamp"
+
+
+@dataclass
+class Manifest:
+    """Valid generation by bucket as of a trigger, the newest time, and the oldest that is kept."""
+
+    buckets: int
+    generations: dict[int, int]
+    newest: dt.datetime | None = None
+    edge: dt.datetime | None = None
 
 
 def watch_to_table(
@@ -40,12 +74,14 @@ def watch_to_table(
     watch: bool = False,
     forget_after: dt.timedelta | None = None,
     until_idle: bool = True,
+    buckets: int = BUCKETS,
     **event_filters,
 ) -> StreamingQuery:
     """Keep the merged events of ``lines`` (:func:`sources.landed.stream_placed_lines`) at ``path``.
 
     State grows by one row per merge key; ``forget_after`` bounds it by dropping keys whose
-    time is older than that before the newest one, whose later copies start anew.
+    time is older than that before the newest one, whose later copies start anew.  Such rows
+    are passed over by every reader and leave the files when their bucket is next written.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -55,18 +91,16 @@ def watch_to_table(
             placed, as_of=as_of, cluster_name=cluster_name, keep=place, watch=watch
         )
         rows = events.filter_events(parsed, since=since, **event_filters)
-        arrived = F.struct(F.lit(batch_id).cast("long").alias(BATCH), *place)
-        merged = _merged(_as_state(rows, arrived))
-        before = _state(batch.sparkSession, path, batch_id)
-        if before is not None:
-            merged = _merged(before.drop(BATCH).unionByName(merged))
-        if forget_after is not None:
-            newest = merged.agg(F.max("first.timestamp").alias("newest"))
-            edge = F.col("newest") - F.lit(forget_after)
-            time = F.coalesce("last_timestamp", "first.timestamp")
-            merged = merged.join(F.broadcast(newest)).where(time >= edge).drop("newest")
-        slot = f"{path}/slot={batch_id % SLOTS}"
-        merged.withColumn(BATCH, F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(slot)
+        spark = batch.sparkSession
+        before = _manifest(spark, path, batch_id) or Manifest(buckets, {})
+        bucket = F.pmod(F.xxhash64(_KEY), F.lit(before.buckets)).cast("int")
+        fresh = stored(events.first_and_last(rows, place).withColumn("bucket", bucket), "watch-trigger")
+        touched = sorted(r[0] for r in fresh.select("bucket").distinct().collect())
+        if touched:
+            merged = _merged(_valid(spark, path, before, touched), fresh)
+            _write(merged.repartition(len(touched), "bucket"), path, before, touched)
+        now = _next(spark, path, before, touched, forget_after)
+        _write_manifest(spark, path, batch_id, now)
 
     writer = lines.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if until_idle else writer).start()
@@ -74,49 +108,110 @@ def watch_to_table(
 
 def watched_events(spark: SparkSession, path: str, cluster_name: str = "") -> DataFrame:
     """The merged events as of the last trigger."""
-    state = _state(spark, path, None)
-    if state is None:
+    manifest = _manifest(spark, path, None)
+    if manifest is None or not manifest.generations:
         return spark.createDataFrame([], schemas.CLUSTER_EVENTS)
+    state = _valid(spark, path, manifest, sorted(manifest.generations))
     return schemas.conform(
         with_source(events.merged_rows(state), events.SOURCE_TYPE, cluster_name),
         schemas.CLUSTER_EVENTS,
     )
 
 
-def _as_state(rows: DataFrame, arrived: Column) -> DataFrame:
-    dated = F.col("last_timestamp").isNotNull()
-    return rows.select(
-        "deduplication_key",
-        F.struct(*events.FIRST_ARRIVAL).alias("first"),
-        arrived.alias("first_arrival"),
-        "last_timestamp",
-        F.when(dated, arrived).alias("last_arrival"),
-        "count",
+def _valid(spark: SparkSession, path: str, manifest: Manifest, buckets: list[int]) -> DataFrame:
+    """State rows of ``buckets``; only the folders of their valid generations are read."""
+    chosen = F.lit(False)
+    for generation in range(GENERATIONS):
+        mine = [b for b in buckets if manifest.generations.get(b) == generation]
+        if mine:
+            chosen = chosen | ((F.col("generation") == generation) & F.col("bucket").isin(mine))
+    if not any(b in manifest.generations for b in buckets):
+        return spark.createDataFrame([], _STATE)
+    state = spark.read.schema(_STATE).parquet(f"{path}/rows").where(chosen)
+    if manifest.edge is not None:
+        time = F.coalesce("last_timestamp", "first.timestamp")
+        state = state.where(time >= instant(manifest.edge))
+    return state
+
+
+def _merged(before: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Both sides hold one row per key; what was there before came first."""
+    old, new = before.alias("old"), fresh.hint("shuffle_hash").alias("new")
+    joined = old.join(new, F.col(f"old.{_KEY}") == F.col(f"new.{_KEY}"), "full")
+    either = [F.coalesce(f"old.{c}", f"new.{c}").alias(c) for c in (_KEY, "first", "bucket")]
+    counts = [F.coalesce(f"{side}.count", F.lit(0)) for side in ("old", "new")]
+    return joined.select(
+        *either,
+        F.coalesce("new.last_timestamp", "old.last_timestamp").alias("last_timestamp"),
+        (counts[0] + counts[1]).alias("count"),
     )
 
 
-def _merged(state: DataFrame) -> DataFrame:
-    return state.groupBy("deduplication_key").agg(
-        F.min_by("first", "first_arrival").alias("first"),
-        F.min("first_arrival").alias("first_arrival"),
-        F.max_by("last_timestamp", "last_arrival").alias("last_timestamp"),
-        F.max("last_arrival").alias("last_arrival"),
-        F.sum("count").alias("count"),
+def _turned(manifest: Manifest, bucket: int) -> int:
+    """The generation of a bucket that is free to be written."""
+    return (manifest.generations.get(bucket, GENERATIONS - 1) + 1) % GENERATIONS
+
+
+def _write(merged: DataFrame, path: str, before: Manifest, touched: list[int]) -> None:
+    """Replace the free generation of every touched bucket, and nothing else."""
+    ones = [b for b in touched if _turned(before, b) == 1]
+    generation = F.when(F.col("bucket").isin(ones), 1).otherwise(0) if ones else F.lit(0)
+    (
+        merged.withColumn("generation", generation)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("bucket", "generation")
+        .parquet(f"{path}/rows")
     )
 
 
-def _state(spark: SparkSession, path: str, batch_id: int | None) -> DataFrame | None:
-    """The state of the last trigger before ``batch_id``, or the last of all."""
-    found: tuple[int, DataFrame] | None = None
-    for slot in range(SLOTS):
+def _next(
+    spark: SparkSession, path: str, before: Manifest, touched: list[int], forget_after: dt.timedelta | None
+) -> Manifest:
+    turned = {b: _turned(before, b) for b in touched}
+    now = Manifest(before.buckets, before.generations | turned, before.newest)
+    if forget_after is not None:
+        rows = _valid(spark, path, now, touched)
+        times = [before.newest, rows.agg(F.unix_micros(F.max("first.timestamp"))).first()[0] if touched else None]
+        known = [_moment(t) for t in times if t is not None]
+        now.newest = max(known, default=None)
+        now.edge = now.newest - forget_after if now.newest is not None else None
+    return now
+
+
+def _moment(value: int | dt.datetime) -> dt.datetime:
+    if isinstance(value, dt.datetime):
+        return value
+    return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=value)
+
+
+def _write_manifest(spark: SparkSession, path: str, batch_id: int, manifest: Manifest) -> None:
+    """One row per bucket, over the manifest of the trigger before the last one."""
+    rows = [
+        (batch_id, manifest.buckets, b, g, manifest.newest, manifest.edge)
+        for b, g in manifest.generations.items()
+    ] or [(batch_id, manifest.buckets, None, None, manifest.newest, manifest.edge)]
+    frame = spark.createDataFrame(rows, _MANIFEST).coalesce(1)
+    frame.write.mode("overwrite").parquet(f"{path}/manifest/turn={batch_id % GENERATIONS}")
+
+
+def _manifest(spark: SparkSession, path: str, batch_id: int | None) -> Manifest | None:
+    """The manifest of the last trigger before ``batch_id``, or the last of all."""
+    found: tuple[int, Manifest] | None = None
+    for turn in range(GENERATIONS):
         try:
-            stored = spark.read.parquet(f"{path}/slot={slot}")
+            kept = spark.read.schema(_MANIFEST).parquet(f"{path}/manifest/turn={turn}")
+            times = [F.unix_micros(c).alias(c) for c in ("newest", "edge")]
+            rows = kept.select(BATCH, "buckets", "bucket", "generation", *times).collect()
         except AnalysisException as err:
             if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             continue
-        row = stored.select(F.max(BATCH)).first()
-        number = -1 if row[0] is None else row[0]
-        if (batch_id is None or number < batch_id) and (found is None or number > found[0]):
-            found = (number, stored)
+        if not rows:
+            continue
+        first = rows[0]
+        if (batch_id is None or first[BATCH] < batch_id) and (found is None or first[BATCH] > found[0]):
+            generations = {r["bucket"]: r["generation"] for r in rows if r["bucket"] is not None}
+            newest, edge = (None if first[c] is None else _moment(first[c]) for c in ("newest", "edge"))
+            found = (first[BATCH], Manifest(first["buckets"], generations, newest, edge))
     return found[1] if found else None

@@ -7,13 +7,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from harborlight import schemas
-from harborlight.operators import audit
+from harborlight.operators import audit, winners
 from harborlight.operators.collect_once import (
     collect_once,
     not_yet_collected,
+    surplus,
     with_collect_key,
 )
-from helpers import by_line, lines, optimized
+from harborlight.operators.winners import numbered
+from helpers import by_line, lines, optimized, plan
 
 FULL = {
     "kind": "Event",
@@ -188,16 +190,35 @@ def test_collect_once(spark):
     assert sorted(r.n for r in not_yet_collected(once, seen).collect()) == [1, 4]
 
 
+def test_collect_once_moves_keys_only(spark):
+    rows = spark.range(1000).select(
+        F.col("id").alias("n"), F.repeat(F.lit("wide"), 50).alias("payload"), (F.col("id") % 7).cast("string").alias("i")
+    )
+    keyed = with_collect_key(rows.unionByName(rows), F.concat("i", "n"), F.timestamp_millis(F.col("n") % 3))
+    once = collect_once(keyed, ["n"])
+    assert "SortAggregate" not in plan(once) and "Sort [" not in plan(once)
+    assert once.count() == 1000 and once.columns == keyed.columns
+    travelling = plan(surplus(numbered(keyed, "test", ["n"])))
+    assert "SortAggregate" not in travelling and "payload" not in travelling
+    shuffled = winners.BROADCAST_NUMBERS
+    winners.BROADCAST_NUMBERS = 0
+    try:
+        many = collect_once(keyed, ["n"])
+        assert "ShuffledHashJoin" in plan(many) and sorted(many.collect()) == sorted(once.collect())
+    finally:
+        winners.BROADCAST_NUMBERS = shuffled
+
+
 def test_only_asked_members_are_parsed(spark):
     """Filters and source columns bring in what they need, nothing else is built."""
     frame = lines(spark, entry(), entry(verb="list", auditID=""), entry(kind="Other"))
     few = audit.audit_logs(frame, columns=["tp_id", "user_groups"], verbs=["get", "list"], response_codes=[403])
-    plan = optimized(few)
+    text = optimized(few)
     assert few.columns == ["tp_id", "user_groups"]
     for member in ("kind", "verb", "groups", "code", "auditID", "stageTimestamp"):
-        assert f"StructField({member}," in plan, member
+        assert f"StructField({member}," in text, member
     for member in ("annotations", "userAgent", "sourceIPs", "username", "apiGroup", "status", "level"):
-        assert f"StructField({member}," not in plan, member
+        assert f"StructField({member}," not in text, member
     whole = audit.audit_logs(frame, verbs=["get", "list"], response_codes=[403])
     assert sorted(few.collect()) == sorted(whole.select("tp_id", "user_groups").collect())
     with pytest.raises(ValueError):

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harborlight.operators import events
+from harborlight.operators.winners import POSITION, ROW, numbered, tied
 from helpers import by_line, lines, plan
 
 NOW = dt.datetime(2024, 6, 1, tzinfo=dt.timezone.utc)
@@ -120,7 +121,9 @@ def test_merge_follows_arrival(spark):
         event(name="late", count=1),
         event(name="late", count=1, at=7),
     )
-    merged = events.merge_events(rows, F.col("line_no"))
+    streamed = events.merge_events(rows, F.col("line_no"))
+    merged = events.merge_landed(rows, ["line_no"])
+    assert sorted(merged.collect()) == sorted(streamed.collect())
     got = {
         r.object_name: (r.message, r["count"], r.f, r.l, r.t)
         for r in merged.select(
@@ -139,11 +142,30 @@ def test_merge_follows_arrival(spark):
     }
 
 
-def test_merge_combines_before_the_shuffle(spark):
+def test_merge_is_hashed_and_combines_before_the_shuffle(spark):
     spread = events.parse_events(lines(spark, event()).repartition(4), keep=["line_no"])
-    text = plan(events.merge_events(spread, F.col("line_no")))
-    exchange = text.index("Exchange")
-    assert "partial_min_by" in text[exchange:] and "partial_sum" in text[exchange:]
+    merged = plan(events.merge_landed(spread, ["line_no"]))
+    assert "SortAggregate" not in merged and "Sort [" not in merged
+    narrow = numbered(spread, "test", ["line_no"]).select("deduplication_key", POSITION, ROW)
+    picked = plan(tied(narrow, ["deduplication_key"]).groupBy("deduplication_key").agg(F.min(ROW)))
+    assert "SortAggregate" not in picked
+    assert "partial_min(_position" in picked[picked.index("Exchange") :]
+    assert "message" not in picked  # only keys, order and numbers travel
+
+
+def test_merge_by_place_in_files(spark):
+    """Texts in the order count as ranks; ties go to equal content, once."""
+    rows = parse(spark, *[event(name=f"n{i % 3}", count=1, message=f"m{i}") for i in range(12)])
+    placed = rows.withColumns({"file": F.concat(F.lit("f"), F.lit(9) - F.col("line_no") % 4), "at": F.col("line_no") % 2})
+    placed = placed.unionByName(placed)
+    got = {r.object_name: (r.message, r["count"]) for r in events.merge_landed(placed, ["file", "at"]).collect()}
+    want = {}
+    for i in sorted(range(12), key=lambda i: (9 - i % 4, i % 2)):
+        want.setdefault(f"n{i % 3}", f"m{i}")
+    assert {n: m for n, (m, _) in got.items()}.keys() == want.keys()
+    for name, (message, count) in got.items():
+        i, j = int(message[1:]), int(want[name][1:])
+        assert (9 - i % 4, i % 2) == (9 - j % 4, j % 2) and count == 8
 
 
 def test_table_limit_and_default_order(spark):

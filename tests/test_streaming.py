@@ -152,3 +152,78 @@ def test_watch_reads_changes_and_stops_after_rows(spark, tmp_path):
     assert not query.isActive
     (row,) = watch.watched_events(spark, out).collect()
     assert 2 <= row["count"] <= 4 and row.message == "m0"
+
+
+def stored_files(folder):
+    """Row files of a watch state and when each was written."""
+    found = (os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet"))
+    return {path: os.stat(path).st_mtime_ns for path in found}
+
+
+def test_trigger_writes_only_its_buckets(spark, tmp_path):
+    source, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    source.mkdir()
+
+    def run():
+        stream = landed.stream_placed_lines(spark, str(source), 1)
+        assert runs.finish(watch.watch_to_table(stream, out, check, buckets=16))
+
+    (source / "1.json").write_text("".join(event(f"n{i}", 1, 1, i) + "\n" for i in range(200)))
+    run()
+    before = stored_files(f"{out}/rows")
+    assert len(before) == 16
+    for turn in range(2):  # the second writes over what the first file wrote
+        (source / f"2{turn}.json").write_text(event("n7", 1, 2, 900) + "\n")
+        run()
+        after = stored_files(f"{out}/rows")
+        changed = [f for f, t in after.items() if before.get(f) != t]
+        assert len(changed) == 1 and len(after) == 17
+        before = after
+    rows = {r[0]: r[2] for r in shown(watch.watched_events(spark, out))}
+    assert len(rows) == 200 and rows["n7"] == 3 and rows["n8"] == 1
+
+
+def test_watch_survives_a_failed_trigger(spark, tmp_path, monkeypatch):
+    """A trigger that dies after its rows were written is repeated without harm."""
+    stage = "_write_manifest"
+    source, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    source.mkdir()
+
+    def run():
+        stream = landed.stream_placed_lines(spark, str(source), 1)
+        return runs.finish(watch.watch_to_table(stream, out, check, buckets=4))
+
+    (source / "1.json").write_text(event("a", 1, 5, 1) + "\n" + event("b", 1, 5, 1) + "\n")
+    run()
+    (source / "2.json").write_text(event("a", 2, 7, 2) + "\n" + event("c", 1, 1, 1) + "\n")
+    real, died = getattr(watch, stage), []
+
+    def dies(*args):
+        died.append(1)
+        raise RuntimeError("lost after the rows")
+
+    monkeypatch.setattr(watch, stage, dies)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    assert died and shown(watch.watched_events(spark, out)) == [("a", "m1", 1, "05"), ("b", "m1", 1, "05")]
+    monkeypatch.setattr(watch, stage, real)
+    run()
+    assert shown(watch.watched_events(spark, out)) == [("a", "m1", 3, "07"), ("b", "m1", 1, "05"), ("c", "m1", 1, "01")]
+
+
+def test_watch_forgets_old_keys(spark, tmp_path):
+    source, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+    source.mkdir()
+    import datetime as dt
+
+    def run(name, *texts):
+        (source / name).write_text("".join(t + "\n" for t in texts))
+        stream = landed.stream_placed_lines(spark, str(source), 1)
+        assert runs.finish(watch.watch_to_table(stream, out, check, forget_after=dt.timedelta(seconds=10), buckets=2))
+
+    run("1.json", event("a", 1, 5, 1), event("b", 1, 20, 1))
+    assert [r[0] for r in shown(watch.watched_events(spark, out))] == ["b"]
+    run("2.json", event("a", 4, 21, 2), event("c", 1, 40, 1))
+    assert [r[:3] for r in shown(watch.watched_events(spark, out))] == [("c", "m1", 1)]
+    run("3.json", event("b", 7, 39, 2))  # forgotten before, so it starts anew
+    assert [r[:3] for r in shown(watch.watched_events(spark, out))] == [("b", "m2", 7), ("c", "m1", 1)]
