@@ -59,6 +59,37 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_logs(lines: DataFrame, root: str) -> None:
+    """One file ``0.log`` per container below ``root``, in line order, written by tasks.
+
+    A second call with more lines lets the files grow; a repeated task writes the same again.
+    """
+    keys = ["namespace", "pod_name", "container_name"]
+
+    def write(batches):
+        import pyarrow as pa
+
+        from harborlight.sources.growing import opened
+
+        now, out, n = None, None, 0
+        for batch in batches:
+            for *key, value, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != now:
+                    if out:
+                        out.close()
+                    folder = "/".join([root, *(f"{k}={v}" for k, v in zip(keys, key, strict=True))])
+                    system, inside = opened(folder)
+                    system.create_dir(inside)
+                    now, out, n = key, system.open_output_stream(f"{inside}/0.log"), n + 1
+                out.write(value.encode() + b"\n")
+        if out:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["files"])
+
+    ordered = lines.repartition(*keys).sortWithinPartitions(*keys, "line_no")
+    ordered.select(*keys, "value", "line_no").mapInArrow(write, "files long").agg({"files": "sum"}).collect()
+
+
 def pod_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture B: one pod object per customer."""
     key = "c_custkey"

@@ -31,12 +31,11 @@ from harborlight.functions.times import instant
 from harborlight.operators import events
 from harborlight.operators.enrich import with_source
 from harborlight.operators.positional import number_lines, place_of
-from harborlight.operators.winners import stored
 
 BATCH = "batch_id"
 GENERATIONS = 2
 #: buckets of a new state; one that exists keeps its own number
-BUCKETS = 64
+BUCKETS = 32
 
 _KEY = "deduplication_key"
 _FIRST = T.StructType([schemas.CLUSTER_EVENTS[c] for c in events.FIRST_ARRIVAL])
@@ -94,11 +93,11 @@ def watch_to_table(
         spark = batch.sparkSession
         before = _manifest(spark, path, batch_id) or Manifest(buckets, {})
         bucket = F.pmod(F.xxhash64(_KEY), F.lit(before.buckets)).cast("int")
-        fresh = stored(events.first_and_last(rows, place).withColumn("bucket", bucket), "watch-trigger")
+        fresh = events.first_and_last(rows, place).withColumn("bucket", bucket)
         touched = sorted(r[0] for r in fresh.select("bucket").distinct().collect())
         if touched:
             merged = _merged(_valid(spark, path, before, touched), fresh)
-            _write(merged.repartition(len(touched), "bucket"), path, before, touched)
+            _write(merged.repartition("bucket"), path, before, touched)
         now = _next(spark, path, before, touched, forget_after)
         _write_manifest(spark, path, batch_id, now)
 

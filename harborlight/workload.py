@@ -24,7 +24,7 @@ from harborlight.operators.positional import head_per_group, tail_per_group
 from harborlight.plans.questions import ask
 from harborlight.plans.views import register_views
 from harborlight.session import configure, scratch_dir
-from harborlight.sources import audit_sources, landed, sink
+from harborlight.sources import audit_sources, growing, landed, sink
 from harborlight.streaming import runs, tables, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -828,6 +828,23 @@ def stream_log_follow(spark, sf_dir):
     )
 
 
+@query
+def stream_log_growth(spark, sf_dir):
+    """Two runs over the same files, which have grown in between."""
+    lines = fx.log_lines(spark, sf_dir)
+    root, out = scratch_dir(spark, "growing-logs"), scratch_dir(spark, "log-growth")
+
+    def shown(found: DataFrame) -> DataFrame:
+        parsed = podlogs.parse_timestamps(growing.container_keys(found))
+        return parsed.select(*podlogs.CONTAINER, ntz("timestamp"), "log_message")
+
+    last = lines.agg(F.max("line_no")).first()[0] or 0
+    for landed_lines in (lines.where(F.col("line_no") <= last // 2), lines):
+        fx.write_logs(landed_lines, root)
+        growing.follow_to_table(spark, root, f"{out}/state", f"{out}/rows", shown)
+    return growing.followed_table(spark, f"{out}/state", f"{out}/rows")
+
+
 @query
 def stream_collect_once(spark, sf_dir):
     """The landed audit files arrive a second time in another trigger."""

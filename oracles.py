@@ -366,6 +366,7 @@ def oracle_sql() -> dict[str, str]:
     o["stream_event_merge"] = o["event_merge"]
     o["stream_log_follow"] = f"""WITH {POD_LOGS} SELECT {KEYS}, timestamp, log_level, node_name
         FROM pod_logs WHERE log_level IN ('ERROR', 'FATAL') AND (timestamp IS NULL OR timestamp >= {SINCE})"""
+    o["stream_log_growth"] = f"WITH {LOGS} SELECT {KEYS}, timestamp, log_message FROM logs"
     o["stream_collect_once"] = f"""WITH {KEYED_AUDIT} SELECT verb, resource, row_id, row_ms FROM keyed
         QUALIFY row_number() OVER (PARTITION BY row_id, row_ms ORDER BY line_no) = 1"""
     return o
