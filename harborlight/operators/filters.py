@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborlight.functions.text import or_empty
+from harborlight.operators.winners import stored
 
 
 def where_if(df: DataFrame, condition: Column | None) -> DataFrame:
@@ -71,6 +72,33 @@ def has_labels(
     return condition
 
 
+#: a longer prefix is not taken by the tasks' heaps but cut out of ranges
+HEAP_ROWS = 100_000
+_RANGE = "_range"
+
+
 def first_rows(df: DataFrame, order: Sequence[Column | str], limit: int | None) -> DataFrame:
-    """A prefix of a stable order, so the same rows come back on every run."""
-    return df if limit is None else df.orderBy(*order).limit(limit)
+    """A prefix of a stable order, in that order, so the same rows come back on every run."""
+    if limit is None or limit <= HEAP_ROWS:
+        return df if limit is None else df.orderBy(*order).limit(limit)
+    return prefix_of_ranges(df, order, limit).orderBy(*order)
+
+
+def prefix_of_ranges(df: DataFrame, order: Sequence[Column | str], limit: int) -> DataFrame:
+    """The first ``limit`` rows without bringing them together in one task.
+
+    Rows are stored once and dealt into ranges of the order, whose sizes tell in which range
+    the prefix ends: all rows of the ranges before belong to it, and only the rows of that one
+    range are ranked.
+    """
+    rows = stored(df, "prefix-rows")
+    ranged = rows.repartitionByRange(*order).withColumn(_RANGE, F.spark_partition_id())
+    ranged = stored(ranged, "prefix-ranges")
+    before = 0
+    for number, n in sorted(ranged.groupBy(_RANGE).agg(F.count(F.lit(1))).collect()):
+        if before + n >= limit:
+            whole = ranged.where(F.col(_RANGE) < number)
+            part = ranged.where(F.col(_RANGE) == number).orderBy(*order).limit(limit - before)
+            return whole.unionByName(part).drop(_RANGE)
+        before += n
+    return ranged.drop(_RANGE)

@@ -767,16 +767,23 @@ def scan_pod_logs(spark, sf_dir):
     return rows.select(*podlogs.CONTAINER, ntz("timestamp"), "log_level", "log_message")
 
 
+def files_per_part(spark: SparkSession, sf_dir: str) -> int:
+    """Files each quarter of the events is landed in: one per million events."""
+    return fx.table(spark, sf_dir, "events").count() // 4_000_000 + 1
+
+
 def event_files(spark: SparkSession, sf_dir: str) -> str:
-    """Four files with consecutive events, landed one after the other."""
+    """Four parts with consecutive events, landed one after the other."""
 
     def write(path: str) -> None:
         rows = fx.event_objects(spark, sf_dir)
         last = rows.agg(F.max("line_no")).first()[0] or 0
+        n = files_per_part(spark, sf_dir)
         for part in range(4):
             mine = F.floor(F.col("line_no") * 4 / (last + 1)) == part
-            ordered = rows.where(mine).coalesce(1).sortWithinPartitions("line_no")
-            ordered.select("value").write.text(f"{path}/part={part}")
+            # ranges of lines, whose file names sort as they do
+            ranged = rows.where(mine).repartitionByRange(n, "line_no").sortWithinPartitions("line_no")
+            ranged.select("value").write.text(f"{path}/part={part}")
 
     return land(spark, sf_dir, "event-objects", write)
 
@@ -803,10 +810,10 @@ def scan_resources(spark, sf_dir):
 
 @query
 def stream_event_merge(spark, sf_dir):
-    """One file per trigger; the final state equals the batch merge."""
+    """One part per trigger; the final state equals the batch merge."""
     source = f"{event_files(spark, sf_dir)}/part=*"
     out = scratch_dir(spark, "event-watch")
-    lines = landed.stream_placed_lines(spark, source, 1)
+    lines = landed.stream_placed_lines(spark, source, files_per_part(spark, sf_dir))
     query = watch.watch_to_table(lines, f"{out}/rows", f"{out}/checkpoint", as_of=FALLBACK)
     runs.finish(query)
     return merged_columns(watch.watched_events(spark, f"{out}/rows"))

@@ -105,3 +105,27 @@ def test_missing_keys_are_a_group(spark):
     assert budgeted.count() == 1400
     bounded = bytes_per_group(df, ["g"], ["f", "n"], F.col("size"), 700, group_rows=1000)
     assert sorted(map(str, bounded.collect())) == sorted(map(str, budgeted.collect()))
+
+
+@pytest.mark.parametrize("limit", [1, 7, 250, 999, 1000, 5000])
+def test_long_prefix_of_an_order(spark, monkeypatch, limit):
+    """Cut out of ranges: the same rows in the same order, no exchange into one partition of them all."""
+    from harborlight.operators import filters
+
+    monkeypatch.setattr(filters, "HEAP_ROWS", 0)
+    rows = spark.range(1000).select(
+        (F.col("id") * 7919 % 1000).alias("k"), F.when(F.col("id") % 5 > 0, F.col("id") % 11).alias("g"), F.lit("x").alias("w")
+    )
+    got = [tuple(r) for r in filters.first_rows(rows, ["g", "k"], limit).collect()]
+    assert got == [tuple(r) for r in rows.orderBy("g", "k").limit(limit).collect()]
+
+
+def test_prefix_ranks_only_the_range_at_the_cut(spark):
+    from harborlight.operators import filters
+
+    prefix = filters.prefix_of_ranges(spark.range(1000).toDF("k"), ["k"], 600)
+    assert prefix.count() == 600
+    text = prefix._jdf.queryExecution().optimizedPlan().toString()
+    whole, cut = text.index("_range"), text.index("GlobalLimit") if "GlobalLimit" in text else text.index("Limit")
+    assert text.count("Limit") <= 2 and "Sort" in text[cut:] and whole >= 0
+    assert prefix.agg(F.max("k")).first()[0] == 599
