@@ -5,9 +5,12 @@ addresses, card and phone numbers), checked afterwards and not retried.  They se
 bootstrapping: they, and runs of neighbouring tokens that hold a digit or ``@`` and touch
 no base span, are instances; the words around them are patterns, and both form a graph.
 A token among those words counts as a number, whatever it is, and so do the ends of a
-text as words; text stuck to a base span is no word.  A pattern is trusted as far as its instances are
-known, an instance as far as its patterns are trusted; after some rounds, what trusted
-patterns with enough different known instances surround is reported too.
+text as words; text stuck to a base span is no word.  Long unbroken runs of letters and digits (keys,
+digests) are seeds of a fifth kind, ``secret``, but only assumed ones: by themselves they are
+not reported.  A pattern is trusted as far as its instances are known, an instance as far
+as its patterns are trusted.  Both only grow, and when a round adds neither a pattern nor an
+instance, what trusted patterns with enough different known instances surround is reported
+too, the assumed seeds among it.
 
 Everything is column expressions, aggregations and joins.  A match's place follows from
 the lengths of the stretches between matches, summed over the rows of a document; no
@@ -31,6 +34,10 @@ from pyspark.sql import functions as F
 from harborlight.llm.common import checked, let, stored
 
 KINDS = ("email", "ip", "card", "phone")
+#: kinds of found spans: the base ones, and secrets, which only contexts can tell
+ALL_KINDS = (*KINDS, "secret")
+#: what a secret looks like, lower-cased and without marks around it
+SECRET_FORM = r"^(?=.*[0-9])(?=.*[a-z])[0-9a-z]{32,}$"
 _LOCAL = "[A-Za-z0-9._%+-]"
 PATTERNS = {
     "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -48,7 +55,8 @@ NUMBER, BEGIN, END = "N", "BEGIN", "END"
 #: a card has no more digits than this, so no kind is written in more tokens
 MOST_TOKENS = 19
 
-ROUNDS = 3
+#: rounds end when nothing is added; each adds a pattern or an instance, and some few suffice
+ROUNDS = 50
 #: a trusted pattern surrounds so many different known instances of one kind ...
 LEAST_INSTANCES = 4
 #: ... and they make up this share of all its instances
@@ -259,28 +267,35 @@ def trusted_patterns(edges: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def bootstrap(runs: DataFrame, spans: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(instance, kind, score) of instances outside the seeds that trusted patterns support."""
+    """(instance, kind, score) of instances outside the base spans that trusted patterns support."""
     around = runs.select("instance", "patterns").union(spans.select("instance", "patterns"))
     edges = stored(around.select("instance", F.explode("patterns").alias("pattern")).distinct(), "pii-edges")
-    first = stored(spans.select("instance", "kind", F.lit(1.0).alias("score")).distinct(), "pii-first")
-    known, size = first, None
+    seen = spans.select("instance", "kind", F.lit(1.0).alias("score")).distinct()
+    assumed = runs.filter(F.col("instance").rlike(SECRET_FORM)).select(
+        "instance", F.lit("secret").alias("kind"), F.lit(1.0).alias("score")
+    )
+    assumed = assumed.distinct().join(seen.select("instance"), "instance", "left_anti")
+    first, prior = stored(seen, "pii-first"), stored(assumed, "pii-assumed")
+    known, found, size = first.unionByName(prior), None, (0, 0)
     for _ in range(rounds):
-        trusted = trusted_patterns(edges, known)
-        doubt = F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-6))))
-        found = (
-            edges.join(trusted, "pattern")
-            .groupBy("instance", "kind")
-            .agg((1 - F.exp(doubt)).alias("score"))
-            .groupBy("instance")
-            .agg(F.max(F.struct("score", "kind")).alias("best"))
-            .select("instance", F.col("best.kind").alias("kind"), F.col("best.score").alias("score"))
-            .join(first.select("instance"), "instance", "left_anti")
-        )
-        known = stored(first.unionByName(found), "pii-known")
-        before, size = size, known.count()
-        if size == before or size == first.count():
+        trusted = stored(trusted_patterns(edges, known), "pii-trusted")
+        found = stored(supported(edges, trusted).join(first.select("instance"), "instance", "left_anti"), "pii-known")
+        before, size = size, (trusted.count(), found.count())
+        if size == before or not any(size):
             break
-    return known.join(first.select("instance"), "instance", "left_anti")
+        # what was assumed stays so; an instance counts by the better of both scores
+        best = F.max(F.struct("score", "kind")).alias("best")
+        scored = prior.unionByName(found).groupBy("instance").agg(best)
+        known = first.unionByName(scored.select("instance", "best.kind", "best.score"))
+    return found
+
+
+def supported(edges: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(instance, kind, score): of all kinds the one that trusted patterns support most."""
+    doubt = F.sum(F.log(F.greatest(1 - F.col("trust"), F.lit(1e-6))))
+    scored = edges.join(trusted, "pattern").groupBy("instance", "kind").agg((1 - F.exp(doubt)).alias("score"))
+    best = scored.groupBy("instance").agg(F.max(F.struct("score", "kind")).alias("best"))
+    return best.select("instance", "best.kind", "best.score")
 
 
 def _islands(spans: DataFrame) -> DataFrame:
@@ -334,7 +349,7 @@ def _joined(spans: Column) -> Column:
         F.transform(
             ordered,
             lambda s: F.concat_ws(
-                ":", F.get(F.array(*map(F.lit, KINDS)), s["rank"]), s["start"].cast("string"), s["stop"].cast("string")
+                ":", F.get(F.array(*map(F.lit, ALL_KINDS)), s["rank"]), s["start"].cast("string"), s["stop"].cast("string")
             ),
         ),
         ",",
@@ -347,7 +362,7 @@ def personal_data(
     """One row per document: counts of base spans, ``base`` and ``spans`` as text, n_found."""
     keyed = _keyed(docs, id_column, text_column)
     spans = all_spans(keyed.select("doc", "hash", "text"), rounds)
-    rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")) - 1
+    rank = F.array_position(F.array(*map(F.lit, ALL_KINDS)), F.col("kind")) - 1
     span = F.struct(rank.cast("int").alias("rank"), "start", "stop")
     counts = [
         F.count(F.when(F.col("is_base") & (F.col("kind") == k), 1)).alias(f"n_{k}") for k in KINDS

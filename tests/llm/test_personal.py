@@ -121,3 +121,93 @@ def test_context_goes_past_numbers_and_long_words(spark):
     assert got[120] == (f"email:{len(url) + 5}:{len(url) + 17}", 1)
     assert got[220] == ("email:0:12", 1)
     assert all(n == 0 and spans for d, (spans, n) in got.items() if d not in (20, 120, 220))
+
+
+def test_secrets_are_told_by_context(spark):
+    """Long runs of letters and digits count only where trusted patterns surround them."""
+    rng = random.Random(3)
+    key = ["".join(rng.choices("0123456789abcdef", k=40)) for _ in range(12)]
+    texts = {i: f'and then token = "{key[i]}" was set' for i in range(8)}
+    texts |= {20: 'and then token = "x7-short" was set', 21: f"digest {key[8]} of file", 22: f"sum {key[9]} here"}
+    got = found_spans(spark, texts)
+    assert all(got[i] == (f"secret:{18}:{58}", 1) for i in range(8))
+    assert got[20] == ("secret:18:26", 1) and got[21] == got[22] == ("", 0)
+
+
+def brute_bootstrap(runs, spans):
+    """Plain graph scores: (instance, kind) → score of what trusted patterns support."""
+    import math
+    import re
+
+    edges = {(i, p) for i, ps in runs for p in ps} | {(i, p) for i, _, ps in spans for p in ps}
+    first = {(i, k) for i, k, _ in spans}
+    seeds = {i for i, _ in first}
+    prior = {i for i, _ in runs if re.match(personal.SECRET_FORM, i) and i not in seeds}
+    known = {e: 1.0 for e in first} | {(i, "secret"): 1.0 for i in prior}
+    size, found = None, {}
+    while True:
+        trusted = {}
+        for p in {p for _, p in edges}:
+            inside = {i for i, q in edges if q == p}
+            for kind in personal.ALL_KINDS:
+                scores = [s for (i, k), s in known.items() if k == kind and i in inside]
+                if len(scores) >= personal.LEAST_INSTANCES and sum(scores) / len(inside) >= personal.LEAST_SHARE:
+                    trusted[p, kind] = sum(scores) / len(inside)
+        found = {}
+        for i in {i for i, _ in edges} - seeds:
+            scores = {}
+            for kind in personal.ALL_KINDS:
+                trusts = [t for (p, k), t in trusted.items() if k == kind and (i, p) in edges]
+                if trusts:
+                    scores[kind] = 1 - math.exp(sum(math.log(max(1 - t, 1e-6)) for t in trusts))
+            if scores:
+                score, kind = max((s, k) for k, s in scores.items())
+                found[i] = (kind, score)
+        if (len(trusted), len(found)) == size:
+            return found
+        size = (len(trusted), len(found))
+        known = {e: 1.0 for e in first}
+        for i in prior | set(found):
+            options = ([(1.0, "secret")] if i in prior else []) + ([found[i][::-1]] if i in found else [])
+            score, kind = max(options)
+            known[i, kind] = score
+
+
+def test_graph_scores(spark):
+    """Random graphs with several kinds, assumed seeds and chains over several rounds."""
+    rng = random.Random(8)
+    names = [f"i{n}" for n in range(60)] + ["".join(rng.choices("0123456789abcdef", k=40)) for _ in range(12)]
+    patterns = [f"p{n}" for n in range(14)]
+    runs = [(rng.choice(names), rng.sample(patterns[:10], 2)) for _ in range(70)]
+    spans = [(rng.choice(names[:30]), rng.choice(["email", "phone"]), rng.sample(patterns[4:], 2)) for _ in range(50)]
+    # a chain: known instances trust one pattern, its instances the next
+    spans += [(f"c{n}", "card", ["q0", "q1"]) for n in range(9)]
+    runs += [(f"d{n}", ["q0", "q2"]) for n in range(3)] + [(f"c{n}", ["q2", "q2"]) for n in range(5)] + [("e0", ["q2", "q3"])]
+    runs += [(f"k{n}", ["q4", "q4"]) for n in range(2)] + [(names[60 + n], ["q4", "q4"]) for n in range(7)]
+    got = personal.bootstrap(
+        spark.createDataFrame(runs, "instance string, patterns array<string>"),
+        spark.createDataFrame(spans, "instance string, kind string, patterns array<string>"),
+    ).collect()
+    want = brute_bootstrap(runs, spans)
+    assert {r.instance: r.kind for r in got} == {i: k for i, (k, _) in want.items()}
+    assert all(abs(r.score - want[r.instance][1]) < 1e-9 for r in got)
+    assert {"d0", "e0", "k0"} <= set(want) and len({k for k, _ in want.values()}) > 1
+
+
+def test_given_documents_hold_more_than_base_spans(spark):
+    """What is found in the given documents is what stands behind ``token =``."""
+    import re
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    right = wrong = 0
+    for r in personal.personal_data(docs).filter("n_found > 0").collect():
+        for span in set(r.spans.split(",")) - set(r.base.split(",")):
+            _, start, stop = span.split(":")
+            before = texts[r.doc_id][: int(start)]
+            if re.search(r'token = "$', before, re.I) and re.fullmatch("[0-9a-fA-F]{40}", texts[r.doc_id][int(start) : int(stop)]):
+                right += 1
+            else:
+                wrong += 1
+    there = sum(len(re.findall(r'token = "[0-9a-f]{40}"', t or "", re.I)) for t in texts.values())
+    assert right > 0 and right >= 0.95 * (right + wrong) and right >= 0.9 * there, (right, wrong, there)
