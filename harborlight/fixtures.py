@@ -130,17 +130,18 @@ def audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     sub = f"""CASE {e} % 6 WHEN 0 THEN ',"subresource":"exec"'
         WHEN 1 THEN ',"subresource":"portforward"' WHEN 2 THEN ',"subresource":"attach"'
         WHEN 3 THEN ',"subresource":"status"' ELSE '' END"""
-    entry = f"""concat('{{"kind":"Event","apiVersion":"audit.k8s.io/v1","level":"Metadata",',
+    entry = f"""concat('{{"kind":"Event","apiVersion":"audit.k8s.io/v1","level":"', {AUDIT_LEVELS}, '",',
         if({e} % 13 = 0, '', concat('"auditID":"a-', {e} div 2, '",')),
         '"stage":"', if({e} % 2 = 0, 'RequestReceived', 'ResponseComplete'), '",',
         if({e} % 77 = 0, '', concat('"requestReceivedTimestamp":"', {stamp}, '",')),
         if({e} % 11 = 0, '', concat('"stageTimestamp":"', {stamp}, '",')),
         '"verb":', if({e} % 23 = 0, '5', concat('"', {AUDIT_VERBS}, '"')), ',',
-        coalesce(concat({user}, ',"groups":["g', user_id % 5, '",7,"system:authenticated"]}},'), ''),
+        coalesce(concat({user}, if({e} % 2 = 0, concat(',"uid":"uid-', user_id, '"'), ''), ',"groups":["g', user_id % 5, '",7,"system:authenticated"]}},'), ''),
         '"objectRef":{{', {namespace}, '"resource":"', {resource}, '","name":"n-', {e}, '"', {sub}, '}},',
         '"requestURI":"', {uri}, '",',
         '"sourceIPs":["10.0.0.', user_id % 250, '","::1"],"userAgent":"ua-', user_id % 4, '",',
-        '"responseStatus":{{"code":', {choose(e + ' % 5', ['200', '201', '401', '403', '403.0'])}, '}},',
+        '"responseStatus":{{"code":', {choose(e + ' % 5', ['200', '201', '401', '403', '403.0'])},
+            if({e} % 5 > 1, ',"status":"Failure","reason":"Forbidden"', ''), '}},',
         '"annotations":{{"k":', value, '}}}}')"""
     line = f"""CASE WHEN {e} % 17 = 0 THEN 'not json'
         WHEN {e} % 19 = 0 THEN '{{"kind":"Pod","auditID":"x"}}'
@@ -153,6 +154,8 @@ def audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 EVENT_REASONS = """CASE event_type WHEN 'error' THEN 'BackOff' WHEN 'click' THEN 'Pulled'
     WHEN 'view' THEN 'Scheduled' WHEN 'signup' THEN 'Created' WHEN 'purchase' THEN 'Killing' END"""
+EVENT_OBJECTS = "CASE event_id % 7 WHEN 0 THEN 'Node' WHEN 1 THEN 'Deployment' ELSE 'Pod' END"
+AUDIT_LEVELS = "CASE event_id % 7 WHEN 0 THEN 'Request' WHEN 3 THEN 'RequestResponse' ELSE 'Metadata' END"
 EVENT_COMPONENTS = ["kubelet", "scheduler", "controller"]
 
 
@@ -167,8 +170,8 @@ def event_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
         if(event_type = 'error', 'Warning', 'Normal') AS type,
         {EVENT_REASONS} AS reason,
         concat(event_type, ' on ', user_id, ' took ', cast(value AS string)) AS message,
-        struct('Pod' AS kind, concat('pod-', user_id % 20) AS name,
-            {namespace_of('user_id')} AS namespace) AS involvedObject,
+        struct({EVENT_OBJECTS} AS kind, concat('pod-', user_id % 20) AS name,
+            if({e} % 9 = 0, 'elsewhere', {namespace_of('user_id')}) AS namespace) AS involvedObject,
         struct({choose(e + ' % 3', EVENT_COMPONENTS)} AS component) AS source,
         {first} AS firstTimestamp,
         if({e} % 4 = 0, {prefix_of('ts')}, NULL) AS lastTimestamp,
@@ -265,28 +268,29 @@ def resource_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resource_network_and_config(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four objects per nation and one of an unknown kind per region."""
-    meta = "struct(concat('{p}-', n_nationkey) AS name, replace(lower(n_name), '_', '-') AS namespace) AS metadata"
-    data = """map_from_entries(transform(slice(array('a', 'b', 'c'), 1, n_nationkey % 4),
+    """Four objects per supplier and one of an unknown kind per customer."""
+    meta = "struct(concat('{p}-', s_suppkey) AS name, replace(lower(n_name), '_', '-') AS namespace) AS metadata"
+    data = """map_from_entries(transform(slice(array('a', 'b', 'c'), 1, s_suppkey % 4),
         k -> struct(k, concat('secret-value-', k))))"""
     ingress = f"""struct('Ingress' AS kind, {meta.format(p='ing')},
         struct('nginx' AS ingressClassName) AS spec,
-        struct(struct(if(n_nationkey % 2 = 0, array(), array(map('ip', '9.9.9.9'))) AS ingress)
+        struct(struct(if(s_suppkey % 2 = 0, array(), array(map('ip', '9.9.9.9'))) AS ingress)
             AS loadBalancer) AS status)"""
     policy = f"struct('NetworkPolicy' AS kind, {meta.format(p='np')})"
     config = f"struct('ConfigMap' AS kind, {meta.format(p='cm')}, {data} AS data)"
     secret = f"""struct('Secret' AS kind, {meta.format(p='sec')}, {data} AS data,
         'Opaque' AS type)"""
-    nations = table(spark, sf_dir, "nation").select(
+    suppliers = _in_nation(table(spark, sf_dir, "supplier"), "s_nationkey", spark, sf_dir)
+    mine = suppliers.select(
         F.explode(
             F.array(*[F.to_json(F.expr(x)) for x in (ingress, policy, config, secret)])
         ).alias("value")
     )
-    custom = """struct('CustomThing' AS kind, struct(concat('ct-', r_regionkey) AS name) AS metadata,
-        struct(if(r_regionkey % 3 = 0, 'Synced', NULL) AS phase,
-            if(r_regionkey % 3 = 1, 'Lagging', NULL) AS state) AS status)"""
-    regions = table(spark, sf_dir, "region").select(F.to_json(F.expr(custom)).alias("value"))
-    return nations.unionByName(regions)
+    custom = """struct('CustomThing' AS kind, struct(concat('ct-', c_custkey) AS name) AS metadata,
+        struct(if(c_custkey % 3 = 0, 'Synced', NULL) AS phase,
+            if(c_custkey % 3 = 1, 'Lagging', NULL) AS state) AS status)"""
+    customs = table(spark, sf_dir, "customer").select(F.to_json(F.expr(custom)).alias("value"))
+    return mine.unionByName(customs)
 
 
 def resource_objects(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -233,7 +233,7 @@ def audit_parse(spark, sf_dir):
         F.col("line_no"),
         *["kind", "api_version", "level", "audit_id", "stage", "request_uri", "verb"],
         *["user_name", "user_uid", "impersonated", "namespace", "resource", "subresource", "name"],
-        *["user_agent", "response_code", "response_status", "cluster_name"],
+        *["user_agent", "response_code", "response_status", "response_reason", "cluster_name"],
         csv("user_groups"),
         csv("source_ips"),
         ntz("request_received_time"),
@@ -471,8 +471,8 @@ def event_filter(spark, sf_dir):
         since=SINCE,
         until=UNTIL,
         namespaces=["default", "kube-system"],
-        event_types=["Warning", "Normal"],
-        object_kinds=["Pod"],
+        event_types=["Normal"],
+        object_kinds=["Pod", "Node"],
         object_names=[f"pod-{i}" for i in range(0, 20, 3)],
         source_components=["kubelet", "controller"],
         label_selectors="team=t0",

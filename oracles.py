@@ -46,6 +46,10 @@ AUDIT = f"""entries AS (
         CASE WHEN event_id % 11 = 0 THEN NULL ELSE ts END AS stage_timestamp,
         CASE WHEN event_id % 77 = 0 THEN NULL ELSE ts END AS request_received_time,
         CASE WHEN event_id % 13 = 0 THEN '' ELSE 'a-' || event_id // 2 END AS audit_id,
+        CASE event_id % 7 WHEN 0 THEN 'Request' WHEN 3 THEN 'RequestResponse' ELSE 'Metadata' END AS level,
+        CASE WHEN user_id % 3 < 2 AND event_id % 2 = 0 THEN 'uid-' || user_id END AS user_uid,
+        CASE WHEN event_id % 5 > 1 THEN 'Failure' END AS response_status,
+        CASE WHEN event_id % 5 > 1 THEN 'Forbidden' END AS response_reason,
         CASE WHEN event_id % 2 = 0 THEN 'RequestReceived' ELSE 'ResponseComplete' END AS stage,
         CASE WHEN event_id % 23 = 0 THEN '' ELSE CASE event_type WHEN 'click' THEN 'get'
             WHEN 'view' THEN 'list' WHEN 'signup' THEN 'create' WHEN 'purchase' THEN 'update'
@@ -90,7 +94,8 @@ EVENTS = f"""cluster AS (
         CASE event_type WHEN 'error' THEN 'BackOff' WHEN 'click' THEN 'Pulled'
             WHEN 'view' THEN 'Scheduled' WHEN 'signup' THEN 'Created' ELSE 'Killing' END AS reason,
         event_type || ' on ' || user_id || ' took ' || value AS message,
-        'Pod' AS object_kind, 'pod-' || user_id % 20 AS object_name,
+        CASE event_id % 7 WHEN 0 THEN 'Node' WHEN 1 THEN 'Deployment' ELSE 'Pod' END AS object_kind,
+        CASE WHEN event_id % 9 = 0 THEN 'elsewhere' ELSE {NS_USER} END AS involved, 'pod-' || user_id % 20 AS object_name,
         CASE event_id % 3 WHEN 0 THEN 'kubelet' WHEN 1 THEN 'scheduler' ELSE 'controller' END
             AS source_component,
         CASE event_id % 4 WHEN 0 THEN ts - INTERVAL 1 HOUR WHEN 2 THEN ts END AS first_timestamp,
@@ -137,7 +142,7 @@ PODS = f"""pods AS (
         replace(lower(n_name), '_', '-') AS namespace, {POD_STATUS} AS status, 'node-' || c_custkey % 7 AS node_name,
         TIMESTAMP '2024-01-01' + to_hours(CAST(c_custkey AS INTEGER)) AS created_at
     FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
-RESOURCES = f"""{PODS}, resources AS (
+RESOURCES = f"""{PODS}, located AS (SELECT * FROM supplier JOIN nation ON s_nationkey = n_nationkey), resources AS (
     SELECT namespace, resource_type, resource_name, status, node_name, created_at FROM pods
     UNION ALL SELECT replace(lower(n_name), '_', '-'), 'Service', 'svc-' || s_suppkey, 'Active', '', NULL
         FROM supplier JOIN nation ON s_nationkey = n_nationkey
@@ -149,14 +154,14 @@ RESOURCES = f"""{PODS}, resources AS (
         CASE WHEN o_orderkey % 2 = 0 THEN 'PersistentVolume' ELSE 'PersistentVolumeClaim' END,
         'vol-' || o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Bound' WHEN 'O' THEN 'Available'
             ELSE 'Released' END, '', NULL FROM orders
-    UNION ALL SELECT replace(lower(n_name), '_', '-'), 'Ingress', 'ing-' || n_nationkey,
-        CASE WHEN n_nationkey % 2 = 0 THEN 'Active' ELSE 'Ready' END, '', NULL FROM nation
-    UNION ALL SELECT replace(lower(n_name), '_', '-'), 'NetworkPolicy', 'np-' || n_nationkey, 'Active', '', NULL
-        FROM nation
-    UNION ALL SELECT replace(lower(n_name), '_', '-'), 'ConfigMap', 'cm-' || n_nationkey, 'Active', '', NULL FROM nation
-    UNION ALL SELECT replace(lower(n_name), '_', '-'), 'Secret', 'sec-' || n_nationkey, 'Active', '', NULL FROM nation
-    UNION ALL SELECT '', 'CustomThing', 'ct-' || r_regionkey, CASE r_regionkey % 3
-        WHEN 0 THEN 'Synced' WHEN 1 THEN 'Lagging' ELSE 'Active' END, '', NULL FROM region)"""
+    UNION ALL SELECT replace(lower(n_name), '_', '-'), 'Ingress', 'ing-' || s_suppkey,
+        CASE WHEN s_suppkey % 2 = 0 THEN 'Active' ELSE 'Ready' END, '', NULL FROM located
+    UNION ALL SELECT replace(lower(n_name), '_', '-'), 'NetworkPolicy', 'np-' || s_suppkey, 'Active', '', NULL
+        FROM located
+    UNION ALL SELECT replace(lower(n_name), '_', '-'), 'ConfigMap', 'cm-' || s_suppkey, 'Active', '', NULL FROM located
+    UNION ALL SELECT replace(lower(n_name), '_', '-'), 'Secret', 'sec-' || s_suppkey, 'Active', '', NULL FROM located
+    UNION ALL SELECT '', 'CustomThing', 'ct-' || c_custkey, CASE c_custkey % 3
+        WHEN 0 THEN 'Synced' WHEN 1 THEN 'Lagging' ELSE 'Active' END, '', NULL FROM customer)"""
 
 KEYS = "namespace, pod_name, container_name"
 PER_CONTAINER = f"PARTITION BY {KEYS} ORDER BY line_no"
@@ -210,15 +215,16 @@ def oracle_sql() -> dict[str, str]:
         FROM pod_logs WHERE log_level = 'FATAL'"""
 
     o["audit_parse"] = f"""WITH {AUDIT} SELECT line_no, 'Event' AS kind,
-        'audit.k8s.io/v1' AS api_version, 'Metadata' AS level, audit_id, stage, request_uri, verb,
-        user_name, CAST(NULL AS VARCHAR) AS user_uid, false AS impersonated, namespace, resource,
-        subresource, name, user_agent, response_code, CAST(NULL AS VARCHAR) AS response_status,
+        'audit.k8s.io/v1' AS api_version, level, audit_id, stage, request_uri, verb,
+        user_name, user_uid, false AS impersonated, namespace, resource,
+        subresource, name, user_agent, response_code, response_status, response_reason,
         '' AS cluster_name, user_groups, source_ips, request_received_time, stage_timestamp,
         value AS annotation_k FROM audit_logs"""
     o["audit_filter"] = f"""WITH {AUDIT} SELECT line_no, verb, resource, namespace, stage_timestamp
         FROM audit_logs WHERE (tp_timestamp IS NULL OR tp_timestamp BETWEEN {SINCE} AND {UNTIL})
         AND namespace IN ('default', 'monitoring') AND resource IN ('pods', 'secrets')
-        AND verb IN ('get', 'list', 'create') AND stage = 'ResponseComplete'"""
+        AND verb IN ('get', 'list', 'create') AND stage = 'ResponseComplete'
+        AND level = 'Metadata'"""
     o["audit_filter_users"] = f"""WITH {AUDIT} SELECT line_no, user_name, user_agent FROM audit_logs
         WHERE user_name IN ('user-1', 'user-4', 'system:serviceaccount:3', 'user-100')
         AND user_agent IN ('ua-0', 'ua-1', 'ua-3')"""
@@ -256,10 +262,10 @@ def oracle_sql() -> dict[str, str]:
             BETWEEN {SINCE} AND {UNTIL}
         AND namespace IN ('default', 'kube-system') AND user_id % 20 % 3 = 0
         AND source_component IN ('kubelet', 'controller') AND user_id % 3 = 0
-        AND event_type IN ('error', 'click')
+        AND event_type IN ('error', 'click') AND etype = 'Normal' AND object_kind IN ('Pod', 'Node')
         AND CAST(substr(split_part(CAST(value AS VARCHAR), '.', 2), 1, 1) AS INTEGER) <= 4"""
     o["event_namespace"] = f"""WITH {EVENTS} SELECT line_no, namespace FROM evts
-        WHERE namespace = 'monitoring'"""
+        WHERE namespace = 'monitoring' AND involved = 'monitoring'"""
     o["event_merge"] = f"WITH {merged()} SELECT {MERGED_COLUMNS} FROM merged"
     o["event_limit"] = f"""WITH {merged("WHERE etype = 'Warning'")}
         SELECT deduplication_key, object_name, count FROM merged ORDER BY deduplication_key LIMIT 25"""
@@ -317,10 +323,10 @@ def oracle_sql() -> dict[str, str]:
         ORDER BY namespace, resource_type, resource_name LIMIT 400"""
     o["resource_filter_labels"] = f"""WITH {PODS} SELECT namespace, resource_name, status FROM pods
         WHERE c_mktsegment = 'MACHINERY' AND c_custkey % 7 = 0 AND c_custkey < 1500"""
-    o["resource_secret_redaction"] = """SELECT k.kind AS resource_type, k.p || n_nationkey AS resource_name,
-        CAST(n_nationkey % 4 AS INTEGER) AS data_keys,
+    o["resource_secret_redaction"] = """SELECT k.kind AS resource_type, k.p || s_suppkey AS resource_name,
+        CAST(s_suppkey % 4 AS INTEGER) AS data_keys,
         CASE WHEN k.kind = 'Secret' THEN 'Opaque' END AS secret_type, false AS leaks
-        FROM nation, (VALUES ('ConfigMap', 'cm-'), ('Secret', 'sec-')) AS k(kind, p)"""
+        FROM supplier, (VALUES ('ConfigMap', 'cm-'), ('Secret', 'sec-')) AS k(kind, p)"""
 
     o["q1_recent_errors"] = f"""WITH {POD_LOGS} SELECT timestamp, namespace, pod_name, log_message
         FROM pod_logs WHERE log_level = 'ERROR' AND timestamp > {AS_OF} - INTERVAL 1 HOUR
