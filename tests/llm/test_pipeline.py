@@ -6,8 +6,8 @@ import brute
 import pytest
 from test_rowwise import check_packing
 
+import __spark_entry__
 import corpus_pipeline
-from harborlight.llm import queries
 
 
 def stage(name):
@@ -62,7 +62,7 @@ def brute_stop_words():
 def test_run(spark, sf_dir):
     packed = corpus_pipeline.run(spark, sf_dir)
     assert packed.count() > 0 and packed.filter("octet_length(ids) <> 4 * length").count() == 0
-    assert "pipeline" in queries.queries()
+    assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
 
 
 def test_packing_stage(spark, sf_dir, odd_docs, odd_texts):
