@@ -22,8 +22,9 @@ BLANK[[32, 9, 10, 11, 12, 13]] = True
 #: ASCII bytes that are neither letters nor digits
 NON_ALNUM = np.ones(256, bool)
 NON_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
-#: texts are handled in groups of about this many bytes
-GROUP_BYTES = 2 << 20
+#: texts are handled in groups of about this many bytes, and no more than so many rows
+GROUP_BYTES = 1 << 20
+GROUP_ROWS = 2048
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -72,12 +73,12 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def groups(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of ``batch`` of about GROUP_BYTES, with their text bytes and row bounds."""
+    """Slices of ``batch`` of about GROUP_BYTES or GROUP_ROWS, with their text bytes and row bounds."""
     data, bounds = bytes_of(batch.column(column))
     at = 0
     while at < batch.num_rows:
         stop = int(np.searchsorted(bounds, bounds[at] + GROUP_BYTES, "right")) - 1
-        stop = min(max(stop, at + 1), batch.num_rows)
+        stop = min(max(stop, at + 1), at + GROUP_ROWS, batch.num_rows)
         part = bounds[at : stop + 1]
         yield batch.slice(at, stop - at), data[part[0] : part[-1]], part - part[0]
         at = stop
