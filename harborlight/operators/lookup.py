@@ -7,13 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from harborlight.operators.winners import stored
+
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 # When the file a landed object comes from was written.
 FILE_TIME = "file_time"
 
+#: hashes of keys, eight bytes each, that are sent to every task
+MAX_BROADCAST_KEYS = 2_000_000
+
 _SALT = "_salt"
+_KEY_HASH = "_key_hash"
 _VERSION = "_version"
 
 
@@ -54,6 +60,20 @@ def lookup_join(
     return spread.join(copies, [*keys, _SALT]).drop(_SALT)
 
 
+def reduced(facts: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``facts`` without most rows that a later join with ``lookup`` on ``keys`` would drop.
+
+    Only hashes of the keys are sent out, so many more keys fit than rows with attributes; a
+    row whose key merely shares a hash is left to the join.  Beyond ``MAX_BROADCAST_KEYS`` keys
+    nothing is dropped here.
+    """
+    hashes = stored(lookup.select(F.xxhash64(*keys).alias(_KEY_HASH)).distinct(), "lookup-keys")
+    if hashes.count() > MAX_BROADCAST_KEYS:
+        return facts
+    hashed = facts.withColumn(_KEY_HASH, F.xxhash64(*keys))
+    return hashed.join(F.broadcast(hashes), _KEY_HASH, "left_semi").drop(_KEY_HASH)
+
+
 def newest(df: DataFrame, keys: Sequence[Column], order: Sequence[Column]) -> DataFrame:
     """One row per key, the one that is last by ``order``.
 

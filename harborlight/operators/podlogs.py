@@ -19,7 +19,7 @@ from harborlight.functions.text import is_blank, or_empty, trim_space
 from harborlight.functions.times import parse_rfc3339, resolve_since, within
 from harborlight.operators import filters, options
 from harborlight.operators.enrich import with_source
-from harborlight.operators.lookup import fits_broadcast, lookup_join, newest, version_order
+from harborlight.operators.lookup import fits_broadcast, lookup_join, newest, reduced, version_order
 from harborlight.operators.positional import (
     bytes_per_group,
     head_per_group,
@@ -203,6 +203,8 @@ def pod_logs(
     if small:
         # free of a shuffle, so unwanted containers leave before the windows
         rows = lookup_join(rows, chosen, CONTAINER, broadcast=True)
+    else:
+        rows = reduced(rows, chosen, CONTAINER)
     if tail_lines is not None:
         rows = tail_per_group(rows, CONTAINER, order, tail_lines)
     if limit_bytes is not None:

@@ -88,6 +88,8 @@ def test_large_lookups_are_shuffled(spark):
         spark.conf.set(conf, before)
     join = text.index("SortMergeJoin")
     assert "WindowGroupLimit" in text[join:]  # windows run before the join
+    # and lines of other pods leave before the windows
+    assert text.index("LeftSemi", join) > text.index("WindowGroupLimit", join)
 
 
 def test_sink_rebalances_by_partition(spark, tmp_path):

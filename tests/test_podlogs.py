@@ -4,6 +4,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from harborlight.operators import podlogs
 from helpers import by_line, lines, plan
@@ -169,6 +170,27 @@ def test_pod_logs_pipeline(spark, logs, pods, broadcast):
     assert got(run(namespaces="kube-system")) == [("d", "app", 0)]
 
 
+def test_lines_of_other_pods_leave_before_they_are_parsed(spark, logs, pods, monkeypatch):
+    from harborlight.operators import lookup
+
+    chosen = podlogs.select_containers(pods, pod_name_pattern="d")
+    left = lookup.reduced(logs, chosen, podlogs.CONTAINER)
+    assert {r.pod_name for r in left.collect()} == {"d"} and left.columns == logs.columns
+    parsed = []
+    real = podlogs.parse_timestamps
+
+    def counted(rows):
+        parsed.append(rows.count())
+        return real(rows)
+
+    monkeypatch.setattr(podlogs, "parse_timestamps", counted)
+    labelled = pods.withColumn("labels", F.create_map(F.lit("pod"), F.col("pod_name")))
+    rows = podlogs.pod_logs(logs, labelled, label_selectors="pod=d", broadcast=False).collect()
+    assert parsed == [len(rows)] and {r.pod_name for r in rows} == {"d"}
+    monkeypatch.setattr(lookup, "MAX_BROADCAST_KEYS", 0)  # too many to send: the join alone decides
+    assert lookup.reduced(logs, chosen, podlogs.CONTAINER).count() == logs.count()
+
+
 def test_negative_limits_are_rejected(logs, pods):
     for name in ("tail_lines", "limit_bytes", "limit_rows", "limit"):
         with pytest.raises(ValueError, match="cannot be negative"):
