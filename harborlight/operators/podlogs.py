@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harborlight import schemas
@@ -45,6 +45,12 @@ _POD_FIELDS = (
 )
 
 
+def line_time(line: Column) -> Column:
+    """The time in a line's timestamp prefix, NULL without one."""
+    prefix = F.when(F.octet_length(line) > PREFIX_BYTES, F.substring(line, 1, PREFIX_BYTES))
+    return parse_rfc3339(prefix)
+
+
 def parse_timestamps(lines: DataFrame) -> DataFrame:
     """Split the timestamp prefix off ``value``: adds timestamp, ts_raw, log_message.
 
@@ -53,8 +59,7 @@ def parse_timestamps(lines: DataFrame) -> DataFrame:
     """
     line = F.col("value")
     size = F.octet_length(line)
-    prefix = F.when(size > PREFIX_BYTES, F.substring(line, 1, PREFIX_BYTES))
-    parsed = evaluate_once(lines.where(~is_blank(line)), timestamp=parse_rfc3339(prefix))
+    parsed = evaluate_once(lines.where(~is_blank(line)), timestamp=line_time(line))
     dated = F.col("timestamp").isNotNull()
     return parsed.withColumns(
         {

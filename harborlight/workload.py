@@ -24,7 +24,7 @@ from harborlight.operators.positional import head_per_group, tail_per_group
 from harborlight.plans.questions import ask
 from harborlight.plans.views import register_views
 from harborlight.session import configure, scratch_dir
-from harborlight.sources import audit_sources, growing, landed, sink
+from harborlight.sources import audit_sources, growing, landed, manifest, sink
 from harborlight.streaming import runs, tables, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -767,6 +767,41 @@ def scan_pod_logs(spark, sf_dir):
     return rows.select(*podlogs.CONTAINER, ntz("timestamp"), "log_level", "log_message")
 
 
+def listed_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of container logs after two updates, between which the files have grown."""
+
+    def write(path: str) -> None:
+        lines = fx.log_lines(spark, sf_dir)
+        last = lines.agg(F.max("line_no")).first()[0] or 0
+        for landed_lines in (lines.where(F.col("line_no") <= last // 2), lines):
+            fx.write_logs(landed_lines, f"{path}/logs")
+            manifest.update_manifest(spark, f"{path}/logs", f"{path}/manifest")
+
+    return manifest.read_manifest(spark, land(spark, sf_dir, "listed-logs", write) + "/manifest")
+
+
+@query
+def log_manifest(spark, sf_dir):
+    files = listed_log_files(spark, sf_dir)
+    counts = ["n_lines", "n_undated", "read_bytes"]
+    return files.where("error IS NULL").select(
+        *podlogs.CONTAINER, *counts, ntz("first_time"), ntz("last_time")
+    )
+
+
+@query
+def scan_listed_logs(spark, sf_dir):
+    """Only files that can hold lines of the namespaces and times are opened."""
+    namespaces = ["kube-system", "monitoring"]
+    files = manifest.choose_files(
+        listed_log_files(spark, sf_dir), namespaces=namespaces, since=SINCE, until=UNTIL
+    )
+    rows = podlogs.pod_logs(
+        manifest.scan_files(files), containers(spark, sf_dir), namespaces=namespaces, since=SINCE, until=UNTIL
+    )
+    return rows.select(*podlogs.CONTAINER, ntz("timestamp"), "log_level", "log_message")
+
+
 def files_per_part(spark: SparkSession, sf_dir: str) -> int:
     """Files each quarter of the events is landed in: one per million events."""
     return fx.table(spark, sf_dir, "events").count() // 4_000_000 + 1

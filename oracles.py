@@ -359,6 +359,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT line_no FROM raw QUALIFY row_number() OVER ({PER_CONTAINER} DESC) <= 5)
         SELECT {KEYS}, timestamp, log_level, log_message FROM pod_logs JOIN tail USING (line_no)
         WHERE namespace IN ('kube-system', 'monitoring')"""
+    o["log_manifest"] = f"""WITH {RAW_LOGS} SELECT {KEYS}, count(*) AS n_lines,
+            count(*) FILTER (WHERE m = 6) AS n_undated,
+            sum(strlen(text) + CASE WHEN m < 6 THEN 32 ELSE 1 END)::BIGINT AS read_bytes,
+            min(ts) FILTER (WHERE m < 6) AS first_time, max(ts) FILTER (WHERE m < 6) AS last_time
+        FROM raw GROUP BY ALL"""
+    o["scan_listed_logs"] = f"""WITH {POD_LOGS} SELECT {KEYS}, timestamp, log_level, log_message
+        FROM pod_logs WHERE namespace IN ('kube-system', 'monitoring')
+        AND (timestamp IS NULL OR timestamp BETWEEN {SINCE} AND {UNTIL})"""
     o["pod_log_two_dumps"] = o["pod_log_enrich"]
     o["resource_newest"] = o["resource_pods"]
     o["pod_log_collect_once"] = f"""WITH {LOGS} SELECT line_no, {KEYS}, timestamp FROM logs
