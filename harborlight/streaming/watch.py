@@ -18,6 +18,7 @@ later are not seen (:mod:`harborlight.sources.growing` reads those).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -49,17 +50,22 @@ _STATE = T.StructType(
         T.StructField("generation", T.IntegerType()),
     ]
 )
-_MANIFEST = f"{BATCH} long, buckets int, bucket int, generation int, newest timestamp, edge timestamp"
+_MANIFEST = f"{BATCH} long, buckets int, bucket int, generation int, newest timestamp, edge timestamp, taken long"
 
 
 @dataclass
 class Manifest:
-    """Valid generation by bucket as of a trigger, the newest time, and the oldest that is kept."""
+    """Valid generation by bucket as of a trigger, the newest time, and the oldest that is kept.
+
+    ``taken`` counts the events of a backlog that the state holds (:mod:`harborlight.streaming.backlog`).
+    """
 
     buckets: int
     generations: dict[int, int]
     newest: dt.datetime | None = None
     edge: dt.datetime | None = None
+    taken: int = 0
+    batch_id: int = -1
 
 
 def watch_to_table(
@@ -92,19 +98,30 @@ def watch_to_table(
         rows = events.filter_events(parsed, since=since, **event_filters)
         spark = batch.sparkSession
         before = _manifest(spark, path, batch_id) or Manifest(buckets, {})
-        bucket = F.pmod(F.xxhash64(_KEY), F.lit(before.buckets)).cast("int")
-        fresh = events.first_and_last(rows, place).withColumn("bucket", bucket)
-        touched = sorted(r[0] for r in fresh.select("bucket").distinct().collect())
-        if touched:
-            merged = _merged(_valid(spark, path, before, touched), fresh)
-            _write(merged.repartition("bucket"), path, before, touched)
-        now = _next(spark, path, before, touched, forget_after)
-        _write_manifest(spark, path, batch_id, now)
+        write_manifest(spark, path, batch_id, merge_into(spark, path, before, rows, place, forget_after))
 
     writer = lines.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if until_idle else writer).start()
 
 
+def merge_into(
+    spark: SparkSession,
+    path: str,
+    before: Manifest,
+    rows: DataFrame,
+    order: Sequence[str],
+    forget_after: dt.timedelta | None = None,
+) -> Manifest:
+    """Merge unmerged events, in ``order``, behind the state of ``before``; valid once its manifest is written."""
+    bucket = F.pmod(F.xxhash64(_KEY), F.lit(before.buckets)).cast("int")
+    fresh = events.first_and_last(rows, order).withColumn("bucket", bucket)
+    touched = sorted(r[0] for r in fresh.select("bucket").distinct().collect())
+    if touched:
+        merged = _merged(_valid(spark, path, before, touched), fresh)
+        _write(merged.repartition("bucket"), path, before, touched)
+    return _next(spark, path, before, touched, forget_after)
+
+
 def watched_events(spark: SparkSession, path: str, cluster_name: str = "") -> DataFrame:
     """The merged events as of the last trigger."""
     manifest = _manifest(spark, path, None)
@@ -184,16 +201,21 @@ def _moment(value: int | dt.datetime) -> dt.datetime:
     return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=value)
 
 
-def _write_manifest(spark: SparkSession, path: str, batch_id: int, manifest: Manifest) -> None:
+def write_manifest(spark: SparkSession, path: str, batch_id: int, manifest: Manifest) -> None:
     """One row per bucket, over the manifest of the trigger before the last one."""
     rows = [
-        (batch_id, manifest.buckets, b, g, manifest.newest, manifest.edge)
-        for b, g in manifest.generations.items()
-    ] or [(batch_id, manifest.buckets, None, None, manifest.newest, manifest.edge)]
+        (batch_id, manifest.buckets, b, g, manifest.newest, manifest.edge, manifest.taken)
+        for b, g in manifest.generations.items() or [(None, None)]
+    ]
     frame = spark.createDataFrame(rows, _MANIFEST).coalesce(1)
     frame.write.mode("overwrite").parquet(f"{path}/manifest/turn={batch_id % GENERATIONS}")
 
 
+def last_manifest(spark: SparkSession, path: str) -> Manifest | None:
+    """The manifest of the last trigger or run."""
+    return _manifest(spark, path, None)
+
+
 def _manifest(spark: SparkSession, path: str, batch_id: int | None) -> Manifest | None:
     """The manifest of the last trigger before ``batch_id``, or the last of all."""
     found: tuple[int, Manifest] | None = None
@@ -201,7 +223,7 @@ def _manifest(spark: SparkSession, path: str, batch_id: int | None) -> Manifest
         try:
             kept = spark.read.schema(_MANIFEST).parquet(f"{path}/manifest/turn={turn}")
             times = [F.unix_micros(c).alias(c) for c in ("newest", "edge")]
-            rows = kept.select(BATCH, "buckets", "bucket", "generation", *times).collect()
+            rows = kept.select(BATCH, "buckets", "bucket", "generation", "taken", *times).collect()
         except AnalysisException as err:
             if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
@@ -212,5 +234,6 @@ def _manifest(spark: SparkSession, path: str, batch_id: int | None) -> Manifest
         if (batch_id is None or first[BATCH] < batch_id) and (found is None or first[BATCH] > found[0]):
             generations = {r["bucket"]: r["generation"] for r in rows if r["bucket"] is not None}
             newest, edge = (None if first[c] is None else _moment(first[c]) for c in ("newest", "edge"))
-            found = (first[BATCH], Manifest(first["buckets"], generations, newest, edge))
+            state = Manifest(first["buckets"], generations, newest, edge, first["taken"] or 0, first[BATCH])
+            found = (first[BATCH], state)
     return found[1] if found else None

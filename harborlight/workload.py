@@ -25,7 +25,7 @@ from harborlight.plans.questions import ask
 from harborlight.plans.views import register_views
 from harborlight.session import configure, scratch_dir
 from harborlight.sources import audit_sources, growing, landed, manifest, sink
-from harborlight.streaming import runs, tables, watch
+from harborlight.streaming import backlog, runs, tables, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -854,6 +854,19 @@ def stream_event_merge(spark, sf_dir):
     return merged_columns(watch.watched_events(spark, f"{out}/rows"))
 
 
+@query
+def stream_event_backlog(spark, sf_dir):
+    """Two runs take exactly the first half of the landed events; the other half waits."""
+    source = f"{event_files(spark, sf_dir)}/part=*"
+    out = scratch_dir(spark, "event-backlog")
+    lines = landed.stream_placed_lines(spark, source, files_per_part(spark, sf_dir))
+    runs.finish(backlog.land_events(lines, f"{out}/backlog", f"{out}/checkpoint", as_of=FALLBACK))
+    half = backlog.landed(spark, f"{out}/backlog") // 2
+    for most_events in (half // 3, half - half // 3):
+        backlog.merge_next(spark, f"{out}/backlog", f"{out}/rows", most_events)
+    return merged_columns(watch.watched_events(spark, f"{out}/rows"))
+
+
 @query
 def stream_log_follow(spark, sf_dir):
     source = container_log_files(spark, sf_dir)

@@ -378,6 +378,9 @@ def oracle_sql() -> dict[str, str]:
     o["scan_resources"] = f"""WITH {RESOURCES} SELECT resource_type, status, count(*) AS objects,
         count(DISTINCT resource_name) AS names FROM resources GROUP BY ALL"""
     o["stream_event_merge"] = o["event_merge"]
+    first_half = "WHERE line_no < (SELECT count(*) // 2 FROM events)"
+    numbered = "SELECT * REPLACE (row_number() OVER (ORDER BY line_no) - 1 AS line_no) FROM evts"
+    o["stream_event_backlog"] = o["event_merge"].replace("FROM evts", f"FROM ({numbered}) {first_half}")
     o["stream_log_follow"] = f"""WITH {POD_LOGS} SELECT {KEYS}, timestamp, log_level, node_name
         FROM pod_logs WHERE log_level IN ('ERROR', 'FATAL') AND (timestamp IS NULL OR timestamp >= {SINCE})"""
     o["stream_log_growth"] = f"WITH {LOGS} SELECT {KEYS}, timestamp, log_message FROM logs"

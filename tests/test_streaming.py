@@ -185,7 +185,7 @@ def test_trigger_writes_only_its_buckets(spark, tmp_path):
 
 def test_watch_survives_a_failed_trigger(spark, tmp_path, monkeypatch):
     """A trigger that dies after its rows were written is repeated without harm."""
-    stage = "_write_manifest"
+    stage = "write_manifest"
     source, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
     source.mkdir()
 
