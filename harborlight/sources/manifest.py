@@ -202,11 +202,23 @@ def update_manifest(spark: SparkSession, root: str, path: str) -> DataFrame:
     timed = evaluate_once(_read(fresh), time=line_time(text))
     is_line = F.col("raw").isNotNull()
     undated = is_line & F.col("time").isNull() & ~is_blank(text)
-    facts = timed.groupBy("file_path").agg(
-        F.count("raw").alias("n_lines"),
-        F.count(F.when(undated, 1)).alias("n_undated"),
-        F.min("time").alias("first_time"),
-        F.max("time").alias("last_time"),
+    narrow = timed.select(
+        "file_path", "error", "time", "read",
+        is_line.cast("long").alias("line"), undated.cast("long").alias("undated"),
+    )
+    # numbers by hash first; the greatest of texts, which Spark sorts for, over a row or two per file
+    parts = narrow.groupBy("file_path", "error").agg(
+        F.sum("line").alias("line"),
+        F.sum("undated").alias("undated"),
+        F.min("time").alias("first"),
+        F.max("time").alias("last"),
+        F.sum("read").alias("read"),
+    )
+    facts = parts.groupBy("file_path").agg(
+        F.sum("line").alias("n_lines"),
+        F.sum("undated").alias("n_undated"),
+        F.min("first").alias("first_time"),
+        F.max("last").alias("last_time"),
         F.sum("read").alias("read_bytes"),
         F.max("error").alias("error"),
     )
