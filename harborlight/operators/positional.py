@@ -59,12 +59,15 @@ def file_order(path: Column) -> Column:
     A rotated file (``0.log.20240101-000000``, ``audit-2024-01-01.log``) comes before the one
     still written (``0.log``, ``audit.log``), and leading numbers count as numbers.
     """
-    folder = F.regexp_extract(path, "^(.*/)?", 0)
-    name = F.regexp_extract(path, "[^/]*$", 0)
-    stem = F.regexp_replace(name, r"\.log(\..*)?$", "")
-    number = F.regexp_extract(stem, r"^\d+", 0)
-    counted = F.concat(F.lpad(number, 20, "0"), F.regexp_replace(stem, r"^\d+", ""))
-    suffix = F.regexp_extract(name, r"\.log\.(.+)$", 1)
+    # plain string functions, as this runs for every line
+    name = F.substring_index(path, "/", -1)
+    folder = F.substr(path, F.lit(1), F.char_length(path) - F.char_length(name))
+    end = F.instr(F.concat(name, F.lit(".")), ".log.")  # 0: no such ending
+    stem = F.when(end > 0, F.substr(name, F.lit(1), end - 1)).otherwise(name)
+    rest = F.ltrim(stem, F.lit("0123456789"))
+    number = F.substr(stem, F.lit(1), F.char_length(stem) - F.char_length(rest))
+    counted = F.concat(F.lpad(number, 20, "0"), rest)
+    suffix = F.when(end > 0, F.substr(name, end + 5)).otherwise("")
     return F.concat(
         folder,
         F.when(number != "", counted).otherwise(stem),

@@ -129,3 +129,21 @@ def test_prefix_ranks_only_the_range_at_the_cut(spark):
     whole, cut = text.index("_range"), text.index("GlobalLimit") if "GlobalLimit" in text else text.index("Limit")
     assert text.count("Limit") <= 2 and "Sort" in text[cut:] and whole >= 0
     assert prefix.agg(F.max("k")).first()[0] == 599
+
+
+def test_file_order_of_odd_names(spark):
+    """The order text by a rule in plain Python: folder, name with its number padded, rotation."""
+    names = ["", "/", "a/", "/a/0.log", "/a/0.log.", "/a/12.log.20240101-000000", "a.logx.log", "x.log.log.1", "7", "é/é9.log", "..log"]
+
+    def expected(path):
+        folder, slash, name = path.rpartition("/")
+        end = (name + ".").find(".log.")
+        stem, suffix = (name, "") if end < 0 else (name[:end], name[end + 5 :])
+        rest = stem.lstrip("0123456789")
+        number = stem[: len(stem) - len(rest)]
+        return folder + slash + (number.rjust(20, "0") if number else "") + rest + "|" + (suffix or "~")
+
+    rows = spark.createDataFrame([(n,) for n in names], "path string")
+    got = {r[0]: r[1] for r in rows.select("path", positional.file_order(F.col("path"))).collect()}
+    assert got == {n: expected(n) for n in names}
+    assert rows.select(positional.file_order(F.lit(None).cast("string"))).first()[0] is None
