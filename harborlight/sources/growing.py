@@ -37,6 +37,8 @@ from harborlight.operators.winners import stored
 HEAD_BYTES = 4096
 #: a long tail is read in ranges of so many bytes, by different tasks
 RANGE_BYTES = 64 << 20
+#: bytes that a task is given
+TASK_BYTES = 128 << 20
 #: bytes a task reads, and lines it holds, at once
 _READ_BYTES = 4 << 20
 TURNS = 2
@@ -236,7 +238,11 @@ def follow_growing(
         F.explode(F.sequence(F.col("first"), F.col("length") - 1, step)).alias("low"),
     ).withColumn("high", F.least(F.col("low") + step, F.col("length")))
     lines = "folder string, print string, path string, at long, next long, raw binary"
-    read = stored(ranges.repartition("path", "low").mapInArrow(_lines, lines), "growing-lines")
+    # rows of ranges are tiny, so left to itself AQE would put gigabytes of files into one task
+    n_files, to_read = work.agg(F.count(F.lit(1)), F.sum(F.col("length") - F.col("first"))).first()
+    slots = spark.sparkContext.defaultParallelism
+    n_tasks = max((to_read or 0) // TASK_BYTES + 1, min(n_files, slots))
+    read = stored(ranges.repartition(n_tasks, "path", "low").mapInArrow(_lines, lines), "growing-lines")
     text = F.col("raw").cast("string")
     shorter = F.substr(text, F.lit(1), F.char_length(text) - 1)
     deliver(
