@@ -22,3 +22,29 @@ def test_a_lookup_that_was_not_measured_small_is_shuffled(spark):
         joined = lookup_join(logs, pods, ["pod_name"], False, salts=salts)
         assert "Broadcast" not in plan(joined)
         assert [(r.line_no, r.node_name) for r in joined.collect()] == [(1, "n0")]
+
+
+def test_a_followed_log_is_shuffled_once_and_not_copied(spark, tmp_path):
+    """A lookup too large to broadcast was copied 32 times, parsed anew by every trigger, and then broadcast."""
+    from harborlight.streaming import tables
+
+    lines = spark.readStream.schema("value string, namespace string, pod_name string, container_name string").text(
+        str(tmp_path)
+    )
+    followed = tables.follow_logs(lines, workload.containers(spark, SF), broadcast=False)
+    shown = followed._jdf.queryExecution().analyzed().toString()
+    assert "explode" not in shown and "from_json" not in shown.split("Relation")[-1]
+    assert "strategy=merge" in shown
+
+
+def test_lines_without_keys_or_text_are_landed_as_by_spark(spark, tmp_path):
+    from harborlight import fixtures as fx
+    from harborlight.sources import landed
+
+    rows = [("default", "p", "app", None, 1), (None, "p", "app", "x", 2)]
+    lines = spark.createDataFrame(
+        rows, "namespace string, pod_name string, container_name string, value string, line_no long"
+    )
+    fx.write_logs(lines, str(tmp_path / "logs"))
+    found = landed.scan_container_logs(spark, str(tmp_path / "logs")).select("namespace", "value").collect()
+    assert {tuple(r) for r in found} == {("default", ""), (None, "x")}
