@@ -196,3 +196,15 @@ def test_only_asked_members_are_parsed(spark):
         plan = few._jdf.queryExecution().optimizedPlan().toString()
         assert not any(f"StructField({member}," in plan for member in absent), asked
         assert few.select(*asked).collect() == full.select(*asked).collect()
+
+
+def test_event_filter_takes_all_types_and_kinds(spark):
+    """The query passes both event types and all three kinds of objects to the filter."""
+    from harborlight import workload
+
+    sf_dir = "/root/testdata/sf0.01"
+    kinds = "regexp_extract(value, '\"involvedObject\":.\"kind\":\"([A-Za-z]+)', 1)"
+    found = workload.all_queries()["event_filter"](spark, sf_dir).select("line_no", "reason")
+    met = found.join(workload.fx.event_objects(spark, sf_dir).selectExpr("line_no", f"{kinds} AS kind"), "line_no")
+    assert {r.reason for r in met.select("reason").collect()} == {"BackOff", "Pulled"}
+    assert {r.kind for r in met.select("kind").collect()} == {"Pod", "Node", "Deployment"}
