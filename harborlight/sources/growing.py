@@ -41,6 +41,10 @@ RANGE_BYTES = 64 << 20
 TASK_BYTES = 128 << 20
 #: bytes a task reads, and lines it holds, at once
 _READ_BYTES = 4 << 20
+#: paths that a task lists or opens
+TASK_PATHS = 4_000
+#: lines of small files are handed on in batches of about so many bytes
+_BATCH_BYTES = 1 << 20
 TURNS = 2
 
 _FILES = "path string, folder string, length long, modified long"
@@ -80,17 +84,43 @@ def list_files(spark: SparkSession, root: str, levels: int = 16) -> DataFrame:
     """(path, folder, length, modified) of all files below ``root``, listed by tasks."""
     folders = spark.createDataFrame([(root.rstrip("/"),)], "path string")
     files = None
+    n_folders = 1
     for _ in range(levels):
-        spread = folders.repartition(F.col("path"))
+        spread = folders.repartition(path_tasks(spark, n_folders), "path")
         found = stored(spread.mapInArrow(_below, _FILES), "listing")
         mine = found.where("length is not null")
         files = mine if files is None else files.unionByName(mine)
         folders = found.where("length is null").select("path")
-        if folders.isEmpty():
+        n_folders = folders.count()
+        if not n_folders:
             break
     return files
 
 
+def path_tasks(spark: SparkSession, n_paths: int) -> int:
+    """Tasks that open or list ``n_paths`` paths.
+
+    The number is fixed: rows of paths are tiny, and AQE would put all of them into one task.
+    """
+    return max(1, min(n_paths, max(spark.sparkContext.defaultParallelism, n_paths // TASK_PATHS + 1)))
+
+
+def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, those of many small files in one batch; a large batch stays as it is."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= _BATCH_BYTES:
+            yield from _joined(held)
+            held, size = [], 0
+    yield from _joined(held)
+
+
+def _joined(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    return pa.Table.from_batches(held).combine_chunks().to_batches() if held else []
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the fingerprint; none while the first line is not complete, or for a vanished file."""
     for batch in batches:
@@ -122,6 +152,10 @@ def _still_there(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return together(_lines_of_ranges(batches))
+
+
+def _lines_of_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Complete lines that start inside the ranges (path, folder, print, first, low, high, length)."""
     names = ["folder", "print", "path", "at", "next", "raw"]
     for batch in batches:
@@ -195,7 +229,8 @@ def _known_files(spark: SparkSession, root: str, ledger: DataFrame) -> DataFrame
     unchanged = F.col("old_print").isNotNull() & (F.col("read") == F.col("length"))
     columns = ["path", "folder", "length", "modified"]
     opened = met.where(~unchanged | F.col("old_print").isNull()).select(*columns)
-    opened = opened.repartition("path").mapInArrow(_fingerprints, f"{_FILES}, print string")
+    opened = opened.repartition(path_tasks(spark, opened.count()), "path")
+    opened = opened.mapInArrow(_fingerprints, f"{_FILES}, print string")
     kept = met.where(unchanged).select(*columns, F.col("old_print").alias("print"))
     return stored(opened.unionByName(kept).where(F.col("print").isNotNull()), "growing-files")
 
@@ -214,7 +249,9 @@ def _work(files: DataFrame, ledger: DataFrame) -> DataFrame:
     one = stored(one, "growing-found")
     grown = F.coalesce((F.col("length") > F.col("read")) & (F.col("read") > 0), F.lit(False))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in one.schema)
-    compared = one.where(grown).mapInArrow(_still_there, f"{schema}, same boolean")
+    again = one.where(grown)
+    again = again.repartition(path_tasks(one.sparkSession, again.count()), "path")
+    compared = again.mapInArrow(_still_there, f"{schema}, same boolean")
     equal = F.coalesce(F.col("length") == F.col("read"), F.lit(False))
     work = compared.unionByName(one.where(~grown).withColumn("same", equal))
     return work.withColumn("first", F.when(F.col("same"), F.col("read")).otherwise(F.lit(0)))

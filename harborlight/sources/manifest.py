@@ -38,7 +38,7 @@ from harborlight.operators import filters, options
 from harborlight.operators.podlogs import CONTAINER, line_time
 from harborlight.operators.positional import FILE_ORDER, file_order
 from harborlight.operators.winners import stored
-from harborlight.sources.growing import container_keys, list_files, opened
+from harborlight.sources.growing import container_keys, list_files, opened, together
 
 #: bytes of a file that one row of work covers; compressed files are read as a whole
 RANGE_BYTES = 64 << 20
@@ -104,6 +104,10 @@ def _line_blocks(read, at: int, high: int, inside_line: bool) -> Iterator[tuple[
 
 
 def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return together(_read_ranges(batches))
+
+
+def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines of ranges (…, low, high, length), and per range one row with bytes read and error."""
     names = [*_ID, "line_no", "raw", "read", "error"]
     for batch in batches:
