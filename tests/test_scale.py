@@ -48,3 +48,43 @@ def test_lines_without_keys_or_text_are_landed_as_by_spark(spark, tmp_path):
     fx.write_logs(lines, str(tmp_path / "logs"))
     found = landed.scan_container_logs(spark, str(tmp_path / "logs")).select("namespace", "value").collect()
     assert {tuple(r) for r in found} == {("default", ""), (None, "x")}
+
+
+def test_base_rows_are_spread_over_tasks_by_rows(spark, monkeypatch):
+    """One file of a base table was one task, whatever texts its rows are turned into."""
+    from harborlight import fixtures as fx
+
+    monkeypatch.setattr(fx, "TASK_ROWS", 40)
+    pods = fx.resource_pods(spark, SF)
+    assert pods.rdd.getNumPartitions() == fx.table(spark, SF, "customer").count() // 40 + 1
+    assert pods.count() == fx.table(spark, SF, "customer").count()
+
+
+def test_paths_are_opened_by_tasks_that_stay_apart(spark, tmp_path, monkeypatch):
+    """Folders and files were spread by key alone, and AQE put their tiny rows into one task."""
+    from harborlight.sources import growing
+
+    for i in range(40):
+        (tmp_path / f"f{i}").mkdir()
+        (tmp_path / f"f{i}" / "0.log").write_text(f"line {i}\n")
+    seen = []
+    kept = growing.stored
+    monkeypatch.setattr(growing, "stored", lambda df, why: seen.append(plan(df)) or kept(df, why))
+    files = growing.list_files(spark, str(tmp_path))
+    assert files.count() == 40
+    assert any("REPARTITION_BY_NUM" in p and "path" in p for p in seen)
+    assert not any("REPARTITION_BY_COL" in p for p in seen)
+    assert growing.path_tasks(spark, 0) == 1
+    assert growing.path_tasks(spark, 10**6) == 10**6 // growing.TASK_PATHS + 1
+
+
+def test_lines_of_small_files_share_a_batch():
+    import pyarrow as pa
+
+    from harborlight.sources.growing import together
+
+    small = [pa.RecordBatch.from_pydict({"line": [f"{i}"]}) for i in range(50)]
+    joined = list(together(iter(small)))
+    assert len(joined) == 1
+    assert joined[0].column("line").to_pylist() == [str(i) for i in range(50)]
+    assert list(together(iter([]))) == []
