@@ -88,3 +88,13 @@ def test_lines_of_small_files_share_a_batch():
     assert len(joined) == 1
     assert joined[0].column("line").to_pylist() == [str(i) for i in range(50)]
     assert list(together(iter([]))) == []
+
+
+def test_containers_are_parsed_once_for_a_log_query(spark, monkeypatch):
+    """They were parsed to be measured, to reduce the lines, and again for the join."""
+    from harborlight import fixtures as fx
+    from harborlight.operators import podlogs
+
+    chosen = workload.containers(spark, SF)
+    rows = podlogs.pod_logs(fx.log_lines(spark, SF), chosen, broadcast=False)
+    assert "customer" not in plan(rows).lower() and "c_custkey" not in plan(rows)
