@@ -10,7 +10,7 @@ lists of prefix tokens under one global order: frequent tokens last, others by h
 * Before sets are sent to each other, the counts of their members in 512 ranges of hashes
   bound how many they can share; pairs below the needed overlap go no further.
 * Answer-level skipping: the sets of a list are first compared with two leaders per size
-  band only.  The answers of a leader are then used for the highly similar sets around
+  band only, one of them the most typical set.  The answers of a leader are then used for the highly similar sets around
   it: sets that are already connected need no comparison, and two sets whose known
   differences to a shared leader differ by more than the bound cannot be linked.  Only
   pairs that neither rule settles are compared, so no list is expanded into all its
@@ -226,15 +226,19 @@ def _can_link(percent: int, x: str, y: str):
 
 
 def _leader_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Each entry with the leaders of its list and size band."""
+    """Each entry with the leaders of its list and size band: the least set and the most typical.
+
+    The fewer words of its own a set has, the longer are the lists of its prefix; so of near
+    copies the one that the others were made from leads, or one close to it.
+    """
     band = F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent))
     banded = lists.withColumn("band", band)
     entry = [F.col(c) for c in ("n", "id", "at", "is_short")]
-    by_hash = F.struct(F.xxhash64("id").alias("h"), *entry)
+    by_typical = F.struct((-F.col("typical")).alias("t"), F.xxhash64("id").alias("h"), *entry)
     leaders = banded.groupBy("token", "band").agg(
-        F.min(F.struct(*entry)).alias("least"), F.min(by_hash).alias("any")
+        F.min(F.struct(*entry)).alias("least"), F.min(by_typical).alias("most")
     )
-    sides = F.array("least", F.struct(*(F.col("any")[c].alias(c) for c in ("n", "id", "at", "is_short"))))
+    sides = F.array("least", F.struct(*(F.col("most")[c].alias(c) for c in ("n", "id", "at", "is_short"))))
     pairs = banded.join(leaders, ["token", "band"]).select(
         F.struct(*entry).alias("x"), F.explode(sides).alias("y")
     )
@@ -348,10 +352,12 @@ def near_duplicates(
     entries = _postings(docs.filter("doc_id is not null"), length, percent, frequent)
     # lists of one entry link nothing; copies met by several tasks are one entry
     together = entries.withColumn("n_list", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("n_list > 1")
+    typical = F.sum("n_list").over(Window.partitionBy("k1", "k2")) / F.col("n")
     lists = (
         together.dropDuplicates(["token", "k1", "k2"])
+        .withColumn("typical", typical)
         .join(classes.select("k1", "k2", "id"), ["k1", "k2"])
-        .select("token", "id", "n", "at", "is_short")
+        .select("token", "id", "n", "at", "is_short", "typical")
     )
     lists = stored(lists, "jaccard-lists")
     first = stored(_leader_pairs(lists, percent), "jaccard-leaders")

@@ -70,6 +70,30 @@ def test_pairs_far_from_their_leader(spark):
     assert answers(jaccard.near_duplicates(df)) == brute.near_components(docs)
 
 
+def test_near_copies_meet_at_the_text_they_were_made_from(spark, monkeypatch):
+    """Copies with some edits each are far from each other; few of their pairs may be compared."""
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(150)]
+    docs = {500: " ".join(base)}
+    for d in range(200):
+        words = list(base)
+        for at in rng.sample(range(150), rng.randrange(1, 4)):
+            words[at] = f"e{d}x{at}"
+        docs[d] = " ".join(words)
+    compared = {}
+
+    def counted(df, purpose, store=jaccard.stored):
+        rows = store(df, purpose)
+        compared[purpose] = compared.get(purpose, 0) + rows.count()
+        return rows
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    found = {r.component_id for r in jaccard.near_duplicates(df, 5, 80).collect()}
+    assert found == {0}
+    assert compared["jaccard-drawn"] + compared.get("jaccard-open", 0) < len(docs)
+
+
 def test_odd(spark, odd_docs, no_docs, odd_texts):
     assert answers(jaccard.near_duplicates(odd_docs)) == brute.near_components(odd_texts)
     assert jaccard.near_duplicates(no_docs).count() == 0
