@@ -339,3 +339,12 @@ def test_each_column_alone_is_as_among_all(spark, opened):
     for name in names:
         alone = resources.cluster_resources(lines(spark, *texts), columns=[name], **parts)
         assert [r[0] for r in alone.collect()] == [r[name] for r in everything], name
+
+
+def test_sorted_objects_are_parsed_before_the_sort(spark):
+    """The sort reads its input twice, so what it reads must not be the parse."""
+    pods = [(f'{{"kind":"Pod","metadata":{{"name":"p{i}","namespace":"n{i % 3}"}},"spec":{{"nodeName":"x"}}}}',) for i in (3, 1, 2)]
+    found = resources.cluster_resources(spark.createDataFrame(pods, "value string"), include_spec=True)
+    assert [r[0] for r in found.select("resource_name").collect()] == ["p3", "p1", "p2"]
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in text and "Generate" not in text
