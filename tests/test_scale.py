@@ -98,3 +98,60 @@ def test_containers_are_parsed_once_for_a_log_query(spark, monkeypatch):
     chosen = workload.containers(spark, SF)
     rows = podlogs.pod_logs(fx.log_lines(spark, SF), chosen, broadcast=False)
     assert "customer" not in plan(rows).lower() and "c_custkey" not in plan(rows)
+
+
+def stores_of(monkeypatch, *modules):
+    """(purpose, columns) of whatever these modules store from now on."""
+    from harborlight.operators import winners
+
+    kept, seen = winners.stored, []
+    for module in modules:
+        monkeypatch.setattr(module, "stored", lambda df, why: seen.append((why, df.columns)) or kept(df, why))
+    return seen
+
+
+def test_landed_events_are_aggregated_once_by_their_place(spark, tmp_path, monkeypatch):
+    """Unused members and a file order per line were stored, keys stored again, and joined twice with their bests."""
+    from harborlight.operators import events, winners
+    from harborlight.sources import landed
+
+    for part, texts in ((10, ["late"]), (9, ["first", "second"])):  # 9.json comes before 10.json
+        rows = [f'{{"reason":"R","message":"{t}","lastTimestamp":"2024-01-01T00:00:{part}Z","count":2}}' for t in texts]
+        (tmp_path / f"{part}.json").write_text("\n".join(r.replace(":9Z", ":09Z") for r in rows) + "\n")
+    seen = stores_of(monkeypatch, events, winners)
+    merged = events.cluster_events(landed.scan_objects(spark, str(tmp_path))).collect()
+    assert [(r.message, r["count"], r.last_timestamp.second) for r in merged] == [("first", 6, 10)]
+    assert [why for why, _ in seen] == ["events", "ranks", "event-facts"]
+    assert not {"labels", "resource_version", "file_order"} & set(seen[0][1])
+
+
+def test_backlog_numbers_events_without_moving_them(spark, tmp_path, monkeypatch):
+    """All rows of a trigger were sorted by range and stored a second time."""
+    from harborlight.operators import winners
+    from harborlight.sources import landed
+    from harborlight.streaming import backlog, runs
+
+    (tmp_path / "in").mkdir()
+    for part in (10, 9):
+        rows = [f'{{"reason":"R","message":"{part}.{i}","type":"{"Normal" if i % 3 else "Warning"}"}}' for i in range(9)]
+        (tmp_path / "in" / f"{part}.json").write_text("\n".join(rows) + "\n")
+    seen = stores_of(monkeypatch, backlog, winners)
+    lines = landed.stream_placed_lines(spark, str(tmp_path / "in"))
+    runs.finish(backlog.land_events(lines, f"{tmp_path}/log", f"{tmp_path}/check", event_types=["Normal"]))
+    landed_rows = spark.read.parquet(f"{tmp_path}/log/rows").orderBy(backlog.NUMBER).select("message", backlog.NUMBER)
+    want = [f"{part}.{i}" for part in (9, 10) for i in range(9) if i % 3]
+    assert [tuple(r) for r in landed_rows.collect()] == [(m, n) for n, m in enumerate(want)]
+    assert [why for why, _ in seen] == ["backlog-rows", "backlog-splits"]
+    backlog.merge_next(spark, f"{tmp_path}/log", f"{tmp_path}/state", 5)
+    assert "events" not in [why for why, _ in seen]
+
+
+def test_events_are_landed_by_tasks_of_a_quarter_million(spark, monkeypatch):
+    """One task wrote a million events, and texts instead of base rows were sorted."""
+    from harborlight import fixtures as fx
+
+    ranged = fx.table(spark, SF, "events").repartitionByRange(2, "event_id").sortWithinPartitions("event_id")
+    shown = plan(fx.event_objects_of(ranged))
+    assert shown.index("kubelet") < shown.index("Sort")
+    monkeypatch.setattr(fx, "table", lambda *_: spark.range(3_000_000))
+    assert workload.files_per_part(spark, SF) == 4
