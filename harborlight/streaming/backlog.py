@@ -9,7 +9,8 @@ Here landing and merging are two steps:
   and merges them into the state of :mod:`harborlight.streaming.watch`.  The state's manifest says how many
   were taken, so the rest waits for the next run, and a run that fails is repeated with the same events.
 
-Numbers are given by ranges of the order whose sizes are added up; no task sees a whole trigger.
+Numbers are given by splits of files, in which rows stand in their order, or else by ranges of the order;
+the sizes of either are added up, and no task sees a whole trigger.
 A state belongs to one backlog and must not be fed by ``watch_to_table`` as well; land and merge
 one after the other.  Taken events stay in the backlog's folders, one per trigger.
 """
@@ -17,6 +18,8 @@ one after the other.  Taken events stay in the backlog's folders, one per trigge
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,13 +27,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from harborlight.operators import events, options
-from harborlight.operators.positional import number_lines, place_of
+from harborlight.operators.positional import FILE_ORDER, PLACE, file_order, number_lines, place_of
 from harborlight.operators.winners import stored
 from harborlight.streaming import watch
 
 NUMBER = "arrival"
 TURNS = 2
-_KEPT = ["deduplication_key", *events.FIRST_ARRIVAL, "last_timestamp", "count"]
+_KEPT = list(events.MERGED_COLUMNS)
 _AT = "_at"
 _PART = "_part"
 #: monotonically_increasing_id holds the partition above this many bits
@@ -59,13 +62,18 @@ def land_events(
         spark = batch.sparkSession
         placed = number_lines(batch)
         place = place_of(placed)
+        needed = events.needed_for({**event_filters, "since": since})
         parsed = events.parse_events(
-            placed, as_of=as_of, cluster_name=cluster_name, keep=place, watch=watch
+            placed, as_of=as_of, cluster_name=cluster_name, keep=place, watch=watch, columns=needed
         )
         rows = events.filter_events(parsed, since=since, **event_filters)
-        rows = stored(rows.select(*_KEPT, *place), "backlog-rows")
+        rows = rows.select(*_KEPT, *PLACE, F.monotonically_increasing_id().alias(_AT))
+        rows = stored(rows, "backlog-rows")
         first = landed(spark, path, batch_id)
-        numbered = _numbered(rows, place, first).select(*_KEPT, NUMBER)
+        numbered = None if "line_no" in batch.columns else _numbered_by_split(rows, first)
+        if numbered is None:
+            numbered = _numbered(rows.withColumn(FILE_ORDER, file_order(F.col("file_path"))), place, first)
+        numbered = numbered.select(*_KEPT, NUMBER)
         numbered.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
         end = spark.createDataFrame([(batch_id, first + rows.count())], _ENDS).coalesce(1)
         end.write.mode("overwrite").parquet(f"{path}/ends/turn={batch_id % TURNS}")
@@ -74,6 +82,24 @@ def land_events(
     return (writer.trigger(availableNow=True) if until_idle else writer).start()
 
 
+def _numbered_by_split(rows: DataFrame, first: int) -> DataFrame | None:
+    """As :func:`_numbered`, without moving rows: one task read a whole split in order and counted its rows by _AT.
+
+    None if the rows of some split do not follow each other.
+    """
+    split = PLACE[:-1]
+    low, n = F.min(_AT).alias("low"), F.count(F.lit(1)).alias("n")
+    sizes = stored(rows.groupBy(*split).agg(low, F.max(_AT).alias("high"), n), "backlog-splits")
+    if not sizes.where(F.col("high") - F.col("low") + 1 != F.col("n")).isEmpty():
+        return None
+    # one row per split of a trigger's files
+    before = Window.orderBy(file_order(F.col("file_path")), *split).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.lit(first).cast("long") + F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("low")
+    starts = sizes.select(*[F.col(c).alias(f"_{c}") for c in split], start.alias("start"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in split]
+    return rows.join(F.broadcast(starts), reduce(and_, same)).withColumn(NUMBER, F.col("start") + F.col(_AT))
+
+
 def _numbered(rows: DataFrame, place: list[str], first: int) -> DataFrame:
     """Adds consecutive numbers from ``first`` on, in the order of ``place``."""
     ranged = rows.repartitionByRange(*place).sortWithinPartitions(*place)
@@ -123,7 +149,8 @@ def merge_next(
     number = F.col(NUMBER)
     rows = spark.read.parquet(f"{backlog}/rows")
     rows = rows.where((number >= before.taken) & (number < before.taken + n))
-    now = watch.merge_into(spark, path, before, rows, [NUMBER], forget_after)
+    fresh = events.first_and_last_numbered(rows, NUMBER)
+    now = watch.merge_into(spark, path, before, fresh, forget_after)
     now.taken = before.taken + n
     watch.write_manifest(spark, path, before.batch_id + 1, now)
     return n

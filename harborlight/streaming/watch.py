@@ -18,7 +18,6 @@ later are not seen (:mod:`harborlight.sources.growing` reads those).
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -32,6 +31,7 @@ from harborlight.functions.times import instant
 from harborlight.operators import events
 from harborlight.operators.enrich import with_source
 from harborlight.operators.positional import number_lines, place_of
+from harborlight.operators.winners import stored
 
 BATCH = "batch_id"
 GENERATIONS = 2
@@ -92,13 +92,15 @@ def watch_to_table(
     def merge(batch: DataFrame, batch_id: int) -> None:
         placed = number_lines(batch)
         place = place_of(placed)
+        needed = events.needed_for({**event_filters, "since": since})
         parsed = events.parse_events(
-            placed, as_of=as_of, cluster_name=cluster_name, keep=place, watch=watch
+            placed, as_of=as_of, cluster_name=cluster_name, keep=place, watch=watch, columns=needed
         )
         rows = events.filter_events(parsed, since=since, **event_filters)
         spark = batch.sparkSession
         before = _manifest(spark, path, batch_id) or Manifest(buckets, {})
-        write_manifest(spark, path, batch_id, merge_into(spark, path, before, rows, place, forget_after))
+        fresh = events.first_and_last(rows, place, unique="line_no" not in batch.columns)
+        write_manifest(spark, path, batch_id, merge_into(spark, path, before, fresh, forget_after))
 
     writer = lines.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if until_idle else writer).start()
@@ -108,13 +110,13 @@ def merge_into(
     spark: SparkSession,
     path: str,
     before: Manifest,
-    rows: DataFrame,
-    order: Sequence[str],
+    fresh: DataFrame,
     forget_after: dt.timedelta | None = None,
 ) -> Manifest:
-    """Merge unmerged events, in ``order``, behind the state of ``before``; valid once its manifest is written."""
+    """Merge new events, one row per key, behind the state of ``before``; valid once its manifest is written."""
     bucket = F.pmod(F.xxhash64(_KEY), F.lit(before.buckets)).cast("int")
-    fresh = events.first_and_last(rows, order).withColumn("bucket", bucket)
+    # read for its buckets and again for its rows
+    fresh = stored(fresh.withColumn("bucket", bucket), "fresh-events")
     touched = sorted(r[0] for r in fresh.select("bucket").distinct().collect())
     if touched:
         merged = _merged(_valid(spark, path, before, touched), fresh)
