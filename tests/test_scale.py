@@ -155,3 +155,17 @@ def test_events_are_landed_by_tasks_of_a_quarter_million(spark, monkeypatch):
     assert shown.index("kubelet") < shown.index("Sort")
     monkeypatch.setattr(fx, "table", lambda *_: spark.range(3_000_000))
     assert workload.files_per_part(spark, SF) == 4
+
+
+def test_partitions_are_joined_up_to_sizes_that_a_sort_can_hold(spark):
+    """Compressed telemetry was joined to 64 MB a task, which were hundreds of megabytes in a sort."""
+    from pyspark.sql import functions as F
+
+    first = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    spark.conf.set(first, "false")
+    try:
+        rows = spark.range(3_000_000).select(*[F.xxhash64("id", F.lit(i)).alias(f"c{i}") for i in range(2)])
+        parts = rows.repartition("c0").select(F.spark_partition_id().alias("p"), "c1").where("c1 IS NOT NULL")
+        assert parts.select("p").distinct().count() > 1
+    finally:
+        spark.conf.unset(first)
