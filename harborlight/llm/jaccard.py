@@ -6,7 +6,9 @@ lists of prefix tokens under one global order: frequent tokens last, others by h
 
 * Index-level skipping: list entries carry set size and position; entries are paired only
   inside the size bound, and blocks of entries are skipped when the tokens left after
-  their positions cannot reach the needed overlap.
+  their positions cannot reach the needed overlap.  Entries that no other entry of their
+  list fits by size are dropped before lists are stored, as lists of chance matches grow
+  faster than the documents.
 * Before sets are sent to each other, the counts of their members in 512 ranges of hashes
   bound how many they can share; pairs below the needed overlap go no further.
 * Answer-level skipping: the sets of a list are first compared with two leaders per size
@@ -109,7 +111,7 @@ def _ceil_share(n: np.ndarray, part: int, whole: int) -> np.ndarray:
 
 
 def _postings(docs: DataFrame, length: int, percent: int, frequent) -> DataFrame:
-    """(token, k1, k2, n, at, is_short): the prefix tokens of each distinct set of a task."""
+    """(token, k1, n, at, is_short): the prefix tokens of each distinct set of a task."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy, heavy_class = frequent.value
@@ -141,14 +143,39 @@ def _postings(docs: DataFrame, length: int, percent: int, frequent) -> DataFrame
                 short = n - _ceil_share(n, 2 * percent, 100 + percent) + 1
                 kept = fresh[rows] & (at < probe[rows])
                 row, at = rows[kept], at[kept]
-                arrays = [sets[order][kept].view(np.int64), k1[row], k2[row], n[row], at]
+                arrays = [sets[order][kept].view(np.int64), k1[row], n[row], at]
                 yield pa.RecordBatch.from_arrays(
                     [*(pa.array(a, pa.int64()) for a in arrays), pa.array(at < short[row])],
-                    ["token", "k1", "k2", "n", "at", "is_short"],
+                    ["token", "k1", "n", "at", "is_short"],
                 )
 
-    return docs.mapInArrow(
-        scan, "token long, k1 long, k2 long, n long, at long, is_short boolean"
+    return docs.mapInArrow(scan, "token long, k1 long, n long, at long, is_short boolean")
+
+
+def _partnered(entries: DataFrame, percent: int) -> DataFrame:
+    """Each set once per list, with ``n_list``, the sets in it; only sets with another of the list
+    inside the size bound.  ``may_link`` tells those that ``_can_link`` may admit to a pair.
+
+    Of two linked sets the smaller is met in its short prefix.  So an entry may link if the
+    largest smaller one that is short, or the next larger one if it is short itself, is
+    inside the size bound; equal sizes count as smaller and larger.
+    """
+    by_size = Window.partitionBy("token").orderBy("n", F.desc("is_short"), "k1")
+    whole = by_size.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = by_size.rowsBetween(Window.unboundedPreceding, -1)
+    again = (F.lag("k1").over(by_size) == F.col("k1")) & (F.lag("n").over(by_size) == F.col("n"))
+    once = entries.withColumn("again", F.coalesce(again, F.lit(False))).filter("not again").drop("again")
+    seen = once.select(
+        "*",
+        F.count(F.lit(1)).over(whole).alias("n_list"),
+        F.lag("n").over(by_size).alias("smaller"),
+        F.max(F.when(F.col("is_short"), F.col("n"))).over(before).alias("short"),
+        F.lead("n").over(by_size).alias("larger"),
+    )
+    below, above = 100 * F.col("smaller") >= percent * F.col("n"), 100 * F.col("n") >= percent * F.col("larger")
+    may_link = (100 * F.col("short") >= percent * F.col("n")) | (F.col("is_short") & above)
+    return seen.filter(below | above).select(
+        "token", "k1", "n", "at", "is_short", "n_list", F.coalesce(may_link, F.lit(False)).alias("may_link")
     )
 
 
@@ -177,6 +204,8 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             chosen = batch.filter(pa.array(kept, pa.bool_()))
             yield pa.RecordBatch.from_arrays([chosen.column(0), chosen.column(1)], ["a", "b"])
 
+    named = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "jaccard-named")
+    classes = classes.join(checked(named, 1_000_000), "id", "left_semi")
     sides = [
         classes.select(F.col("id").alias(s), F.col("sketch").alias(f"sketch_{s}"), F.col("n").alias(f"n_{s}"))
         for s in ("a", "b")
@@ -350,13 +379,13 @@ def near_duplicates(
         "jaccard-classes",
     )
     entries = _postings(docs.filter("doc_id is not null"), length, percent, frequent)
-    # lists of one entry link nothing; copies met by several tasks are one entry
-    together = entries.withColumn("n_list", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("n_list > 1")
-    typical = F.sum("n_list").over(Window.partitionBy("k1", "k2")) / F.col("n")
+    # copies met by several tasks are one entry; k1 and n tell sets apart, k2 would double the key
+    typical = F.sum("n_list").over(Window.partitionBy("k1", "n")) / F.col("n")
     lists = (
-        together.dropDuplicates(["token", "k1", "k2"])
+        _partnered(entries, percent)
         .withColumn("typical", typical)
-        .join(classes.select("k1", "k2", "id"), ["k1", "k2"])
+        .filter("may_link")
+        .join(classes.select("k1", "n", "id"), ["k1", "n"])
         .select("token", "id", "n", "at", "is_short", "typical")
     )
     lists = stored(lists, "jaccard-lists")

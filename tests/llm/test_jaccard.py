@@ -94,6 +94,49 @@ def test_near_copies_meet_at_the_text_they_were_made_from(spark, monkeypatch):
     assert compared["jaccard-drawn"] + compared.get("jaccard-open", 0) < len(docs)
 
 
+def test_lists_hold_only_sets_that_fit_by_size(spark, monkeypatch):
+    """Texts that share shingles but differ in size can't be linked; their entries aren't stored."""
+    words = [f"w{i}" for i in range(2000)]
+    docs = {d: " ".join(words[: int(20 * 1.25**d)]) for d in range(20)}
+    lists = []
+
+    def counted(df, purpose, store=jaccard.stored):
+        rows = store(df, purpose)
+        if purpose == "jaccard-lists":
+            lists.append(rows.select("id").distinct().count())
+        return rows
+
+    monkeypatch.setattr(jaccard, "stored", counted)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    assert answers(jaccard.near_duplicates(df)) == brute.near_components(docs)
+    docs[50] = docs[19] + " end"
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    want = brute.near_components(docs)
+    assert answers(jaccard.near_duplicates(df)) == want and want[50][1] == 19
+    assert lists == [0, 2]
+
+
+def test_no_pair_of_a_list_is_lost(spark):
+    """Entries left are those of at least one pair that the size bound and short prefixes admit."""
+    rng = random.Random(5)
+    sets = {k: rng.randrange(20, 60) for k in range(300)}
+    rows = {(t, k) for t in range(60) for k in rng.sample(range(300), rng.choice([1, 2, 3, 8, 40]))}
+    entries = [(t, k, sets[k], rng.randrange(8)) for t, k in sorted(rows)]
+    entries = [(*e, e[3] < 4) for e in entries]
+    copies = rng.choices(entries, k=80)
+    df = spark.createDataFrame(entries + copies, "token long, k1 long, n long, at long, is_short boolean")
+    for percent in (80, 90):
+        got = [tuple(r) for r in jaccard._partnered(df, percent).filter("may_link").collect()]
+        want, size = set(), {}
+        for x in entries:
+            size[x[0]] = size.get(x[0], 0) + 1
+            for y in entries:
+                if x[0] == y[0] and x[1] != y[1] and y[2] <= x[2] and 100 * y[2] >= percent * x[2] and y[4]:
+                    want |= {x, y}
+        assert sorted(got) == sorted((*e, size[e[0]], True) for e in want)
+        assert len(want) < len(entries)
+
+
 def test_odd(spark, odd_docs, no_docs, odd_texts):
     assert answers(jaccard.near_duplicates(odd_docs)) == brute.near_components(odd_texts)
     assert jaccard.near_duplicates(no_docs).count() == 0
