@@ -7,8 +7,11 @@ could be read to its end.  A later scan picks its files from those rows and hand
 in ranges; the driver sees no file name, and files of other containers or times are not opened.
 
 A file is broken if reading it fails, or if fewer bytes could be read than landed.  Its
-complete lines up to there count and are scanned; :func:`broken_files` reports it.  A last line
-without line break is a line, but not in a broken file.
+complete lines up to there count and are scanned; :func:`broken_files` reports it, and every update
+reads it again.  A last line without line break is a line, but not in a broken file.
+
+A scan gives the lines that the manifest counts or fails: a file that went, was cut or cannot be read
+any more since the update is no shorter answer.
 
 The manifest is kept twice and written in turn; a one-row table beside each turn, written last,
 makes it valid, so a failed update leaves the one before.  A file counts as changed if its
@@ -22,6 +25,7 @@ from __future__ import annotations
 import bz2
 import datetime as dt
 import gzip
+import warnings
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -56,6 +60,8 @@ FILES = (
 _CODECS = {".gz": "gzip", ".bz2": "bz2", ".zst": "zstd", ".lz4": "lz4"}
 #: bytes asked of Arrow's decompressors at once: a broken stream loses the last of these pieces
 _PLAIN_BYTES = 16 << 10
+#: broken files that a warning or an error names
+_NAMED = 5
 
 _ID = [*CONTAINER, "file_path", FILE_ORDER]
 _LINES = ", ".join(f"{c} string" for c in _ID) + ", line_no long, raw binary, read long, error string"
@@ -120,17 +126,32 @@ def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 arrays += [pa.array([read] * n, pa.int64()), pa.array([error] * n, pa.string())]
                 return pa.RecordBatch.from_arrays(arrays, names)
 
-            read, error = 0, None
+            read, n_lines, error = 0, 0, None
             try:
                 for starts, lines, n_read in _range_of(row):
+                    n_lines += len(lines)
                     if len(lines):
                         yield rows(starts, lines)
                     read = n_read
             except (OSError, EOFError, zlib.error, pa.ArrowException) as failed:
                 error = f"{type(failed).__name__}: {failed}"[:500]
+            if row["noted_lines"] is not None:
+                _as_noted(row, n_lines, error)
             yield rows([None], [None], read, error)
 
 
+def _as_noted(row: dict, n_lines: int, error: str | None) -> None:
+    """Fail unless a range gave what the manifest notes of its file; a broken file may give more."""
+    noted, broken = row["noted_lines"], row["noted_error"] is not None
+    if row["low"] == 0 and row["high"] == row["length"]:  # the whole file
+        same = n_lines >= noted if broken else error is None and n_lines == noted
+    else:
+        same = error is None or error == row["noted_error"]
+    if not same:
+        found = error or f"{n_lines} of {noted} listed lines read"
+        raise RuntimeError(f"{row['file_path']} is not as listed, update the manifest: {found}")
+
+
 def _range_of(row: dict) -> Iterator[tuple[np.ndarray, list[bytes], int]]:
     """(starts, lines, landed bytes read so far) of one range."""
     system, inside = opened(row["file_path"])
@@ -149,6 +170,8 @@ def _range_of(row: dict) -> Iterator[tuple[np.ndarray, list[bytes], int]]:
         def read() -> bytes:
             nonlocal left
             piece = file.read(min(_READ_BYTES, left))
+            if not piece and left > 0:
+                raise EOFError(f"the file ends before its {length} listed bytes")
             left -= len(piece)
             return piece
 
@@ -171,8 +194,11 @@ def _starts(at: int, lines: list[bytes]) -> np.ndarray:
     return at + np.concatenate([[0], np.cumsum(sizes)[:-1]]) if lines else np.empty(0, np.int64)
 
 
-def _read(files: DataFrame) -> DataFrame:
-    """Lines and closing rows of ``files``, in ranges that are spread over tasks by bytes."""
+def _read(files: DataFrame, noted: bool = False) -> DataFrame:
+    """Lines and closing rows of ``files``, in ranges that are spread over tasks by bytes.
+
+    With ``noted`` they are rows of the manifest, and a range that gives other lines fails.
+    """
     landed_bytes, n_files = files.agg(F.sum("length"), F.count(F.lit(1))).first()
     slots = files.sparkSession.sparkContext.defaultParallelism
     n_tasks = max((landed_bytes or 0) // TASK_BYTES + 1, min(n_files, slots))
@@ -185,6 +211,8 @@ def _read(files: DataFrame) -> DataFrame:
     )
     ranges = files.select(
         *CONTAINER, "file_path", file_order(F.col("file_path")).alias(FILE_ORDER), "length",
+        (F.col("n_lines") if noted else F.lit(None).cast("long")).alias("noted_lines"),
+        (F.col("error") if noted else F.lit(None).cast("string")).alias("noted_error"),
         F.explode(lows).alias("low"),
     )
     ranges = ranges.withColumn(
@@ -200,8 +228,10 @@ def update_manifest(spark: SparkSession, root: str, path: str) -> DataFrame:
         list_files(spark, root).select(F.col("path").alias("file_path"), "length", "modified")
     )
     same = ["file_path", "length", "modified"]
-    kept = before.join(listed.select(*same), same, "left_semi")
-    fresh = stored(listed.join(before.select(*same), same, "left_anti"), "manifest-fresh")
+    # what broke may have been the network or a right: such files are read again
+    whole = before.where("error IS NULL")
+    kept = whole.join(listed.select(*same), same, "left_semi")
+    fresh = stored(listed.join(whole.select(*same), same, "left_anti"), "manifest-fresh")
     text = F.col("raw").cast("string")
     timed = evaluate_once(_read(fresh), time=line_time(text))
     is_line = F.col("raw").isNotNull()
@@ -275,26 +305,41 @@ def choose_files(
     since: dt.datetime | None = None,
     until: dt.datetime | None = None,
 ) -> DataFrame:
-    """Files that can hold lines of these pods and times; undated lines pass any range."""
-    chosen = filters.in_namespaces(manifest.where("n_lines > 0"), options.namespace_list(namespaces))
+    """Files that can hold lines of these pods and times; undated lines pass any range.
+
+    Nobody knows what the unread part of a broken file holds, so it passes too.
+    """
+    broken = F.col("error").isNotNull()
+    chosen = filters.in_namespaces(manifest.where((F.col("n_lines") > 0) | broken), options.namespace_list(namespaces))
     chosen = filters.search(chosen, "pod_name", options.pattern("pod_name_pattern", pod_name_pattern))
     inside = F.lit(True)
     if since is not None:
         inside = inside & (F.col("last_time") >= instant(since))
     if until is not None:
         inside = inside & (F.col("first_time") <= instant(until))
-    return chosen.where((F.col("n_undated") > 0) | F.coalesce(inside, F.lit(False)))
+    return chosen.where((F.col("n_undated") > 0) | broken | F.coalesce(inside, F.lit(False)))
 
 
-def scan_files(files: DataFrame) -> DataFrame:
+def scan_files(files: DataFrame, keep_broken: bool = True) -> DataFrame:
     """Lines of manifest rows, with the columns that ``operators.podlogs.pod_logs`` wants.
 
+    The scan fails if a file does not give the lines listed.  Files listed as broken give theirs up to
+    the break, with a warning; without ``keep_broken`` they are refused.
+
     Files left out by ``since`` or ``until`` are missing before a tail or a byte budget is
     taken too: choose by time only where neither is asked for.
     """
+    broken = broken_files(files).orderBy("file_path")
+    some = broken.select("file_path", "error").take(_NAMED)
+    if some:
+        named = "; ".join(f"{r.file_path} ({r.error})" for r in some)
+        told = f"{broken.count()} listed files could not be read to their end: {named}"
+        if not keep_broken:
+            raise RuntimeError(told)
+        warnings.warn(told, stacklevel=2)
     text = F.col("raw").cast("string")
     shorter = F.substr(text, F.lit(1), F.char_length(text) - 1)
-    return _read(files).where(F.col("raw").isNotNull()).select(
+    return _read(files, noted=True).where(F.col("raw").isNotNull()).select(
         F.when(text.endswith("\r"), shorter).otherwise(text).alias("value"),
         *CONTAINER, "file_path", F.lit(0).cast("long").alias("block_start"), FILE_ORDER, "line_no",
     )

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import gzip
+import os
 
 import pytest
 
@@ -170,3 +171,48 @@ def test_the_driver_lists_nothing(spark, place):
     parsed = podlogs.parse_timestamps(lines)
     assert sorted(r.log_message for r in parsed.collect()) == ["x", "y"]
     assert growing.list_files(spark, str(root)).count() == 1
+
+
+def logs_of_three(root):
+    """Two plain files, one of several ranges, and a compressed one."""
+    folder = folder_of(root)
+    (folder / "0.log").write_text(line(1, "x") + line(2, "y"))
+    (folder / "1.log").write_text("".join(line(3, f"{i:04d}") for i in range(200)))
+    (folder / "2.log.gz").write_bytes(gzip.compress("".join(line(4, f"{i}") for i in range(9)).encode()))
+    return folder
+
+
+@pytest.mark.parametrize("name", ["0.log", "1.log", "2.log.gz"])
+@pytest.mark.parametrize("how", ["gone", "cut"])
+def test_a_file_that_cannot_be_read_any_more_fails_the_scan(spark, place, monkeypatch, name, how):
+    """Its lines were left out, and the answer looked whole."""
+    root, at = place
+    monkeypatch.setattr(manifest, "RANGE_BYTES", 1000)
+    folder = logs_of_three(root)
+    found = manifest.update_manifest(spark, str(root), at)
+    assert manifest.scan_files(found).count() == 2 + 200 + 9
+    whole = (folder / name).read_bytes()
+    (folder / name).unlink() if how == "gone" else (folder / name).write_bytes(whole[:-20])
+    with pytest.raises(Exception, match="not as listed"):
+        manifest.scan_files(found).collect()
+    manifest.scan_files(found.where(~found.file_path.endswith(name))).collect()
+
+
+def test_files_listed_as_broken_are_named_chosen_and_read_again(spark, place):
+    root, at = place
+    folder = logs_of_three(root)
+    whole = (folder / "2.log.gz").read_bytes()
+    stamp = (folder / "2.log.gz").stat()
+    (folder / "2.log.gz").write_bytes(b"?" * len(whole))
+    os.utime(folder / "2.log.gz", ns=(stamp.st_atime_ns, stamp.st_mtime_ns))
+    found = manifest.update_manifest(spark, str(root), at)
+    chosen = manifest.choose_files(found, since=dt.datetime(2024, 1, 3))
+    assert sorted(r.file_path[-8:] for r in chosen.collect()) == ["2.log.gz", "pp/1.log"]
+    with pytest.warns(UserWarning, match="2.log.gz"):
+        assert manifest.scan_files(chosen).count() == 200
+    with pytest.raises(RuntimeError, match="1 listed files could not be read to their end.*2.log.gz"):
+        manifest.scan_files(chosen, keep_broken=False)
+    (folder / "2.log.gz").write_bytes(whole)  # of the same length and time
+    os.utime(folder / "2.log.gz", ns=(stamp.st_atime_ns, stamp.st_mtime_ns))
+    found = manifest.update_manifest(spark, str(root), at)
+    assert manifest.scan_files(found, keep_broken=False).count() == 2 + 200 + 9
