@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -55,13 +56,22 @@ _LEDGER = (
 
 
 def opened(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a path and the path inside it; ``file:/x`` is written ``file:///x``."""
+    """The file system of a path and the path inside it; ``file:/x`` is written ``file:///x``.
+
+    As in Spark, names in an address are written as they are; Arrow would decode a ``%41``.
+    """
     scheme, colon, rest = path.partition(":")
-    if colon and not rest.startswith("//"):
-        path = f"{scheme}://{rest}"
+    if colon and "/" not in scheme:
+        rest = rest if rest.startswith("//") else f"//{rest}"
+        path = f"{scheme}:{quote(rest, safe='/:@?&=+,')}"
     return pafs.FileSystem.from_uri(path)
 
 
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # most folders hold one entry, and a batch costs more than listing it
+    return together(_below(batches))
+
+
 def _below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Entries of the folders, as (path, folder, length, modified); a folder has no length."""
     schema = pa.schema([("path", pa.string()), ("folder", pa.string()), ("length", pa.int64()), ("modified", pa.int64())])
@@ -87,7 +97,7 @@ def list_files(spark: SparkSession, root: str, levels: int = 16) -> DataFrame:
     n_folders = 1
     for _ in range(levels):
         spread = folders.repartition(path_tasks(spark, n_folders), "path")
-        found = stored(spread.mapInArrow(_below, _FILES), "listing")
+        found = stored(spread.mapInArrow(_entries, _FILES), "listing")
         mine = found.where("length is not null")
         files = mine if files is None else files.unionByName(mine)
         folders = found.where("length is null").select("path")

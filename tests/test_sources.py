@@ -240,3 +240,92 @@ def test_rotated_and_unreadable_files(spark, tmp_path):
     assert [r.file_path.rsplit("/", 1)[1] for r in missing.collect()] == ["0.log.20231231-000000.gz"]
     with pytest.raises(Exception, match="FAILED_READ_FILE|EOF"):
         landed.scan_container_logs(spark, str(tmp_path)).count()
+
+
+def landed_as(root, files):
+    """Write ``files`` (namespace, name) → bytes as logs of one container per namespace."""
+    for (ns, name), data in files.items():
+        folder = root / f"namespace={ns}" / "pod_name=p" / "container_name=c"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_bytes(data)
+
+
+def test_the_driver_lists_no_container_log(spark, tmp_path):
+    """Spark's file source kept every file name and folder on the driver: 6 GB of small files did not fit."""
+    landed_as(tmp_path, {(ns, f"{i}.log"): b"x\n" for ns in "ab" for i in range(30)})
+    df = landed.scan_container_logs(spark, str(tmp_path))
+    assert not any("container_name=" in f for f in df.inputFiles())
+    assert len(df.inputFiles()) < 10
+    assert df.where("namespace = 'a'").count() == 30
+
+
+@pytest.mark.parametrize("piece_bytes, packed_bytes, read_bytes", [(7, 30, 4), (64, 200, 1000), (1 << 20, 1 << 20, 1 << 20)])
+def test_pieces_give_the_lines_that_spark_gives(spark, tmp_path, monkeypatch, piece_bytes, packed_bytes, read_bytes):
+    import gzip
+    import random
+
+    from harborlight.sources import by_tasks, manifest
+
+    monkeypatch.setattr(by_tasks, "PIECE_BYTES", piece_bytes)
+    monkeypatch.setattr(by_tasks, "PACKED_BYTES", packed_bytes)
+    noise = random.Random(7)
+    text = "".join(f"{i} {noise.random()}\r\n" for i in range(200)).encode()
+    odd = b"\xef\xbb\xbfone\r\ntwo\rstill two\r\r\n\n" + "ü".encode() * 40 + b"\n\nlast"
+    landed_as(tmp_path, {
+        ("a", "0.log"): text, ("a", "1.log"): odd, ("a", "2.log"): b"", ("a", "3.log"): b"\n\n",
+        ("b", "0.log.gz"): gzip.compress(text) + gzip.compress(b"more\n"), ("b", "1.log.gz"): gzip.compress(odd),
+        ("b", "_hidden"): b"x\n", ("__HIVE_DEFAULT_PARTITION__", "0.log"): b"none\n", ("a%3Ab +", "0.log"): b"escaped\n",
+    })
+    schema = "value string, namespace string, pod_name string, container_name string"
+    by_spark = spark.read.option("lineSep", "\n").schema(schema).text(str(tmp_path))
+    want = sorted((str(r.namespace), r.value.removesuffix("\r")) for r in by_spark.collect())
+    df = landed.scan_container_logs(spark, str(tmp_path))
+    got = df.select("namespace", "value", "file_path", "line_no").collect()
+    assert sorted((str(r.namespace), r.value) for r in got) == want
+    whole = [r.value for r in sorted(got, key=lambda r: r.line_no) if r.file_path.endswith("=a/pod_name=p/container_name=c/0.log")]
+    assert whole == text.decode().split("\r\n")[:-1]
+    packed = [r.value for r in sorted(got, key=lambda r: r.line_no) if r.file_path.endswith("0.log.gz")]
+    assert packed == [*whole, "more"]
+
+
+def test_a_compressed_file_is_read_once_and_out_of_turn_from_its_start(tmp_path, monkeypatch):
+    import gzip
+    import random
+
+    from harborlight.sources import by_tasks, growing
+
+    noise = random.Random(7)
+    lines = [f"{i} {noise.random()}".encode() for i in range(20_000)]
+    path = tmp_path / "0.log.gz"
+    path.write_bytes(gzip.compress(b"\n".join(lines)))
+    size, opens, opened = path.stat().st_size, [], growing.opened
+    monkeypatch.setattr(growing, "opened", lambda p: opens.append(p) or opened(p))
+    step = size // 5 + 1
+    pieces = [(low, min(low + step, size)) for low in range(0, size, step)]
+    packed = by_tasks._Packed()
+    taken = [[line for _, some in packed.lines(str(path), *p, size) for line in some] for p in pieces]
+    assert sum(taken, []) == lines and len(opens) == 1
+    assert sum(bool(t) for t in taken) > 1
+    for i in (3, 1, 4):
+        assert [line for _, some in packed.lines(str(path), *pieces[i], size) for line in some] == taken[i]
+    assert len(opens) == 4
+
+
+def test_a_log_folder_that_is_missing_or_odd_fails(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        landed.scan_container_logs(spark, str(tmp_path / "none"))
+    landed_as(tmp_path, {("a", "0.log"): b"x\n"})
+    (tmp_path / "namespace=a" / "stray.log").write_text("x\n")
+    with pytest.raises(Exception, match="no folder pod_name="):
+        landed.scan_container_logs(spark, str(tmp_path)).count()
+
+
+def test_a_log_that_is_cut_while_it_is_scanned_fails(spark, tmp_path):
+    landed_as(tmp_path, {("a", "0.log"): b"one\ntwo\nthree\n"})
+    df = landed.scan_container_logs(spark, str(tmp_path))
+    assert df.count() == 3
+    landed_as(tmp_path, {("a", "0.log"): b"one\n"})
+    with pytest.raises(Exception, match="ends before its 14 listed bytes"):
+        df.collect()
