@@ -1,14 +1,16 @@
 from __future__ import annotations
 
+import gzip
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from harborlight.operators import audit, events, podlogs
 from harborlight.operators.collect_once import with_collect_key
-from harborlight.sources import landed
+from harborlight.sources import by_tasks, landed
 from harborlight.streaming import runs, tables, watch
 from helpers import lines
 
@@ -227,3 +229,93 @@ def test_watch_forgets_old_keys(spark, tmp_path):
     assert [r[:3] for r in shown(watch.watched_events(spark, out))] == [("c", "m1", 1)]
     run("3.json", event("b", 7, 39, 2))  # forgotten before, so it starts anew
     assert [r[:3] for r in shown(watch.watched_events(spark, out))] == [("b", "m2", 7), ("c", "m1", 1)]
+
+
+def land_log(root, name, *texts, pod="p"):
+    folder = root / "namespace=default" / f"pod_name={pod}" / "container_name=app"
+    folder.mkdir(parents=True, exist_ok=True)
+    data = "".join(t + "\n" for t in texts).encode()
+    (folder / name).write_bytes(gzip.compress(data) if name.endswith(".gz") else data)
+
+
+def test_followed_logs_are_listed_by_tasks_and_read_once(spark, tmp_path):
+    """Spark's file source held the names of all landed files on the driver, at each trigger."""
+    root, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
+
+    def run(files_per_trigger=None):
+        lines = landed.stream_container_logs(spark, str(root), files_per_trigger, listing=str(tmp_path / "listing"))
+        query = runs.append_to_table(lines, out, check)
+        assert runs.finish(query)
+        assert all("listing" in s.description for s in query.lastProgress.sources)
+        triggers = [p.batchId for p in query.recentProgress if p.numInputRows]
+        found = spark.read.parquet(out)
+        assert found.columns == ["value", "namespace", "pod_name", "container_name"]
+        return sorted((r.pod_name, r.value) for r in found.collect()), len(triggers)
+
+    for i in range(20):
+        land_log(root, "0.log", f"first {i}", pod=f"p{i}")
+    want = sorted((f"p{i}", f"first {i}") for i in range(20))
+    assert run() == (want, 1)
+    assert run()[0] == want  # nothing new
+    land_log(root, "1.log.gz", "second", "third", pod="p3")
+    want = sorted([*want, ("p3", "second"), ("p3", "third")])
+    assert run()[0] == want
+    for i in range(7):
+        land_log(root, "2.log", f"more {i}", pod="p4")
+        land_log(root, f"{3 + i}.log", f"last {i}", pod="p4")
+    want = sorted([*want, ("p4", "more 6"), *(("p4", f"last {i}") for i in range(7))])
+    got, triggers = run(2)
+    assert got == want and triggers >= 4
+    assert len(list((tmp_path / "listing").glob("*.parquet"))) < 20
+
+
+def test_a_running_stream_sees_logs_that_land(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(by_tasks, "PAUSE_SECONDS", 0.5)
+    monkeypatch.setattr(by_tasks, "SHARE", 0)
+    root, out = tmp_path / "in", str(tmp_path / "out")
+    land_log(root, "0.log", "first")
+    lines = landed.stream_container_logs(spark, str(root), listing=str(tmp_path / "listing"))
+    query = runs.append_to_table(lines, out, str(tmp_path / "check"), until_idle=False)
+    deadline = time.monotonic() + 90
+
+    def values():
+        return sorted(r.value for r in spark.read.parquet(out).collect())
+
+    while query.lastProgress is None and time.monotonic() < deadline:
+        time.sleep(0.2)
+    land_log(root, "1.log", "second")
+    while values() != ["first", "second"] and time.monotonic() < deadline:
+        time.sleep(0.5)
+    assert values() == ["first", "second"]
+
+    def fails(*_):
+        raise PermissionError("not yours")
+
+    monkeypatch.setattr(by_tasks, "update_listing", fails)
+    with pytest.raises(RuntimeError, match="could not be listed"), pytest.warns(UserWarning, match="not yours"):
+        runs.finish(query, timeout_seconds=60)
+    assert not query.isActive and query.lastProgress is not None
+
+
+def test_a_bounded_follow_counts_lines_not_files(spark, tmp_path):
+    land_log(tmp_path / "in", "0.log", *map(str, range(9)))
+    lines = landed.stream_container_logs(spark, str(tmp_path / "in"), listing=str(tmp_path / "listing"))
+    query = runs.append_to_table(lines, str(tmp_path / "out"), str(tmp_path / "check"), until_idle=False)
+    assert runs.finish(query, timeout_seconds=60, most_rows=9) is False
+    assert [by_tasks.rows_read(p) for p in query.recentProgress if p.numInputRows] == [9]
+
+
+def test_a_listing_that_died_half_way_is_completed(spark, tmp_path):
+    root, listing = tmp_path / "in", tmp_path / "listing"
+    for i in range(10):
+        land_log(root, f"{i}.log", f"{i}")
+    full = by_tasks.address(spark, str(root))
+    assert by_tasks.update_listing(spark, full, str(listing), 3)[1] == 10
+    parts = sorted(listing.glob("*.parquet"))
+    lost = sum(spark.read.parquet(str(p)).count() for p in parts[1:])
+    for part in parts[1:]:
+        part.unlink()
+    assert by_tasks.update_listing(spark, full, str(listing), 3)[1] == lost
+    assert by_tasks.update_listing(spark, full, str(listing), 3)[1] == 0
+    files = [r.file_path for r in spark.read.parquet(str(listing)).collect()]
+    assert len(files) == len(set(files)) == 10
